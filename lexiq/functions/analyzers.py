@@ -138,7 +138,8 @@ def _normalize(toks: Column, lower: bool, fold: bool) -> Column:
         if lower:
             term = F.lower(term)
         if fold:
-            term = fold_col(term)
+            # folding only changes non-ASCII text: skip it when chars == bytes
+            term = F.when(F.char_length(term) == F.octet_length(term), term).otherwise(fold_col(term))
         return _tok(t["pos"], term)
 
     return F.transform(toks, norm)

@@ -59,19 +59,28 @@ def field_tokens(docs: DataFrame, schema: Schema, name: str, id_col: str = "doc_
     return docs.select(F.col(id_col).alias("doc_id"), toks.alias("toks"))
 
 
-def _in_row_postings(toks: Column) -> Column:
-    """array<struct<term, tf, positions>> plus the token count, computed within the row."""
-    srt = F.array_sort(F.transform(toks, lambda t: F.struct(t["term"].alias("term"), t["pos"].alias("pos"))))
-    n = F.size(srt)
-    idx = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-                   lambda i: (i < n) & ((i == 0) | (F.get(srt, i)["term"] != F.get(srt, i - 1)["term"])))
+def _in_row_postings(ft: DataFrame) -> DataFrame:
+    """(doc_id, len, p struct<term, tf, positions>) computed within each row.
+
+    Each step is its own projection so that lambdas only reference materialized columns
+    (an expression captured inside a lambda would be re-evaluated for every element).
+    """
+    srt = ft.select("doc_id", F.array_sort(F.transform(
+        "toks", lambda t: F.struct(t["term"].alias("term"), t["pos"].alias("pos")))).alias("srt"))
+    srt = srt.select("doc_id", "srt", F.size("srt").alias("n"))
+    runs = srt.select("doc_id", "srt", "n", F.filter(
+        F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0))),
+        lambda i: (i < F.col("n")) & ((i == 0) | (F.get(F.col("srt"), i)["term"] != F.get(F.col("srt"), i - 1)["term"]))
+    ).alias("idx"))
+    runs = runs.select("doc_id", "srt", "n", "idx", F.transform(
+        "idx", lambda s, j: F.coalesce(F.get(F.col("idx"), j + 1), F.col("n")) - s).alias("tfs"))
 
     def run(s, j):
-        tf = F.coalesce(F.get(idx, j + 1), n) - s
-        return F.struct(F.get(srt, s)["term"].alias("term"), tf.cast("int").alias("tf"),
-                        F.transform(F.slice(srt, s + 1, tf), lambda x: x["pos"]).alias("positions"))
+        tf = F.get(F.col("tfs"), j)
+        return F.struct(F.get(F.col("srt"), s)["term"].alias("term"), tf.cast("int").alias("tf"),
+                        F.transform(F.slice(F.col("srt"), s + 1, tf), lambda x: x["pos"]).alias("positions"))
 
-    return F.transform(idx, run)
+    return runs.select("doc_id", F.col("n").alias("len"), F.explode(F.transform("idx", run)).alias("p"))
 
 
 def field_postings(docs: DataFrame, schema: Schema, name: str, id_col: str = "doc_id",
@@ -81,8 +90,7 @@ def field_postings(docs: DataFrame, schema: Schema, name: str, id_col: str = "do
     an = schema.analyzer_of(name)
     ft = field_tokens(docs, schema, name, id_col)
     if an.lang is None:
-        rows = ft.select("doc_id", F.size("toks").alias("len"),
-                         F.explode(_in_row_postings(F.col("toks"))).alias("p"))
+        rows = _in_row_postings(ft)
         out = rows.select(F.lit(name).alias("field"), F.col("p.term").alias("term"), "doc_id",
                           F.col("p.tf").alias("tf"), F.col("len").cast("int").alias("len"),
                           F.col("p.positions").alias("positions"))

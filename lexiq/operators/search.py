@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stem import apply_stems, stem_dictionary
 from ..plans.schema import RECORD_BASIC
-from ..session import bounded_broadcast
+from ..session import bounded_broadcast, materialize
 from .index import ALL_FIELD, TextIndex, term_bucket
 
 K1, B = 1.2, 0.75
@@ -141,22 +141,33 @@ def leaf_hits(index: TextIndex, matched: DataFrame, terms: DataFrame, explain: b
              .withColumn("row_score", F.when(constant, F.lit(1.0)).otherwise(row_score))
              .groupBy("qid", "doc_id", "clause_id")
              .agg(F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
-                  F.count_distinct("slot").alias("n_hit"), F.sum("row_score").alias("s"),
-                  *( [F.collect_list(F.struct("slot", "row_score")).alias("explain")] if explain else [])))
+                  F.count(F.lit(1)).alias("n_hit"), F.sum("row_score").alias("s"),
+                  *([F.collect_list(F.struct("slot", "row_score")).alias("explain")] if explain else [])))
+    # every_term: exact slots match at most one posting per doc, so rows = matched slots
     plain = plain.filter((F.col("kind") != "every_term") | (F.col("n_hit") == F.col("n_slots")))
     plain = plain.withColumn("score", F.when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"),
                                              F.lit(1.0)).otherwise(F.col("s")))
-    # positional clauses: relational division on start = pos - offset
-    pos = (matched.filter(positional)
-           .select("qid", "doc_id", "clause_id", "slot", "n_slots", "len", "avg_len",
-                   F.explode("positions").alias("p"), "offset")
-           .withColumn("start", F.col("p") - F.col("offset"))
-           .groupBy("qid", "doc_id", "clause_id", "start")
-           .agg(F.count_distinct("slot").alias("k"), F.max("n_slots").alias("n_slots"),
-                F.max("len").alias("len"), F.max("avg_len").alias("avg_len"))
-           .filter(F.col("k") == F.col("n_slots"))
-           .groupBy("qid", "doc_id", "clause_id")
-           .agg(F.count(F.lit(1)).alias("freq"), F.max("len").alias("len"), F.max("avg_len").alias("avg_len")))
+    # positional clauses: keep (qid, doc, clause) groups holding every slot, then count the
+    # distinct starts (pos - offset) common to all slots by intersecting position arrays.
+    # All grouping keys contain (qid, doc_id): no exchange beyond the one in `matched`.
+    per_slot = (matched.filter(positional)
+                .groupBy("qid", "doc_id", "clause_id", "slot")
+                .agg(F.max("n_slots").alias("n_slots"), F.max("offset").alias("offset"),
+                     F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
+                     F.array_distinct(F.flatten(F.collect_list("positions"))).alias("pos")))
+    cand = (per_slot.groupBy("qid", "doc_id", "clause_id")
+            .agg(F.count(F.lit(1)).alias("k"), F.max("n_slots").alias("n_slots"),
+                 F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
+                 F.collect_list(F.struct("offset", "pos")).alias("sl"))
+            .filter(F.col("k") == F.col("n_slots")))
+    cand = cand.withColumn("first", F.col("sl")[0])
+    starts = F.aggregate(
+        F.slice(F.col("sl"), 2, F.col("k")),
+        F.transform(F.col("first.pos"), lambda p: p - F.col("first.offset")),
+        lambda acc, sl: F.array_intersect(acc, F.transform(sl["pos"], lambda p: p - sl["offset"])))
+    pos = (cand.withColumn("freq", F.size(F.array_distinct(starts)))
+           .filter(F.col("freq") > 0)
+           .select("qid", "doc_id", "clause_id", "freq", "len", "avg_len"))
     # phrase weight: idf summed over the exact slots, duplicates included (small table)
     exact_idf = (terms.filter(F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1) & ~F.col("is_prefix"))
                  .groupBy("qid", "clause_id").agg(F.sum("idf").alias("sum_idf")))
@@ -241,8 +252,9 @@ def search_hits(index: TextIndex, clauses: DataFrame, max_depth: int | None = No
                 explain: bool = False) -> DataFrame:
     """All matching (qid, doc_id, score) of a clause table (before top-k)."""
     clauses = clauses.filter(F.col("kind") != "bool").unionByName(clauses.filter(F.col("kind") == "bool"))
+    clauses = materialize(clauses)
     slots = analyze_clauses(index, clauses)
-    terms = slot_terms(index, slots)
+    terms = materialize(slot_terms(index, slots))
     matched = matched_postings(index, terms)
     hits = leaf_hits(index, matched, terms, explain=explain)
     if explain:

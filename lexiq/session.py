@@ -48,6 +48,12 @@ def new_table_path(spark: SparkSession, kind: str) -> str:
     return f"{scratch_root(spark)}/{kind}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage of a small intermediate by a reliable checkpoint in the shared folder."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """Broadcast ``df`` only after proving its size: count it and compare with ``max_rows``.
 
