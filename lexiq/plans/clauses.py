@@ -157,9 +157,10 @@ def flatten_specs(specs: DataFrame, depth: int = 3, qid: str = "qid", spec: str
     out = []
     # level 1
     cur = base.select("qid", "texts", "fields", F.lit(0).alias("parent_id"),
-                      F.posexplode("subs").alias("i", "c"))
+                      F.array().cast("array<int>").alias("ppath"), F.posexplode("subs").alias("i", "c"))
     # clause ids: a base-64 path code (64 children per group are assumed sufficient per level)
-    cur = cur.withColumn("clause_id", (F.col("parent_id") * 64 + F.col("i") + 1).cast("int"))
+    cur = cur.withColumn("clause_id", (F.col("parent_id") * 64 + F.col("i") + 1).cast("int")) \
+        .withColumn("path", F.concat("ppath", F.array(F.col("i").cast("int"))))
     for d in range(1, depth + 1):
         kind_idx = F.coalesce(F.col("c.query_type"), F.lit(0))
         kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), kind_idx + 1)
@@ -174,13 +175,14 @@ def flatten_specs(specs: DataFrame, depth: int = 3, qid: str = "qid", spec: str
             "qid", "clause_id", "parent_id", F.lit(d).alias("depth"), mod.alias("modifier"), kind.alias("kind"),
             F.when(is_leaf, F.get(F.col("fields"), fi)).alias("field"),
             F.when(is_leaf, F.get(F.col("texts"), ti)).alias("text"),
-            F.coalesce(F.col("c.query.boost"), F.lit(1.0)).alias("boost"), err.alias("error"))
+            F.coalesce(F.col("c.query.boost"), F.lit(1.0)).alias("boost"), err.alias("error"), "path")
         out.append(rows)
         if d < depth:
             cur = cur.filter(kind_idx == 0).select(
-                "qid", "texts", "fields", F.col("clause_id").alias("parent_id"),
-                F.posexplode(F.coalesce(F.col("c.query.subqueries"), F.array())).alias("i", "c"))
-            cur = cur.withColumn("clause_id", (F.col("parent_id") * 64 + F.col("i") + 1).cast("int"))
+                "qid", "texts", "fields", F.col("clause_id").alias("parent_id"), F.col("path").alias("ppath"),
+                F.posexplode(F.col("c.query.subqueries")).alias("i", "c"))
+            cur = cur.withColumn("clause_id", (F.col("parent_id") * 64 + F.col("i") + 1).cast("int")) \
+                .withColumn("path", F.concat("ppath", F.array(F.col("i").cast("int"))))
     res = out[0]
     for r in out[1:]:
         res = res.unionByName(r)
