@@ -125,7 +125,10 @@ def matched_postings(index: TextIndex, terms: DataFrame, partitions: int | None
     cols = ["qid", "clause_id", "kind", "slot", "n_slots", "offset", "is_prefix", "doc_id", "tf", "len",
             "positions", "idf", "avg_len"]
     m = m.select(*cols)
-    return m.repartition(partitions, "qid", "doc_id") if partitions else m.repartition("qid", "doc_id")
+    # an explicit partition count keeps AQE from coalescing this exchange, so the hash
+    # partitioning on (qid, doc_id) survives the checkpoint and later aggregates reuse it
+    n = partitions or int(index.spark.conf.get("spark.sql.shuffle.partitions"))
+    return m.repartition(n, "qid", "doc_id")
 
 
 def leaf_hits(index: TextIndex, matched: DataFrame, terms: DataFrame, explain: bool = False) -> DataFrame:
@@ -137,25 +140,31 @@ def leaf_hits(index: TextIndex, matched: DataFrame, terms: DataFrame, explain: b
         .otherwise(F.lit(1.0))
     row_score = weight * F.col("idf") * bm25_tf(F.col("tf").cast("double"), F.col("len").cast("double"),
                                                 F.col("avg_len"))
-    plain = (matched.filter(~positional)
-             .withColumn("row_score", F.when(constant, F.lit(1.0)).otherwise(row_score))
+    # one aggregate per (qid, doc, clause, slot) over the single (qid, doc_id) exchange; kind and
+    # n_slots are aggregated values, so the branch filters below cannot be pushed under it and
+    # both branches reuse the same exchange
+    per_slot = (matched.withColumn("row_score", F.when(constant, F.lit(1.0)).otherwise(row_score))
+                .groupBy("qid", "doc_id", "clause_id", "slot")
+                .agg(F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
+                     F.max("offset").alias("offset"), F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
+                     F.sum("row_score").alias("row_score"),
+                     F.array_distinct(F.flatten(F.collect_list("positions"))).alias("pos")))
+    # checkpointed once: the postings scan and join run a single time for both branches and
+    # lineage is cut (the checkpoint keeps the (qid, doc_id) partitioning)
+    per_slot = materialize(per_slot)
+    positional = F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)
+    plain = (per_slot.filter(~positional)
              .groupBy("qid", "doc_id", "clause_id")
              .agg(F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
                   F.count(F.lit(1)).alias("n_hit"), F.sum("row_score").alias("s"),
                   *([F.collect_list(F.struct("slot", "row_score")).alias("explain")] if explain else [])))
-    # every_term: exact slots match at most one posting per doc, so rows = matched slots
+    # every_term: exact slots, so rows = matched slots
     plain = plain.filter((F.col("kind") != "every_term") | (F.col("n_hit") == F.col("n_slots")))
     plain = plain.withColumn("score", F.when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"),
                                              F.lit(1.0)).otherwise(F.col("s")))
     # positional clauses: keep (qid, doc, clause) groups holding every slot, then count the
     # distinct starts (pos - offset) common to all slots by intersecting position arrays.
-    # All grouping keys contain (qid, doc_id): no exchange beyond the one in `matched`.
-    per_slot = (matched.filter(positional)
-                .groupBy("qid", "doc_id", "clause_id", "slot")
-                .agg(F.max("n_slots").alias("n_slots"), F.max("offset").alias("offset"),
-                     F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
-                     F.array_distinct(F.flatten(F.collect_list("positions"))).alias("pos")))
-    cand = (per_slot.groupBy("qid", "doc_id", "clause_id")
+    cand = (per_slot.filter(positional).groupBy("qid", "doc_id", "clause_id")
             .agg(F.count(F.lit(1)).alias("k"), F.max("n_slots").alias("n_slots"),
                  F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
                  F.collect_list(F.struct("offset", "pos")).alias("sl"))
