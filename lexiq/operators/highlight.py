@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.analyzers import WORD_PATTERN, Analyzer, _ngrams, _normalize, _edge_ngrams
+from ..functions.stem import apply_stems, stem_dictionary
+from ..session import bounded_broadcast
 from .index import TextIndex
 from .search import analyze_clauses
 
@@ -71,7 +73,7 @@ def highlights(index: TextIndex, results: DataFrame, clauses: DataFrame,
     slots = analyze_clauses(index, clauses).select("qid", "field", "term").distinct()
     vocab = index.vocab().select("field", "term", "df")
     weights = slots.join(vocab, ["field", "term"], "inner").withColumn("wt", 1.0 / (1.0 + F.col("df")))
-    weights = F.broadcast(weights.select("qid", "field", "term", "wt"))
+    weights = bounded_broadcast(weights.select("qid", "field", "term", "wt"))
     hits = results.select("qid", "doc_id").distinct()
     docs = index.docs()
     parts = []
@@ -83,6 +85,8 @@ def highlights(index: TextIndex, results: DataFrame, clauses: DataFrame,
             continue
         d = hits.join(docs.select("doc_id", name), "doc_id").select("qid", "doc_id", F.col(name).alias("text"))
         toks = _tokens_with_offsets(d.select("qid", "doc_id", "text"), an, "text")
+        if an.lang is not None:  # stemmed field: same dictionary rules as the index
+            toks = apply_stems(toks, bounded_broadcast(stem_dictionary(toks, an.lang)))
         toks = toks.withColumn("field", F.lit(name)).join(weights, ["qid", "field", "term"], "left") \
             .fillna(0.0, ["wt"])
         per = toks.groupBy("qid", "doc_id").agg(F.sort_array(F.collect_list(

@@ -36,6 +36,7 @@ def dense_ids(df: DataFrame, start: int) -> DataFrame:
         "_off", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
     offsets = offsets.select("_pid", F.coalesce("_off", F.lit(0)).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    # one row per input partition: bounded by the partition count
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn("doc_id", (F.lit(start) + F.col("_off") + local).cast("long"))
             .drop("_pid", "_mid", "_off"))

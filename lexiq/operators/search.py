@@ -64,7 +64,7 @@ def analyze_clauses(index: TextIndex, clauses: DataFrame) -> DataFrame:
         for name in stemmed:
             part = slots.filter(F.col("field") == name)
             d = stem_dictionary(part, schema.analyzer_of(name).lang)
-            plain = plain.unionByName(apply_stems(part, F.broadcast(d)))
+            plain = plain.unionByName(apply_stems(part, bounded_broadcast(d, SMALL_TABLE_ROWS)))
         slots = plain
     # a term query uses the first token only; a one-token phrase is a term query
     slots = slots.filter(~F.col("kind").isin("term", "term_prefix") | (F.col("slot") == 0))
@@ -97,10 +97,11 @@ def slot_terms(index: TextIndex, slots: DataFrame) -> DataFrame:
     pref = s.filter(F.col("is_prefix")).withColumn("c1", F.substr(F.col("term"), F.lit(1), F.lit(1)))
     v = vocab.withColumn("c1", F.substr(F.col("term"), F.lit(1), F.lit(1))) \
         .withColumnRenamed("term", "vterm")
-    pref = (v.join(F.broadcast(pref), ["field", "c1"], "inner")
+    pref = (v.join(bounded_broadcast(pref, SMALL_TABLE_ROWS), ["field", "c1"], "inner")
             .filter(F.startswith(F.col("vterm"), F.col("term")))
             .drop("term", "c1").withColumnRenamed("vterm", "term"))
     both = exact.unionByName(pref.select(*exact.columns))
+    # one row per field: bounded by the schema, broadcast without a count
     stats = F.broadcast(index.stats().select("field", "n_docs", "avg_len"))
     return (both.join(stats, "field", "inner")
             .withColumn("idf", bm25_idf(F.col("df").cast("double"), F.col("n_docs").cast("double"))))

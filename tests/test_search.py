@@ -31,7 +31,7 @@ def keyword(spark, text, weights):
 
 
 def ids(idx, res):
-    return [r.id for r in fast_field(idx, res, "id").orderBy("rank").collect()] if res.count() else []
+    return [r.value for r in fast_field(idx, res, "id").orderBy("rank").collect()] if res.count() else []
 
 
 @pytest.fixture(scope="module")
