@@ -49,10 +49,12 @@ def main() -> None:
     t = time.time()
     catalog.docs_index(spark, sf_dir)
     times["index_build"] = round(time.time() - t, 3)
+    print(f"index_build: {times['index_build']}s", file=sys.stderr, flush=True)
     for name in HEADLINE:
         t = time.time()
         catalog.QUERIES[name](spark, sf_dir).collect()
         times[name] = round(time.time() - t, 3)
+        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir}))

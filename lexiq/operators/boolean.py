@@ -10,7 +10,7 @@ from .index import TextIndex
 from .search import max_depth_of, slot_counts
 
 
-def query_rejects(index: TextIndex, flat: DataFrame) -> DataFrame:
+def query_rejects(index: TextIndex, flat: DataFrame, specs: DataFrame | None = None) -> DataFrame:
     """rejects(qid, reason) for flattened specs (``clauses.flatten_specs``).
 
     The first error in depth-first clause order wins, as in a recursive conversion:
@@ -20,6 +20,13 @@ def query_rejects(index: TextIndex, flat: DataFrame) -> DataFrame:
     empty Must clauses stay as match-nothing clauses).
     """
     names = index.schema.names
+    flat0 = flat
+    # checked first: a spec without fields or texts is only valid with a match-all somewhere
+    per_q = flat.groupBy("qid").agg(F.min(F.least("n_fields", "n_texts")).alias("m"),
+                                    F.max((F.col("kind") == "all").cast("int")).alias("has_all"))
+    empty = (per_q.filter((F.col("m") <= 0) & (F.col("has_all") == 0))
+             .select("qid", F.lit("Fields or texts cannot be empty").alias("reason")))
+    flat = flat.join(empty.select("qid"), "qid", "left_anti").drop("n_fields", "n_texts")
     leaf = ~F.col("kind").isin("bool", "all")
     errs = flat.withColumn("error", F.coalesce(
         F.col("error"),
@@ -46,4 +53,8 @@ def query_rejects(index: TextIndex, flat: DataFrame) -> DataFrame:
     none = (ok.select("qid").distinct().join(top, "qid", "left")
             .filter(F.coalesce(F.col("u"), F.lit(0)) == 0)
             .select("qid", F.lit("No usable clauses in query").alias("reason")))
-    return first.unionByName(none)
+    out = empty.unionByName(first).unionByName(none)
+    if specs is not None:  # specs whose tree has no clause at all
+        bare = specs.select(F.col("qid").cast("long").alias("qid")).join(flat0.select("qid").distinct(), "qid", "left_anti")
+        out = out.unionByName(bare.select("qid", F.lit("No usable clauses in query").alias("reason")))
+    return out

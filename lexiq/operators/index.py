@@ -42,6 +42,11 @@ def field_tokens(docs: DataFrame, schema: Schema, name: str, id_col: str = "doc_
     positions across values."""
     an = schema.analyzer_of(name)
     dtype = docs.schema[name].dataType
+    if an.kind == "lexicon":
+        from ..functions.lexicon import segment
+        if isinstance(dtype, ArrayType):
+            docs = docs.withColumn(name, F.array_join(name, "\n"))
+        return segment(docs, id_col, name, schema.lexicon_of(name), an.max_word_len, an.limit, an.lower)
     if isinstance(dtype, ArrayType):
         per_value = F.transform(F.coalesce(F.col(name), F.array().cast("array<string>")), lambda v: an.expr(v))
         init = F.struct(F.array().cast("array<struct<pos:int,term:string>>").alias("out"),

@@ -48,11 +48,25 @@ def analyze_clauses(index: TextIndex, clauses: DataFrame) -> DataFrame:
     schema = index.schema
     leaves = clauses.filter(~F.col("kind").isin("bool", "all"))
     toks = None
+    lex_fields = [n for n in schema.names if schema.analyzer_of(n).kind == "lexicon"]
     for name in schema.names:
+        if name in lex_fields:
+            continue
         expr = schema.analyzer_of(name).expr(F.col("text"))
         toks = F.when(F.col("field") == name, expr) if toks is None else toks.when(F.col("field") == name, expr)
-    toks = toks.otherwise(F.array().cast("array<struct<pos:int,term:string>>"))
-    analyzed = leaves.select("qid", "clause_id", "field", "kind", toks.alias("toks"))
+    empty = F.array().cast("array<struct<pos:int,term:string>>")
+    toks = empty if toks is None else toks.otherwise(empty)
+    analyzed = leaves.filter(~F.col("field").isin(lex_fields) | F.col("field").isNull()) \
+        .select("qid", "clause_id", "field", "kind", toks.alias("toks"))
+    if lex_fields:
+        from ..functions.lexicon import segment
+        for name in lex_fields:
+            an = schema.analyzer_of(name)
+            part = leaves.filter(F.col("field") == name).withColumn("_k", F.struct("qid", "clause_id"))
+            seg = segment(part, "_k", "text", schema.lexicon_of(name), an.max_word_len, an.limit, an.lower)
+            seg = seg.select(F.col("doc_id.qid").alias("qid"), F.col("doc_id.clause_id").alias("clause_id"), "toks")
+            analyzed = analyzed.unionByName(part.select("qid", "clause_id", "field", "kind").join(
+                seg, ["qid", "clause_id"]).select("qid", "clause_id", "field", "kind", "toks"))
     slots = analyzed.select("qid", "clause_id", "field", "kind", F.size("toks").alias("n_slots"),
                             F.posexplode("toks").alias("slot", "t"))
     slots = slots.select("qid", "clause_id", "field", "kind", "n_slots", "slot",
@@ -116,78 +130,65 @@ def _record_of(index: TextIndex) -> Column:
 
 
 def matched_postings(index: TextIndex, terms: DataFrame, partitions: int | None = None) -> DataFrame:
-    """postings JOIN broadcast(slot terms), repartitioned once by (qid, doc_id)."""
-    p = index.postings()
-    t = bounded_broadcast(terms, SMALL_TABLE_ROWS)
-    m = p.join(t, ["field", "tb", "term"], "inner")
-    m = m.withColumn("tf", F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")))
-    m = m.withColumn("positions", F.when(F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1),
-                                         F.col("positions")))
-    cols = ["qid", "clause_id", "kind", "slot", "n_slots", "offset", "is_prefix", "doc_id", "tf", "len",
-            "positions", "idf", "avg_len"]
-    m = m.select(*cols)
+    """postings JOIN broadcast(distinct (qid, field, tb, term)), repartitioned once by (qid, doc_id).
+
+    A term used by several clauses or slots of one query is fetched and shuffled once.
+    """
+    keys = bounded_broadcast(terms.select("qid", "field", "tb", "term").distinct(), SMALL_TABLE_ROWS)
+    m = index.postings().join(keys, ["field", "tb", "term"], "inner")
+    m = m.select("qid", "field", "term", "doc_id", "tf", "len", "positions")
     # an explicit partition count keeps AQE from coalescing this exchange, so the hash
-    # partitioning on (qid, doc_id) survives the checkpoint and later aggregates reuse it
+    # partitioning on (qid, doc_id) is reused by every later aggregate
     n = partitions or int(index.spark.conf.get("spark.sql.shuffle.partitions"))
     return m.repartition(n, "qid", "doc_id")
 
 
 def leaf_hits(index: TextIndex, matched: DataFrame, terms: DataFrame, explain: bool = False) -> DataFrame:
-    """(qid, clause_id, doc_id, score) before the clause boost."""
+    """(qid, doc_id, clause_id, score) before the clause boost.
+
+    One aggregate per (qid, doc_id, clause_id), inside the (qid, doc_id) partitions of
+    ``matched``: term-like clauses sum BM25 per slot; positional clauses collect
+    (slot, offset, positions) and intersect the shifted position sets in the row.
+    """
+    t = terms.select("qid", "field", "term", "clause_id", "slot", "kind", "n_slots", "offset", "is_prefix",
+                     "idf", "avg_len")
+    x = matched.join(bounded_broadcast(t, SMALL_TABLE_ROWS), ["qid", "field", "term"], "inner")
+    x = x.withColumn("tf", F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")))
     kind = F.col("kind")
     positional = kind.isin(*POSITIONAL) & (F.col("n_slots") > 1)
     constant = kind.isin("all", "term_prefix") | ((kind == "phrase_prefix") & (F.col("n_slots") == 1))
     weight = F.when(kind == "one_of", F.lit(1.0) - F.lit(0.5) * (F.col("slot") + 1) / F.col("n_slots")) \
         .otherwise(F.lit(1.0))
-    row_score = weight * F.col("idf") * bm25_tf(F.col("tf").cast("double"), F.col("len").cast("double"),
-                                                F.col("avg_len"))
-    # one aggregate per (qid, doc, clause, slot) over the single (qid, doc_id) exchange; kind and
-    # n_slots are aggregated values, so the branch filters below cannot be pushed under it and
-    # both branches reuse the same exchange
-    per_slot = (matched.withColumn("row_score", F.when(constant, F.lit(1.0)).otherwise(row_score))
-                .groupBy("qid", "doc_id", "clause_id", "slot")
-                .agg(F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
-                     F.max("offset").alias("offset"), F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
-                     F.sum("row_score").alias("row_score"),
-                     F.array_distinct(F.flatten(F.collect_list("positions"))).alias("pos")))
-    # checkpointed once: the postings scan and join run a single time for both branches and
-    # lineage is cut (the checkpoint keeps the (qid, doc_id) partitioning)
-    per_slot = materialize(per_slot)
-    positional = F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)
-    plain = (per_slot.filter(~positional)
-             .groupBy("qid", "doc_id", "clause_id")
-             .agg(F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
-                  F.count(F.lit(1)).alias("n_hit"), F.sum("row_score").alias("s"),
-                  *([F.collect_list(F.struct("slot", "row_score")).alias("explain")] if explain else [])))
-    # every_term: exact slots, so rows = matched slots
-    plain = plain.filter((F.col("kind") != "every_term") | (F.col("n_hit") == F.col("n_slots")))
-    plain = plain.withColumn("score", F.when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"),
-                                             F.lit(1.0)).otherwise(F.col("s")))
-    # positional clauses: keep (qid, doc, clause) groups holding every slot, then count the
-    # distinct starts (pos - offset) common to all slots by intersecting position arrays.
-    cand = (per_slot.filter(positional).groupBy("qid", "doc_id", "clause_id")
-            .agg(F.count(F.lit(1)).alias("k"), F.max("n_slots").alias("n_slots"),
-                 F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
-                 F.collect_list(F.struct("offset", "pos")).alias("sl"))
-            .filter(F.col("k") == F.col("n_slots")))
-    cand = cand.withColumn("first", F.col("sl")[0])
-    starts = F.aggregate(
-        F.slice(F.col("sl"), 2, F.col("k")),
-        F.transform(F.col("first.pos"), lambda p: p - F.col("first.offset")),
-        lambda acc, sl: F.array_intersect(acc, F.transform(sl["pos"], lambda p: p - sl["offset"])))
-    pos = (cand.withColumn("freq", F.size(F.array_distinct(starts)))
-           .filter(F.col("freq") > 0)
-           .select("qid", "doc_id", "clause_id", "freq", "len", "avg_len"))
-    # phrase weight: idf summed over the exact slots, duplicates included (small table)
-    exact_idf = (terms.filter(F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1) & ~F.col("is_prefix"))
-                 .groupBy("qid", "clause_id").agg(F.sum("idf").alias("sum_idf")))
-    pos = pos.join(bounded_broadcast(exact_idf, SMALL_TABLE_ROWS), ["qid", "clause_id"], "left")
-    pos = pos.withColumn("score", F.coalesce(F.col("sum_idf"), F.lit(0.0)) *
-                         bm25_tf(F.col("freq").cast("double"), F.col("len").cast("double"), F.col("avg_len")))
-    out_cols = ["qid", "doc_id", "clause_id", "score"] + (["explain"] if explain else [])
-    if explain:
-        pos = pos.withColumn("explain", F.array(F.struct(F.lit(-1).alias("slot"), F.col("score").alias("row_score"))))
-    return plain.select(*out_cols).unionByName(pos.select(*out_cols))
+    row_score = F.when(constant, F.lit(1.0)).otherwise(
+        weight * F.col("idf") * bm25_tf(F.col("tf").cast("double"), F.col("len").cast("double"), F.col("avg_len")))
+    extra = [F.collect_list(F.struct("slot", row_score.alias("row_score"))).alias("explain")] if explain else []
+    agg = x.groupBy("qid", "doc_id", "clause_id").agg(
+        F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"), F.max("len").alias("len"),
+        F.max("avg_len").alias("avg_len"), F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.when(~positional, row_score)).alias("s"),
+        F.collect_list(F.when(positional, F.struct("slot", "offset", "is_prefix", "idf", "positions"))).alias("lst"),
+        *extra)
+    is_pos = F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)
+    agg = agg.withColumn("ds", F.when(is_pos, F.array_distinct(F.transform("lst", lambda e: e["slot"]))))
+    # positions of each distinct slot, shifted by the slot offset (prefix slots may hold several terms)
+    agg = agg.withColumn("sh", F.when(is_pos & (F.size("ds") == F.col("n_slots")), F.transform(
+        "ds", lambda d: F.array_distinct(F.flatten(F.transform(
+            F.filter(F.col("lst"), lambda e: e["slot"] == d),
+            lambda e: F.transform(e["positions"], lambda p: p - e["offset"])))))))
+    starts = F.aggregate(F.slice(F.col("sh"), 2, F.greatest(F.size("sh") - 1, F.lit(1))), F.col("sh")[0],
+                         lambda acc, a: F.array_intersect(acc, a))
+    sum_idf = F.aggregate(F.filter("lst", lambda e: ~e["is_prefix"]), F.lit(0.0), lambda a, e: a + e["idf"])
+    agg = agg.withColumn("freq", F.when(F.col("sh").isNotNull(),
+                                        F.when(F.size("sh") == 1, F.size(F.col("sh")[0])).otherwise(F.size(starts))))
+    score = (F.when(is_pos, sum_idf * bm25_tf(F.col("freq").cast("double"), F.col("len").cast("double"),
+                                              F.col("avg_len")))
+             .when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"), F.lit(1.0))
+             .otherwise(F.col("s")))
+    ok = (F.when(is_pos, F.coalesce(F.col("freq"), F.lit(0)) > 0)
+          .when(F.col("kind") == "every_term", F.col("n_rows") == F.col("n_slots"))
+          .otherwise(F.lit(True)))
+    out_cols = ["qid", "doc_id", "clause_id", score.alias("score")] + (["explain"] if explain else [])
+    return agg.filter(ok).select(*out_cols)
 
 
 # --- 4. boolean fold ---------------------------------------------------------------------

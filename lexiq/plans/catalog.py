@@ -284,7 +284,7 @@ def q_recipe_search(spark, sf):
 def q_saved_queries(spark, sf):
     js = C.spec_json_from_text(bench_queries(spark, sf), ["source", "body"])
     parsed = js.select("qid", F.from_json("spec_json", C.spec_schema(3)).alias("spec"))
-    flat = C.flatten_specs(parsed).drop("error", "path")
+    flat = C.flatten_specs(parsed).drop("error", "path", "n_fields", "n_texts")
     return S.search(docs_index(spark, sf), flat, K, ROUND)
 
 

@@ -175,7 +175,8 @@ def flatten_specs(specs: DataFrame, depth: int = 3, qid: str = "qid", spec: str
             "qid", "clause_id", "parent_id", F.lit(d).alias("depth"), mod.alias("modifier"), kind.alias("kind"),
             F.when(is_leaf, F.get(F.col("fields"), fi)).alias("field"),
             F.when(is_leaf, F.get(F.col("texts"), ti)).alias("text"),
-            F.coalesce(F.col("c.query.boost"), F.lit(1.0)).alias("boost"), err.alias("error"), "path")
+            F.coalesce(F.col("c.query.boost"), F.lit(1.0)).alias("boost"), err.alias("error"), "path",
+            F.coalesce(F.size("fields"), F.lit(0)).alias("n_fields"), F.coalesce(F.size("texts"), F.lit(0)).alias("n_texts"))
         out.append(rows)
         if d < depth:
             cur = cur.filter(kind_idx == 0).select(

@@ -28,6 +28,7 @@ class Schema:
 
     fields: list[FieldSpec] = field(default_factory=list)
     analyzers: dict[str, A.Analyzer] = field(default_factory=lambda: {"default": A.default()})
+    lexicons: dict[str, DataFrame] = field(default_factory=dict)  # analyzer name -> lexicon(word)
 
     def add_text_field(self, name: str, stored: bool = True, is_text: bool = True, is_fast: bool = False,
                        record: int = RECORD_POSITIONS, analyzer: str = "default") -> "Schema":
@@ -38,10 +39,17 @@ class Schema:
         self.fields.append(FieldSpec(name, analyzer, stored, is_fast, record, is_text))
         return self
 
-    def register(self, name: str, analyzer: A.Analyzer) -> "Schema":
+    def register(self, name: str, analyzer: A.Analyzer, lexicon: DataFrame | None = None) -> "Schema":
+        if analyzer.kind == "lexicon" and lexicon is None:
+            raise ValueError("a lexicon analyzer needs a lexicon(word) DataFrame")
         self.analyzers[name] = analyzer
+        if lexicon is not None:
+            self.lexicons[name] = lexicon
         return self
 
+    def lexicon_of(self, name: str) -> DataFrame:
+        return self.lexicons[self.field(name).analyzer]
+
     def field(self, name: str) -> FieldSpec:
         for f in self.fields:
             if f.name == name:

@@ -163,3 +163,39 @@ def test_boolean_matches_set_operations(spark):
     either = docs([C.leaf(1, 1, "should", "term", "body", "the"), C.leaf(1, 2, "should", "term", "body", "of"),
                    C.leaf(1, 3, "must_not", "term", "body", "and")])
     assert either == ((a | b) - c)
+
+
+def test_query_rejects_from_json_specs(spark):
+    import json
+    from lexiq.operators.boolean import query_rejects
+    idx = index(spark, [(0, "", "hello world", "1")])
+    def spec(texts, fields, subs):
+        return json.dumps({"texts": texts, "fields": fields, "query": {"subqueries": subs, "boost": 1.0}})
+    term = lambda fi, ti, mod=0: {"query": {"field_index": fi, "text_index": ti, "boost": 1.0},
+                                  "query_modifier": mod, "query_type": 4}
+    rows = [(1, spec(["hello"], ["body"], [term(0, 5)])),
+            (2, spec(["hello"], ["nosuch"], [term(0, 0)])),
+            (3, spec([], [], [term(0, 0)])),
+            (4, spec([""], ["body"], [term(0, 0, 1)])),
+            (5, spec(["hello"], ["body"], [term(0, 0)]))]
+    js = spark.createDataFrame(rows, "qid long, spec_json string")
+    parsed = js.select("qid", F.from_json("spec_json", C.spec_schema(3)).alias("spec"))
+    got = {r.qid: r.reason for r in query_rejects(idx, C.flatten_specs(parsed), parsed).collect()}
+    assert got == {1: "Invalid text index", 2: "Invalid field name", 3: "Fields or texts cannot be empty",
+                   4: "No usable clauses in query"}
+
+
+def test_lexicon_segmentation(spark):
+    """A lexicon word is found inside a sentence written without spaces (bodyZh / titleZh)."""
+    lex = spark.createDataFrame([("我们",), ("的",), ("售货员",), ("很",), ("热情",)], "word string")
+    s = Schema().register("zh", A.lexicon(), lex).register("raw", A.raw())
+    s.add_text_field("bodyZh", analyzer="zh").add_text_field("titleZh", analyzer="zh").add_text_field("id", analyzer="raw")
+    sentence = "我们的售货员很热情"
+    docs = spark.createDataFrame([(0, sentence, "", "1"), (1, "", sentence, "2")],
+                                 "doc_id long, bodyZh string, titleZh string, id string")
+    idx = build_index(spark, docs, s, term_buckets=2)
+    from lexiq.operators.index import field_tokens
+    toks = field_tokens(docs, s, "bodyZh").filter("doc_id = 0").first().toks
+    assert [t.term for t in toks] == ["我们", "的", "售货员", "很", "热情"]
+    q = spark.createDataFrame([(1, "售货员")], "qid long, text string")
+    assert search(idx, C.keyword_clauses(q, {"bodyZh": 1.0, "titleZh": 1.0}), 10).count() == 2
