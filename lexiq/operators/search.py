@@ -146,49 +146,68 @@ def matched_postings(index: TextIndex, terms: DataFrame, partitions: int | None
 def leaf_hits(index: TextIndex, matched: DataFrame, terms: DataFrame, explain: bool = False) -> DataFrame:
     """(qid, doc_id, clause_id, score) before the clause boost.
 
-    One aggregate per (qid, doc_id, clause_id), inside the (qid, doc_id) partitions of
-    ``matched``: term-like clauses sum BM25 per slot; positional clauses collect
-    (slot, offset, positions) and intersect the shifted position sets in the row.
+    Step 1, one aggregate per (qid, doc_id, clause_id) inside the (qid, doc_id) partitions of
+    ``matched``: term-like clauses sum BM25 over their slots; positional clauses only count
+    matched slots, so a doc is a phrase candidate when every slot is present.
+    Step 2, for candidates only: collect (slot, offset, positions) and intersect the shifted
+    position sets in the row (phrase frequency = number of common starts).
     """
-    t = terms.select("qid", "field", "term", "clause_id", "slot", "kind", "n_slots", "offset", "is_prefix",
-                     "idf", "avg_len")
-    x = matched.join(bounded_broadcast(t, SMALL_TABLE_ROWS), ["qid", "field", "term"], "inner")
-    x = x.withColumn("tf", F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")))
     kind = F.col("kind")
     positional = kind.isin(*POSITIONAL) & (F.col("n_slots") > 1)
-    constant = kind.isin("all", "term_prefix") | ((kind == "phrase_prefix") & (F.col("n_slots") == 1))
     weight = F.when(kind == "one_of", F.lit(1.0) - F.lit(0.5) * (F.col("slot") + 1) / F.col("n_slots")) \
         .otherwise(F.lit(1.0))
+    # slot terms merged per (qid, field, term, clause, role): a term used by several exact
+    # slots of a clause is one row with the summed weight and the number of slots it fills
+    per_term = (terms.groupBy("qid", "field", "term", "clause_id", F.col("is_prefix").cast("int").alias("pfx"))
+                .agg(F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
+                     F.sum(weight).alias("coef"), F.count(F.lit(1)).alias("n_fill"),
+                     F.max("idf").alias("idf"), F.max("avg_len").alias("avg_len")))
+    x = matched.join(bounded_broadcast(per_term, SMALL_TABLE_ROWS), ["qid", "field", "term"], "inner")
+    x = x.withColumn("tf", F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")))
+    constant = kind.isin("all", "term_prefix") | ((kind == "phrase_prefix") & (F.col("n_slots") == 1))
     row_score = F.when(constant, F.lit(1.0)).otherwise(
-        weight * F.col("idf") * bm25_tf(F.col("tf").cast("double"), F.col("len").cast("double"), F.col("avg_len")))
-    extra = [F.collect_list(F.struct("slot", row_score.alias("row_score"))).alias("explain")] if explain else []
+        F.col("coef") * F.col("idf") * bm25_tf(F.col("tf").cast("double"), F.col("len").cast("double"),
+                                               F.col("avg_len")))
+    extra = [F.collect_list(F.struct("term", row_score.alias("row_score"))).alias("explain")] if explain else []
     agg = x.groupBy("qid", "doc_id", "clause_id").agg(
-        F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"), F.max("len").alias("len"),
-        F.max("avg_len").alias("avg_len"), F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.when(~positional, row_score)).alias("s"),
-        F.collect_list(F.when(positional, F.struct("slot", "offset", "is_prefix", "idf", "positions"))).alias("lst"),
-        *extra)
+        F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
+        F.sum(F.when(F.col("pfx") == 0, F.col("n_fill")).otherwise(0)).alias("n_exact"),
+        F.max("pfx").alias("has_pfx"), F.sum(row_score).alias("s"), *extra)
+    # one row per (qid, doc, clause): checkpointed so the matched postings are shuffled once
+    agg = materialize(agg)
     is_pos = F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)
-    agg = agg.withColumn("ds", F.when(is_pos, F.array_distinct(F.transform("lst", lambda e: e["slot"]))))
-    # positions of each distinct slot, shifted by the slot offset (prefix slots may hold several terms)
-    agg = agg.withColumn("sh", F.when(is_pos & (F.size("ds") == F.col("n_slots")), F.transform(
+    full = (F.col("n_exact") + F.col("has_pfx")) == F.col("n_slots")
+    plain = agg.filter(~is_pos & ((F.col("kind") != "every_term") | (F.col("n_exact") == F.col("n_slots"))))
+    plain = plain.withColumn("score", F.when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"),
+                                             F.lit(1.0)).otherwise(F.col("s")))
+    cand = agg.filter(is_pos & full).select("qid", "doc_id", "clause_id")
+    # step 2: positions of the candidates only, read from the (pruned) posting buckets and
+    # joined with size-checked broadcasts of the slot terms and of the candidate set
+    slots = terms.filter(F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)) \
+        .select("qid", "field", "tb", "term", "clause_id", "slot", "offset", "is_prefix", "idf", "avg_len", "n_slots")
+    y = (index.postings().select("field", "tb", "term", "doc_id", "len", "positions")
+         .join(bounded_broadcast(slots, SMALL_TABLE_ROWS), ["field", "tb", "term"], "inner")
+         .join(bounded_broadcast(cand, SMALL_TABLE_ROWS), ["qid", "doc_id", "clause_id"], "left_semi"))
+    pos = y.groupBy("qid", "doc_id", "clause_id").agg(
+        F.max("n_slots").alias("n_slots"), F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
+        F.collect_list(F.struct("slot", "offset", "is_prefix", "idf", "positions")).alias("lst"))
+    pos = pos.withColumn("ds", F.array_distinct(F.transform("lst", lambda e: e["slot"])))
+    # positions of each distinct slot, shifted by the slot offset (a prefix slot may hold several terms)
+    pos = pos.withColumn("sh", F.transform(
         "ds", lambda d: F.array_distinct(F.flatten(F.transform(
             F.filter(F.col("lst"), lambda e: e["slot"] == d),
-            lambda e: F.transform(e["positions"], lambda p: p - e["offset"])))))))
+            lambda e: F.transform(e["positions"], lambda p: p - e["offset"]))))))
     starts = F.aggregate(F.slice(F.col("sh"), 2, F.greatest(F.size("sh") - 1, F.lit(1))), F.col("sh")[0],
                          lambda acc, a: F.array_intersect(acc, a))
     sum_idf = F.aggregate(F.filter("lst", lambda e: ~e["is_prefix"]), F.lit(0.0), lambda a, e: a + e["idf"])
-    agg = agg.withColumn("freq", F.when(F.col("sh").isNotNull(),
-                                        F.when(F.size("sh") == 1, F.size(F.col("sh")[0])).otherwise(F.size(starts))))
-    score = (F.when(is_pos, sum_idf * bm25_tf(F.col("freq").cast("double"), F.col("len").cast("double"),
-                                              F.col("avg_len")))
-             .when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"), F.lit(1.0))
-             .otherwise(F.col("s")))
-    ok = (F.when(is_pos, F.coalesce(F.col("freq"), F.lit(0)) > 0)
-          .when(F.col("kind") == "every_term", F.col("n_rows") == F.col("n_slots"))
-          .otherwise(F.lit(True)))
-    out_cols = ["qid", "doc_id", "clause_id", score.alias("score")] + (["explain"] if explain else [])
-    return agg.filter(ok).select(*out_cols)
+    pos = pos.withColumn("freq", F.size(starts)).filter(F.col("freq") > 0)
+    pos = pos.withColumn("score", sum_idf * bm25_tf(F.col("freq").cast("double"), F.col("len").cast("double"),
+                                                    F.col("avg_len")))
+    out_cols = ["qid", "doc_id", "clause_id", "score"]
+    if explain:
+        pos = pos.withColumn("explain", F.array(F.struct(F.lit("").alias("term"), F.col("score").alias("row_score"))))
+        out_cols.append("explain")
+    return plain.select(*out_cols).unionByName(pos.select(*out_cols))
 
 
 # --- 4. boolean fold ---------------------------------------------------------------------
