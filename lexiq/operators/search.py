@@ -30,6 +30,11 @@ from .index import ALL_FIELD, TextIndex, term_bucket
 K1, B = 1.2, 0.75
 SMALL_TABLE_ROWS = 2_000_000
 POSITIONAL = ("phrase", "phrase_prefix")
+KIND_CODES = ("phrase", "phrase_prefix", "term_prefix", "term", "every_term", "one_of", "all")
+
+
+def _kc(kind: str) -> int:
+    return KIND_CODES.index(kind) + 1
 PREFIX = ("term_prefix", "phrase_prefix")
 
 
@@ -129,12 +134,20 @@ def _record_of(index: TextIndex) -> Column:
     return F.col("field").isin(basic) if basic else F.lit(False)
 
 
+def step1_terms(terms: DataFrame) -> DataFrame:
+    """Terms scanned for every document: all but the prefix expansions of multi-slot phrase
+    prefixes, which only matter for documents that already hold every exact slot and are
+    looked up for those candidates in step 2."""
+    deferred = (F.col("kind") == "phrase_prefix") & (F.col("n_slots") > 1) & F.col("is_prefix")
+    return terms.filter(~deferred)
+
+
 def matched_postings(index: TextIndex, terms: DataFrame, partitions: int | None = None) -> DataFrame:
     """postings JOIN broadcast(distinct (qid, field, tb, term)), repartitioned once by (qid, doc_id).
 
     A term used by several clauses or slots of one query is fetched and shuffled once.
     """
-    keys = bounded_broadcast(terms.select("qid", "field", "tb", "term").distinct(), SMALL_TABLE_ROWS)
+    keys = bounded_broadcast(step1_terms(terms).select("qid", "field", "tb", "term").distinct(), SMALL_TABLE_ROWS)
     m = index.postings().join(keys, ["field", "tb", "term"], "inner")
     m = m.select("qid", "field", "term", "doc_id", "tf", "len", "positions")
     # an explicit partition count keeps AQE from coalescing this exchange, so the hash
@@ -158,25 +171,31 @@ def leaf_hits(index: TextIndex, matched: DataFrame, terms: DataFrame, explain: b
         .otherwise(F.lit(1.0))
     # slot terms merged per (qid, field, term, clause, role): a term used by several exact
     # slots of a clause is one row with the summed weight and the number of slots it fills
-    per_term = (terms.groupBy("qid", "field", "term", "clause_id", F.col("is_prefix").cast("int").alias("pfx"))
-                .agg(F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
+    code = F.array_position(F.array(*[F.lit(k) for k in KIND_CODES]), F.col("kind")).cast("int")
+    per_term = (step1_terms(terms)
+                .groupBy("qid", "field", "term", "clause_id", F.col("is_prefix").cast("int").alias("pfx"))
+                .agg(F.max(code).alias("kc"), F.max("n_slots").alias("n_slots"),
                      F.sum(weight).alias("coef"), F.count(F.lit(1)).alias("n_fill"),
                      F.max("idf").alias("idf"), F.max("avg_len").alias("avg_len")))
     x = matched.join(bounded_broadcast(per_term, SMALL_TABLE_ROWS), ["qid", "field", "term"], "inner")
     x = x.withColumn("tf", F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")))
-    constant = kind.isin("all", "term_prefix") | ((kind == "phrase_prefix") & (F.col("n_slots") == 1))
+    # integer kind codes keep every aggregation buffer fixed-width (hash aggregate, codegen)
+    kc = F.col("kc")
+    constant = kc.isin(_kc("all"), _kc("term_prefix")) | ((kc == _kc("phrase_prefix")) & (F.col("n_slots") == 1))
     row_score = F.when(constant, F.lit(1.0)).otherwise(
         F.col("coef") * F.col("idf") * bm25_tf(F.col("tf").cast("double"), F.col("len").cast("double"),
                                                F.col("avg_len")))
     extra = [F.collect_list(F.struct("term", row_score.alias("row_score"))).alias("explain")] if explain else []
     agg = x.groupBy("qid", "doc_id", "clause_id").agg(
-        F.first("kind").alias("kind"), F.max("n_slots").alias("n_slots"),
+        F.max("kc").alias("kc"), F.max("n_slots").alias("n_slots"),
         F.sum(F.when(F.col("pfx") == 0, F.col("n_fill")).otherwise(0)).alias("n_exact"),
         F.max("pfx").alias("has_pfx"), F.sum(row_score).alias("s"), *extra)
+    agg = agg.withColumn("kind", F.element_at(F.array(*[F.lit(k) for k in KIND_CODES]), F.col("kc"))).drop("kc")
     # one row per (qid, doc, clause): checkpointed so the matched postings are shuffled once
     agg = materialize(agg)
     is_pos = F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)
-    full = (F.col("n_exact") + F.col("has_pfx")) == F.col("n_slots")
+    n_exact_needed = F.col("n_slots") - F.when(F.col("kind") == "phrase_prefix", 1).otherwise(0)
+    full = F.col("n_exact") == n_exact_needed
     plain = agg.filter(~is_pos & ((F.col("kind") != "every_term") | (F.col("n_exact") == F.col("n_slots"))))
     plain = plain.withColumn("score", F.when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"),
                                              F.lit(1.0)).otherwise(F.col("s")))
