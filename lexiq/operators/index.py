@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType
 
 from ..functions.stem import apply_stems, stem_dictionary
 from ..plans.schema import RECORD_BASIC, RECORD_POSITIONS, Schema
-from ..session import bounded_broadcast, new_table_path
+from ..session import bounded_broadcast, new_table_path, spread
 
 ALL_FIELD = "_all"  # every document holds the empty term here: match-all is a posting list
 DEFAULT_TERM_BUCKETS = 16
@@ -194,7 +194,7 @@ def build_index(spark: SparkSession, docs: DataFrame, schema: Schema, id_col: st
     for name in schema.names:
         if name not in docs.columns:
             raise ValueError(f"missing column for field: {name}")
-    write_postings(corpus_postings(docs, schema, id_col, stem_dicts), f"{path}/postings", term_buckets)
+    write_postings(corpus_postings(spread(docs), schema, id_col, stem_dicts), f"{path}/postings", term_buckets)
     p = spark.read.parquet(f"{path}/postings")
     write_vocab(p, f"{path}/vocab")
     compute_stats(p).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")

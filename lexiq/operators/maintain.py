@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.schema import Schema
-from ..session import bounded_broadcast, new_table_path, path_exists
+from ..session import bounded_broadcast, new_table_path, path_exists, spread
 from .index import ALL_FIELD, DEFAULT_TERM_BUCKETS, TextIndex, compute_stats, corpus_postings, term_bucket
 
 
@@ -102,7 +102,7 @@ class VersionedIndex:
             keyed = dense_ids(adds, self._total_adds())
             keyed.write.mode("overwrite").parquet(f"{self.path}/adds/version={v}")
             written = self.spark.read.parquet(f"{self.path}/adds/version={v}")
-            p = corpus_postings(written, self.schema, "doc_id")
+            p = corpus_postings(spread(written), self.schema, "doc_id")
             (p.withColumn("tb", term_bucket(F.col("term"), self.term_buckets))
              .hint("rebalance", "field", "tb").sortWithinPartitions("field", "tb", "term", "doc_id")
              .write.mode("overwrite").partitionBy("field", "tb").parquet(f"{self.path}/postings/version={v}"))

@@ -2,19 +2,17 @@
 
 Plan shape for a query batch (see README "Plan"):
 
-1. ``slots``: clause text analyzed with the field's analyzer (small table).
+1. ``slots``: clause text analyzed with the field's analyzer (small table, checkpointed).
 2. ``slot_terms``: exact slots joined to the vocabulary on (field, tb, term) for ``df``;
    prefix slots expanded through the vocabulary (equi-join on the first character plus
-   ``startswith``). Statistics (N, avg_len) and idf are attached here, so every posting
-   row can be scored without another join.
-3. ``matched``: postings JOIN broadcast(slot_terms) on (field, tb, term) -- the postings
-   side is never shuffled for the join and dynamic partition pruning reads only the term
-   buckets the batch needs.
-4. One repartition by (qid, doc_id); every later aggregate groups by keys that contain
-   (qid, doc_id), so leaf scoring, phrase division and the boolean fold need no further
-   exchange. No key is hot: a single (qid, doc) holds at most one row per slot.
-5. Top-k per qid with ``row_number`` (Spark plans a partial WindowGroupLimit before the
-   exchange, so at most k rows per qid per task move).
+   ``startswith``). Statistics (N, avg_len) and idf are attached here.
+3. Leaf step 1: postings JOIN broadcast(slot terms merged per clause) on (field, tb, term)
+   -- map-side, dynamic partition pruning reads only the needed term buckets -- then one
+   hash aggregate per (qid, doc_id, clause_id), partial before a numeric-only exchange.
+   No key is hot: one (qid, doc) holds at most one row per clause term.
+4. Leaf step 2 (phrases): only candidate docs holding every exact slot read positions.
+5. Boolean fold level by level, then top-k per qid with ``row_number`` (Spark plans a
+   partial WindowGroupLimit before the exchange, so at most k rows per qid per task move).
 """
 
 from __future__ import annotations
@@ -142,25 +140,11 @@ def step1_terms(terms: DataFrame) -> DataFrame:
     return terms.filter(~deferred)
 
 
-def matched_postings(index: TextIndex, terms: DataFrame, partitions: int | None = None) -> DataFrame:
-    """postings JOIN broadcast(distinct (qid, field, tb, term)), repartitioned once by (qid, doc_id).
-
-    A term used by several clauses or slots of one query is fetched and shuffled once.
-    """
-    keys = bounded_broadcast(step1_terms(terms).select("qid", "field", "tb", "term").distinct(), SMALL_TABLE_ROWS)
-    m = index.postings().join(keys, ["field", "tb", "term"], "inner")
-    m = m.select("qid", "field", "term", "doc_id", "tf", "len", "positions")
-    # an explicit partition count keeps AQE from coalescing this exchange, so the hash
-    # partitioning on (qid, doc_id) is reused by every later aggregate
-    n = partitions or int(index.spark.conf.get("spark.sql.shuffle.partitions"))
-    return m.repartition(n, "qid", "doc_id")
-
-
-def leaf_hits(index: TextIndex, matched: DataFrame, terms: DataFrame, explain: bool = False) -> DataFrame:
+def leaf_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> DataFrame:
     """(qid, doc_id, clause_id, score) before the clause boost.
 
-    Step 1, one aggregate per (qid, doc_id, clause_id) inside the (qid, doc_id) partitions of
-    ``matched``: term-like clauses sum BM25 over their slots; positional clauses only count
+    Step 1, one aggregate per (qid, doc_id, clause_id) over postings joined map-side with the
+    query terms: term-like clauses sum BM25 over their slots; positional clauses only count
     matched slots, so a doc is a phrase candidate when every slot is present.
     Step 2, for candidates only: collect (slot, offset, positions) and intersect the shifted
     position sets in the row (phrase frequency = number of common starts).
@@ -177,7 +161,12 @@ def leaf_hits(index: TextIndex, matched: DataFrame, terms: DataFrame, explain: b
                 .agg(F.max(code).alias("kc"), F.max("n_slots").alias("n_slots"),
                      F.sum(weight).alias("coef"), F.count(F.lit(1)).alias("n_fill"),
                      F.max("idf").alias("idf"), F.max("avg_len").alias("avg_len")))
-    x = matched.join(bounded_broadcast(per_term, SMALL_TABLE_ROWS), ["qid", "field", "term"], "inner")
+    # map-side: every posting of a query term meets the (qid, clause) rows using it through a
+    # size-checked broadcast; the aggregate below combines partially before a numeric-only
+    # exchange on (qid, doc_id, clause_id) -- no string and no positions cross the network
+    tb = term_bucket(F.col("term"), index.term_buckets)
+    pt = bounded_broadcast(per_term.withColumn("tb", tb), SMALL_TABLE_ROWS)
+    x = index.postings().select("field", "tb", "term", "doc_id", "tf", "len").join(pt, ["field", "tb", "term"], "inner")
     x = x.withColumn("tf", F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")))
     # integer kind codes keep every aggregation buffer fixed-width (hash aggregate, codegen)
     kc = F.col("kc")
@@ -304,8 +293,7 @@ def search_hits(index: TextIndex, clauses: DataFrame, max_depth: int | None = No
     clauses = materialize(clauses)
     slots = analyze_clauses(index, clauses)
     terms = materialize(slot_terms(index, slots))
-    matched = matched_postings(index, terms)
-    hits = leaf_hits(index, matched, terms, explain=explain)
+    hits = leaf_hits(index, terms, explain=explain)
     if explain:
         return hits
     depth = max_depth or max_depth_of(clauses)

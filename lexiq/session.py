@@ -64,6 +64,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields fewer partitions
+    than cores (e.g. one large row group); CPU-heavy tokenization then uses every core.
+    With many input files (the normal case at scale) this is a no-op."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
