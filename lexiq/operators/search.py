@@ -180,14 +180,19 @@ def leaf_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> Data
         F.sum(F.when(F.col("pfx") == 0, F.col("n_fill")).otherwise(0)).alias("n_exact"),
         F.max("pfx").alias("has_pfx"), F.sum(row_score).alias("s"), *extra)
     agg = agg.withColumn("kind", F.element_at(F.array(*[F.lit(k) for k in KIND_CODES]), F.col("kc"))).drop("kc")
-    # one row per (qid, doc, clause): checkpointed so the matched postings are shuffled once
-    agg = materialize(agg)
+    has_pos = terms.filter(F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)).limit(1).count() > 0
+    if has_pos:
+        # one row per (qid, doc, clause): checkpointed so step 1 runs once for both branches
+        agg = materialize(agg)
     is_pos = F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)
     n_exact_needed = F.col("n_slots") - F.when(F.col("kind") == "phrase_prefix", 1).otherwise(0)
     full = F.col("n_exact") == n_exact_needed
     plain = agg.filter(~is_pos & ((F.col("kind") != "every_term") | (F.col("n_exact") == F.col("n_slots"))))
     plain = plain.withColumn("score", F.when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"),
                                              F.lit(1.0)).otherwise(F.col("s")))
+    out_cols = ["qid", "doc_id", "clause_id", "score"] + (["explain"] if explain else [])
+    if not has_pos:
+        return plain.select(*out_cols)
     cand = agg.filter(is_pos & full).select("qid", "doc_id", "clause_id")
     # step 2: positions of the candidates only, read from the (pruned) posting buckets and
     # joined with size-checked broadcasts of the slot terms and of the candidate set
@@ -211,10 +216,8 @@ def leaf_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> Data
     pos = pos.withColumn("freq", F.size(starts)).filter(F.col("freq") > 0)
     pos = pos.withColumn("score", sum_idf * bm25_tf(F.col("freq").cast("double"), F.col("len").cast("double"),
                                                     F.col("avg_len")))
-    out_cols = ["qid", "doc_id", "clause_id", "score"]
     if explain:
         pos = pos.withColumn("explain", F.array(F.struct(F.lit("").alias("term"), F.col("score").alias("row_score"))))
-        out_cols.append("explain")
     return plain.select(*out_cols).unionByName(pos.select(*out_cols))
 
 
