@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.analyzers import WORD_PATTERN, Analyzer, _ngrams, _normalize, _edge_ngrams
 from ..functions.stem import apply_stems, stem_dictionary
-from ..session import bounded_broadcast
+from ..session import bounded_broadcast, materialize
 from .index import TextIndex
 from .search import analyze_clauses
 
@@ -72,9 +72,9 @@ def highlights(index: TextIndex, results: DataFrame, clauses: DataFrame,
     schema = index.schema
     slots = analyze_clauses(index, clauses).select("qid", "field", "term").distinct()
     vocab = index.vocab().select("field", "term", "df")
-    weights = slots.join(vocab, ["field", "term"], "inner").withColumn("wt", 1.0 / (1.0 + F.col("df")))
+    weights = vocab.join(bounded_broadcast(slots), ["field", "term"], "inner").withColumn("wt", 1.0 / (1.0 + F.col("df")))
     weights = bounded_broadcast(weights.select("qid", "field", "term", "wt"))
-    hits = results.select("qid", "doc_id").distinct()
+    hits = bounded_broadcast(materialize(results.select("qid", "doc_id").distinct()))
     docs = index.docs()
     parts = []
     for name in schema.stored:
@@ -83,7 +83,7 @@ def highlights(index: TextIndex, results: DataFrame, clauses: DataFrame,
         an = schema.analyzer_of(name)
         if an.kind == "lexicon":
             continue
-        d = hits.join(docs.select("doc_id", name), "doc_id").select("qid", "doc_id", F.col(name).alias("text"))
+        d = docs.select("doc_id", name).join(hits, "doc_id").select("qid", "doc_id", F.col(name).alias("text"))
         toks = _tokens_with_offsets(d.select("qid", "doc_id", "text"), an, "text")
         if an.lang is not None:  # stemmed field: same dictionary rules as the index
             toks = apply_stems(toks, bounded_broadcast(stem_dictionary(toks, an.lang)))

@@ -110,7 +110,7 @@ def slot_terms(index: TextIndex, slots: DataFrame) -> DataFrame:
     s = slots.withColumn("is_prefix", prefix_slot)
     vocab = index.vocab()
     exact = s.filter(~F.col("is_prefix")).withColumn("tb", term_bucket(F.col("term"), index.term_buckets))
-    exact = exact.join(vocab, ["field", "tb", "term"], "inner")
+    exact = vocab.join(bounded_broadcast(exact, SMALL_TABLE_ROWS), ["field", "tb", "term"], "inner")
     pref = s.filter(F.col("is_prefix")).withColumn("c1", F.substr(F.col("term"), F.lit(1), F.lit(1)))
     v = vocab.withColumn("c1", F.substr(F.col("term"), F.lit(1), F.lit(1))) \
         .withColumnRenamed("term", "vterm")
@@ -241,10 +241,13 @@ def fold(clauses: DataFrame, hits: DataFrame, max_depth: int) -> DataFrame:
     the matching Must and Should children times the group boost.
     """
     info = bounded_broadcast(clause_info(clauses), SMALL_TABLE_ROWS)
-    ginfo = bounded_broadcast(group_info(clauses), SMALL_TABLE_ROWS)
     rows = hits.join(info, ["qid", "clause_id"], "inner") \
         .withColumn("score", F.col("score") * F.col("boost")) \
         .select("qid", "doc_id", "clause_id", "parent_id", "depth", "modifier", "score")
+    if single_leaf_batch(clauses):
+        # every query is one top-level must/should leaf: the fold is the identity (x boost)
+        return rows.select("qid", "doc_id", "score")
+    ginfo = bounded_broadcast(group_info(clauses), SMALL_TABLE_ROWS)
     pending = None
     for level in range(max_depth, 0, -1):
         children = rows.filter(F.col("depth") == level)
@@ -271,6 +274,14 @@ def fold(clauses: DataFrame, hits: DataFrame, max_depth: int) -> DataFrame:
     raise ValueError("max_depth must be >= 1")
 
 
+def single_leaf_batch(clauses: DataFrame) -> bool:
+    """True when every query is a single top-level Must/Should leaf (one small aggregate)."""
+    bad = (F.col("kind") == "bool") | (F.col("modifier") == "must_not") | (F.col("depth") != 1)
+    per_q = clauses.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.max(bad.cast("int")).alias("b"))
+    r = per_q.agg(F.max("n").alias("n"), F.max("b").alias("b")).first()
+    return r is not None and r["n"] == 1 and r["b"] == 0
+
+
 def max_depth_of(clauses: DataFrame) -> int:
     """Deepest level in the batch (one aggregated number)."""
     d = clauses.agg(F.max("depth")).first()[0]
@@ -292,7 +303,6 @@ def top_k(hits: DataFrame, k: int, round_digits: int | None = None) -> DataFrame
 def search_hits(index: TextIndex, clauses: DataFrame, max_depth: int | None = None,
                 explain: bool = False) -> DataFrame:
     """All matching (qid, doc_id, score) of a clause table (before top-k)."""
-    clauses = clauses.filter(F.col("kind") != "bool").unionByName(clauses.filter(F.col("kind") == "bool"))
     clauses = materialize(clauses)
     slots = analyze_clauses(index, clauses)
     terms = materialize(slot_terms(index, slots))
@@ -304,6 +314,19 @@ def search_hits(index: TextIndex, clauses: DataFrame, max_depth: int | None = No
 
 
 def search(index: TextIndex, clauses: DataFrame, k: int, round_digits: int | None = None,
-           max_depth: int | None = None) -> DataFrame:
-    """results(qid, rank, doc_id, score)."""
+           max_depth: int | None = None, prune: bool = False) -> DataFrame:
+    """results(qid, rank, doc_id, score).
+
+    ``prune=True`` routes purely disjunctive batches through exact MaxScore pruning
+    (``operators.topk``); it pays off when a query's rare terms dominate its score, and is
+    off by default because on uniform text the candidate scoring costs more than it saves.
+    """
+    if k is None or k < 1:
+        raise ValueError("docsLimit must be greater than 0")
+    if prune:
+        from .topk import eligible, topk_disjunctive
+        clauses = materialize(clauses)
+        if eligible(clauses):
+            terms = materialize(slot_terms(index, analyze_clauses(index, clauses)))
+            return topk_disjunctive(index, clauses, terms, k, round_digits)
     return top_k(search_hits(index, clauses, max_depth), k, round_digits)

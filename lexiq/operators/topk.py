@@ -1,0 +1,91 @@
+"""Exact top-k pruning (MaxScore, Turtle & Flood 1995) for disjunctive query batches.
+
+Applies when every clause of the batch is a top-level Should leaf of kind ``term`` or
+``one_of``: a document's score is then sum_t c(q,t) * imp(t,d) with c >= 0.
+
+1. ``u(q,t) = c(q,t) * max_d imp(t,d)``: the largest contribution term t can make to q
+   (one aggregate over the postings of the batch's distinct terms).
+2. ``theta(q)``: the k-th best *partial* score over the documents holding one of q's
+   ``probe`` highest-u terms -- partial scores are lower bounds of full scores, so at least
+   k documents score >= theta.
+3. Sorting q's terms by u, the longest prefix whose summed u stays below theta (minus the
+   rounding margin) is non-essential: a document holding only those terms cannot reach the
+   top k. Only documents holding an essential term are scored, exactly, with all terms.
+
+Results equal the exhaustive plan (ties included: the margin covers score rounding).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..session import bounded_broadcast, materialize
+from .index import TextIndex
+from .search import SMALL_TABLE_ROWS, _record_of, bm25_tf
+
+PROBE_TERMS = 2
+
+
+def eligible(clauses: DataFrame) -> bool:
+    bad = (F.col("depth") != 1) | (F.col("modifier") != "should") | ~F.col("kind").isin("term", "one_of") | \
+        (F.col("boost") < 0)
+    return clauses.filter(bad).limit(1).count() == 0
+
+
+def _postings_of(index: TextIndex, keys: DataFrame) -> DataFrame:
+    """Postings of the distinct (field, tb, term) in ``keys`` (broadcast semi-join: dynamic
+    partition pruning reads only their term buckets)."""
+    p = index.postings().select("field", "tb", "term", "doc_id", "tf", "len")
+    k = bounded_broadcast(keys.select("field", "tb", "term").distinct(), SMALL_TABLE_ROWS)
+    return p.join(k, ["field", "tb", "term"], "left_semi")
+
+
+def _imp(index: TextIndex) -> F.Column:
+    tf = F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")).cast("double")
+    return F.col("idf") * bm25_tf(tf, F.col("len").cast("double"), F.col("avg_len"))
+
+
+def topk_disjunctive(index: TextIndex, clauses: DataFrame, terms: DataFrame, k: int,
+                     round_digits: int | None = None) -> DataFrame:
+    """results(qid, rank, doc_id, score) for an eligible batch; ``terms`` = slot terms."""
+    from .search import top_k
+    boosts = bounded_broadcast(clauses.select("qid", "clause_id", "boost"), SMALL_TABLE_ROWS)
+    weight = F.when(F.col("kind") == "one_of", F.lit(1.0) - F.lit(0.5) * (F.col("slot") + 1) / F.col("n_slots")) \
+        .otherwise(F.lit(1.0))
+    w = materialize(terms.join(boosts, ["qid", "clause_id"])
+                    .groupBy("qid", "field", "tb", "term")
+                    .agg(F.sum(weight * F.col("boost")).alias("c"), F.max("idf").alias("idf"),
+                         F.max("avg_len").alias("avg_len")))
+    stat = w.select("field", "tb", "term", "idf", "avg_len").distinct()
+    # 1. upper bound of each term's contribution
+    ub = (_postings_of(index, stat).join(bounded_broadcast(stat, SMALL_TABLE_ROWS), ["field", "tb", "term"])
+          .groupBy("field", "term").agg(F.max(_imp(index)).alias("ub")))
+    w = materialize(w.join(bounded_broadcast(ub, SMALL_TABLE_ROWS), ["field", "term"])
+                    .withColumn("u", F.col("c") * F.col("ub")))
+    # 2. theta: k-th best partial score over the probe terms (partial <= full score)
+    by_u = Window.partitionBy("qid").orderBy(F.col("u").desc(), F.col("term"))
+    probe = w.withColumn("r", F.row_number().over(by_u)).filter(F.col("r") <= PROBE_TERMS).drop("r")
+    partial = (_postings_of(index, probe).join(bounded_broadcast(probe, SMALL_TABLE_ROWS), ["field", "tb", "term"])
+               .groupBy("qid", "doc_id").agg(F.sum(F.col("c") * _imp(index)).alias("ps")))
+    kth = Window.partitionBy("qid").orderBy(F.col("ps").desc())
+    theta = (partial.withColumn("r", F.row_number().over(kth)).filter(F.col("r") <= k)  # partial WindowGroupLimit
+             .groupBy("qid").agg(F.min("ps").alias("theta"), F.count(F.lit(1)).alias("n"))
+             .filter(F.col("n") == k).select("qid", "theta"))
+    margin = 0.0 if round_digits is None else 10.0 ** (-round_digits)
+    # 3. essential terms: all but the ascending-u prefix whose summed bound stays below theta
+    asc = Window.partitionBy("qid").orderBy(F.col("u"), F.col("term")).rowsBetween(Window.unboundedPreceding, 0)
+    w2 = materialize(w.join(bounded_broadcast(theta, SMALL_TABLE_ROWS), "qid", "left")
+                     .withColumn("cum_u", F.sum("u").over(asc))
+                     .withColumn("essential", F.col("theta").isNull() |
+                                 (F.col("cum_u") >= F.col("theta") - F.lit(margin))))
+    ess = w2.filter("essential")
+    cand = materialize(_postings_of(index, ess).join(bounded_broadcast(ess.select("qid", "field", "tb", "term"),
+                                                                       SMALL_TABLE_ROWS), ["field", "tb", "term"])
+                       .select("qid", "doc_id").distinct())
+    # 4. exact scores of the candidates with every term of their query
+    allw = w2.select("qid", "field", "tb", "term", "c", "idf", "avg_len")
+    x = (_postings_of(index, allw).join(bounded_broadcast(cand, SMALL_TABLE_ROWS), "doc_id")
+         .join(bounded_broadcast(allw, SMALL_TABLE_ROWS), ["qid", "field", "tb", "term"]))
+    hits = x.groupBy("qid", "doc_id").agg(F.sum(F.col("c") * _imp(index)).alias("score"))
+    return top_k(hits, k, round_digits)
