@@ -37,6 +37,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not conf:
         conf = spark.sparkContext.getCheckpointDir()
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder would not survive the loss of an executor
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf = tempfile.mkdtemp(prefix="lexiq-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     if spark.sparkContext.getCheckpointDir() is None:
