@@ -33,7 +33,6 @@ KIND_CODES = ("phrase", "phrase_prefix", "term_prefix", "term", "every_term", "o
 
 def _kc(kind: str) -> int:
     return KIND_CODES.index(kind) + 1
-PREFIX = ("term_prefix", "phrase_prefix")
 
 
 def bm25_idf(df: Column, n_docs: Column) -> Column:
