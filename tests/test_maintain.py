@@ -1,4 +1,4 @@
-"""Batch add / delete / replace and version log (batch and opstamp tests of the reference)."""
+"""Batch add / delete / replace and the version log (batch and version tests of the reference)."""
 
 from pyspark.sql import functions as F
 
