@@ -142,6 +142,16 @@ def q_stem_join(spark, sf):
     return stem_dictionary(terms, "en")
 
 
+def q_lexicon_segment(spark, sf):
+    """T9 over the documents with a lexicon derived from the benchmark words (no Han text
+    occurs in this corpus, so every chunk is a word run; the Han walk is tested in pytest)."""
+    from ..functions.lexicon import segment
+    lex = table(spark, sf, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit(A.WORD_PATTERN), 0)).alias("word")).distinct()
+    seg = segment(table(spark, sf, "documents"), "doc_id", "text", lex, 8, 40, True)
+    return seg.select("doc_id", F.inline("toks")).select("doc_id", F.col("pos").cast("long").alias("pos"), "term")
+
+
 # --- A: index statistics ----------------------------------------------------------------
 
 def q_postings_tf(spark, sf):
@@ -473,6 +483,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ngrams_title": q_ngrams_title,
     "edge_ngrams_title": q_edge_ngrams_title,
     "stem_join": q_stem_join,
+    "lexicon_segment": q_lexicon_segment,
     "postings_tf": q_postings_tf,
     "doc_length": q_doc_length,
     "vocab_df": q_vocab_df,

@@ -221,6 +221,8 @@ def _edge_tokens() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "tokenize_simple": f"SELECT id AS doc_id, pos, term FROM ({tok('documents', 'doc_id', 'text', fold=False)})",
+    # no Han text in this corpus: every chunk is a word run, positions keep gaps of dropped tokens
+    "lexicon_segment": f"SELECT id AS doc_id, pos, term FROM ({tok('documents', 'doc_id', 'text', fold=False)})",
     "fold_accents": f"SELECT term, count(*) AS n FROM ({tok('documents', 'doc_id', 'text')}) GROUP BY term",
     "drop_long": (f"SELECT d.doc_id, count(t.pos) AS n_kept, coalesce(sum(t.pos), 0)::BIGINT AS pos_sum FROM documents d "
                   f"LEFT JOIN ({tok('documents', 'doc_id', 'text', limit=6, fold=False)}) t ON t.id = d.doc_id GROUP BY d.doc_id"),
