@@ -299,10 +299,32 @@ def top_k(hits: DataFrame, k: int, round_digits: int | None = None) -> DataFrame
             .select("qid", F.col("rank").cast("long").alias("rank"), "doc_id", "score"))
 
 
+def flatten_should_groups(clauses: DataFrame) -> DataFrame:
+    """Lift the leaves of Should groups whose children are all Should leaves into the
+    group's parent (boosts multiplied). Same matches and scores: such a group matches when
+    any child does and adds the children's summed score; one fold level less."""
+    kids = clauses.groupBy("qid", F.col("parent_id").alias("clause_id")).agg(
+        F.max(((F.col("modifier") != "should") | (F.col("kind") == "bool")).cast("int")).alias("bad"))
+    lift = (clauses.filter((F.col("kind") == "bool") & (F.col("modifier") == "should"))
+            .join(kids, ["qid", "clause_id"], "inner").filter(F.col("bad") == 0)
+            .select("qid", F.col("clause_id").alias("g"), F.col("parent_id").alias("g_parent"),
+                    F.col("depth").alias("g_depth"), F.col("boost").alias("g_boost")))
+    lift = materialize(lift)
+    cols = clauses.columns
+    out = (clauses.join(bounded_broadcast(lift.withColumnRenamed("g", "parent_id"), SMALL_TABLE_ROWS),
+                        ["qid", "parent_id"], "left")
+           .withColumn("parent_id", F.coalesce("g_parent", "parent_id"))
+           .withColumn("depth", F.coalesce("g_depth", "depth"))
+           .withColumn("boost", F.col("boost") * F.coalesce("g_boost", F.lit(1.0)))
+           .select(*cols))
+    gone = bounded_broadcast(lift.select("qid", F.col("g").alias("clause_id")), SMALL_TABLE_ROWS)
+    return out.join(gone, ["qid", "clause_id"], "left_anti")
+
+
 def search_hits(index: TextIndex, clauses: DataFrame, max_depth: int | None = None,
                 explain: bool = False) -> DataFrame:
     """All matching (qid, doc_id, score) of a clause table (before top-k)."""
-    clauses = materialize(clauses)
+    clauses = materialize(flatten_should_groups(materialize(clauses)))
     slots = analyze_clauses(index, clauses)
     terms = materialize(slot_terms(index, slots))
     hits = leaf_hits(index, terms, explain=explain)
