@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP1_SQL, op1_chat_formatting
 from .mixing import op3_mixing
+from .ngram_join import op2_ngram_jaccard_join
 from .quality import op5_quality_rules
+from .repeats import op10_substring_dedup
 from .sharding import op9_sharding
 from .token_counts import op4_token_counts
 from .token_files import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
     "op9_sharding": op9_sharding,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": OP1_SQL,
