@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP1_SQL, op1_chat_formatting
+from .decontaminate import op6_decontamination
 from .mixing import op3_mixing
 from .ngram_join import op2_ngram_jaccard_join
 from .quality import op5_quality_rules
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
     "op9_sharding": op9_sharding,
     "op10_substring_dedup": op10_substring_dedup,
