@@ -152,5 +152,11 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
             .select("doc_id", "item_id", "similarity", "hamming", "window_start", "window_words", "n_windows"))
 
 
+def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold an item."""
+    gone = stored(find_leaks(docs, items).select(F.col("doc_id").alias("_gone")).distinct(), "leaks")
+    return docs.join(small(gone), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -94,13 +94,16 @@ def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Col
     least = F.greatest(F.lit(0), draws - (total - good), F.floor(mean - spread))
     most = F.least(draws, good, F.ceil(mean + spread))
     support = F.sequence(least, most)
-    state = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum"), least.alias("k"))
     up = lambda p, x: p * (k - x) * (d - x) / ((x + 1) * F.greatest(n - k - d + x + 1, F.lit(1.0)))
-    weight = F.aggregate(support, state, lambda a, x: F.struct(
-        up(a["p"], x.cast("double")).alias("p"), (a["sum"] + a["p"]).alias("sum"), x.alias("k")), lambda a: a["sum"])
+    weight = F.aggregate(
+        support, F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum")),
+        lambda a, x: F.struct(up(a["p"], x.cast("double")).alias("p"), (a["sum"] + a["p"]).alias("sum")),
+        lambda a: a["sum"])
+    # the point to stop at is part of the state: an expression inside the step would be evaluated at each step
+    state = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum"), least.alias("k"), (u * weight).alias("stop"))
     return F.aggregate(support, state, lambda a, x: F.struct(
         up(a["p"], x.cast("double")).alias("p"), (a["sum"] + a["p"]).alias("sum"),
-        F.when(a["sum"] <= u * weight, x).otherwise(a["k"]).alias("k")), lambda a: a["k"])
+        F.when(a["sum"] <= a["stop"], x).otherwise(a["k"]).alias("k"), a["stop"].alias("stop")), lambda a: a["k"])
 
 
 def splitting_tree(quotas: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:

@@ -38,9 +38,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
-from .common import documents, small, stored
+from .common import documents, small, stored, without
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -203,7 +204,8 @@ def needed(n: Column, size: Column) -> Column:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, component_id, node, kept) of every row of ``docs`` (doc_id, text). ``node``
+    stands for the token set; ``kept`` marks the rows of a component's first id and token set."""
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("rank")
     texts = docs.select(rank, "text")
     rows = stored(sketch(texts, rarity(texts)), "sketch")
@@ -262,12 +264,51 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     roots = components(links)
     noted = rows.select("rank", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    heads = noted.filter("n > 0").groupBy("root").agg(F.min("rank").alias("head"))
+    heads = noted.filter("n > 0").groupBy("root").agg(F.min(F.struct("rank", "node")).alias("head"))
     doc_id = lambda c: F.when(F.col(c) != _LAST, F.col(c))
+    alone = F.col("head").isNull()
     return noted.join(heads, "root", "left").select(
         doc_id("rank").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.coalesce(doc_id("head"), F.when(F.col("head").isNull(), doc_id("rank"))).alias("component_id"))
+        F.when(alone, doc_id("rank")).otherwise(doc_id("head.rank")).alias("component_id"), "node",
+        (alone | ((F.col("rank") == F.col("head.rank")) & (F.col("node") == F.col("head.node")))).alias("kept"))
+
+
+def with_node(docs: DataFrame) -> DataFrame:
+    """``docs`` with the column ``node`` of ``near_duplicates``."""
+    docs = without(docs, ["node"])
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [(np.diff(bounds), node_ids(tokens, bounds)) for w in W.slices(batch.column("text"))
+                     for tokens, bounds in [token_sets(w)]]
+            n, nodes = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(nodes, mask=n == 0)],
+                                             names=[*names, "node"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("node", T.LongType())]))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` without the documents of each component but its first by id. Documents without
+    words are components of their own; of rows that repeat id and token set one stays."""
+    found = stored(near_duplicates(docs), "components")
+    gone = stored(found.filter(~F.col("kept")).select("doc_id", "node").distinct(), "gone")
+    again = stored(found.filter("kept AND node IS NOT NULL").groupBy("doc_id", "node").count()
+                   .filter("count > 1").select("doc_id", "node"), "again")
+    marked = with_node(docs)
+    left = marked.alias("d")
+
+    def same(other: DataFrame) -> Column:
+        return left["doc_id"].eqNullSafe(other["doc_id"]) & (left["node"] == other["node"])
+
+    rest = left.join(small(gone), same(gone), "left_anti")
+    if again.count():
+        left = rest.alias("d")
+        twice = left.join(small(again), same(again), "left_semi").dropDuplicates(["doc_id", "node"])
+        rest = left.join(small(again), same(again), "left_anti").union(twice)
+    return rest.drop("node")
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir)).drop("node")

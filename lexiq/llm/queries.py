@@ -15,6 +15,7 @@ from .repeats import op10_substring_dedup
 from .sharding import op9_sharding
 from .token_counts import op4_token_counts
 from .token_files import op7_token_files
+from .toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
+    "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_substring_dedup": op10_substring_dedup,
 }
