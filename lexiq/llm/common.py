@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +15,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def stored(df: DataFrame, kind: str) -> DataFrame:
+def few(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """``df`` in at most ``per_core`` partitions per core of the cluster, without a shuffle."""
+    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def stored(df: DataFrame, kind: str, per_core: int | None = 2) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: the lineage ends there, the
-    table survives lost executors and the planner knows its true size."""
+    table survives lost executors and the planner knows its true size.
+
+    At most ``per_core`` files per core of the cluster are written, so that narrow tables do not
+    become thousands of tiny files after a shuffle; None keeps the partitions (whole texts)."""
     spark, path = df.sparkSession, new_table_path(df.sparkSession, kind)
-    df.write.parquet(path)
+    (few(df, per_core) if per_core else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -36,17 +41,3 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     """Drop input columns that an operator is about to add itself (any case)."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
-
-
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
-    """``mapInArrow`` where ``fn`` turns one batch into columns by name (one dict, or several)."""
-    names = [f.split()[0].strip("`") for f in schema.split(",")] if isinstance(schema, str) else schema.names
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            for columns in ([out] if isinstance(out, dict) else out):
-                yield pa.RecordBatch.from_arrays(
-                    [c if isinstance(c := columns[n], pa.Array) else pa.array(c) for n in names], names=names)
-
-    return df.mapInArrow(run, schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import documents, small, stored
+from .common import documents, few, small, stored
 
 LENGTH, SEED_WORDS = 50, 10
 _LAST = (1 << 63) - 1
@@ -161,7 +161,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     tag = F.shiftrightunsigned("h1", 64 - _START_BITS - 1).alias("tag")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = stored(texts.mapInArrow(_sketch, "doc_id long, n_words long, h1 long, h2 long, sha string, "
-                                              "seeds array<long>, places array<int>"), "sketch")
+                                              "seeds array<long>, places array<int>"), "sketch", None)
     narrow = sketch.select("doc_id", rank, tag, "n_words", "h1", "h2", "sha")
     classes = narrow.groupBy("h1", "h2", "n_words").agg(F.min("rank").alias("first"))
     marked = stored(narrow.join(classes, ["h1", "h2", "n_words"]).withColumn(
@@ -179,7 +179,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     found = (texts.select(rank, "text").join(small(places.select("rank").distinct()), "rank", "left_semi")
              .join(places, "rank").select("rank", "tag", "h1", "text", "places"))
     found = stored(found.mapInArrow(_matched, "rank long, tag long, text string, places array<int>")
-                   .dropDuplicates(["rank", "tag"]), "anchored")
+                   .dropDuplicates(["rank", "tag"]), "anchored", 8)
 
     # windows around shared anchors: the first document of each, and the others
     windows = found.mapInArrow(_windows, "hash long, rank long, place long")
@@ -195,7 +195,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
 
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     nothing = F.array().cast("array<struct<start:int,end:int>>")
-    return marked.join(cut, ["rank", "tag"], "left").select(
+    return few(marked.join(cut, ["rank", "tag"], "left")).select(
         "doc_id", "n_words",
         F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(F.col("copy"), F.lit(hashlib.sha256(b"").hexdigest())).otherwise(
