@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, small, stored
+from .common import documents, few, small, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SHINGLE, THRESHOLD, RADIUS, STRIDE = 5, 0.8, 20, 4
@@ -92,11 +92,10 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     of ``docs`` (doc_id, text) and every item of ``items`` (item_id, text) it holds, the best window."""
     item = stored(items.select("item_id", word_hashes(F.col("text")).alias("h"))
                   .filter(F.size("h") >= SHINGLE).dropDuplicates()
-                  .withColumn("item", F.monotonically_increasing_id()).withColumn("w", F.size("h")), "items")
+                  .withColumn("item", F.monotonically_increasing_id()).withColumn("w", F.size("h")), "items", 1)
     spread = item.select("item", "w", F.explode(shingles("h")).alias("sh"))
-    counted = stored(spread.groupBy("item", "w", "sh").agg(F.count(F.lit(1)).alias("n_item")), "item_shingles")
-    known = stored(counted.select("sh").distinct(), "known")
-    sized = stored(counted.select("sh", "w").distinct(), "sized")
+    counted = stored(spread.groupBy("item", "w", "sh").agg(F.count(F.lit(1)).alias("n_item")), "item_shingles", 1)
+    known, sized = counted.select("sh").distinct(), counted.select("sh", "w").distinct()
     least = item.agg(F.min("w")).first()[0]
     stride = safe_stride((least or SHINGLE) - SHINGLE + 1)
 
@@ -105,7 +104,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     hit = (rows.select("doc_id", word_hashes(F.col("text")).alias("h"))
            .select("doc_id", F.explode(shingles("h", stride)).alias("sh"))
            .join(small(known), "sh").select(F.col("doc_id").alias("_hit")).distinct())
-    hit = stored(hit, "hit")
+    hit = stored(hit, "hit", 1)
     near = stored(rows.join(small(hit), F.col("doc_id").eqNullSafe(F.col("_hit")))
                   .select("doc_id", F.xxhash64("text").alias("key"), word_hashes(F.col("text")).alias("h"))
                   .dropDuplicates(["doc_id", "key"]).withColumn("doc", F.monotonically_increasing_id())
@@ -129,7 +128,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     prints = simhash(words.select(*keys, F.explode("x").alias("h")), keys)
     item_prints = simhash(item.select("item", "w", F.explode("h").alias("h")), ["item", "w"])
     index = stored(item_prints.select("item", "w", F.col("fp").alias("item_fp"), F.explode(blocks("fp")).alias("b"))
-                   .select("item", "w", "item_fp", "b.*"), "index")
+                   .select("item", "w", "item_fp", "b.*"), "index", 1)
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     candidates = stored(prints.select(*keys, "fp", F.explode(blocks("fp")).alias("b")).select(*keys, "fp", "b.*")
                         .join(small(index), ["w", "block", "bits"])
@@ -148,7 +147,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_windows"))
         .select("doc", "item", F.col("b.similarity").alias("similarity"), (-F.col("b.col2")).alias("hamming"),
                 (-F.col("b.col3")).alias("window_start"), F.col("b.w").alias("window_words"), "n_windows"))
-    return (best.join(near.select("doc", "doc_id"), "doc").join(item.select("item", "item_id"), "item")
+    return (few(best.join(near.select("doc", "doc_id"), "doc").join(item.select("item", "item_id"), "item"))
             .select("doc_id", "item_id", "similarity", "hamming", "window_start", "window_words", "n_windows"))
 
 
