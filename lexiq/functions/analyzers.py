@@ -52,7 +52,7 @@ class Analyzer:
     max_gram: int = 1
     prefix_only: bool = False
     exact_limit: bool = False
-    max_word_len: int = 8  # lexicon: longest lexicon word, in characters
+    max_word_len: int | None = None  # lexicon: longest word tried, in characters; None takes the lexicon's longest
 
     def __post_init__(self):
         if self.kind not in ("simple", "ngram", "edge_ngram", "raw", "lexicon"):
@@ -63,10 +63,6 @@ class Analyzer:
             if self.min_gram < 1 or self.max_gram < self.min_gram:
                 raise ValueError("ngram tokenizer: invalid min/max gram")
 
-    @property
-    def positional_constant(self) -> bool:
-        return self.kind == "ngram"
-
     def expr(self, text: Column) -> Column:
         """``array<struct<pos:int, term:string>>`` for one text value."""
         if self.kind == "simple":

@@ -1,7 +1,7 @@
 """T9 lexicon segmentation (re-aimed): greedy longest match against a user ``lexicon(word)`` table.
 
 Text splits into runs of Han characters and other word runs. Inside a Han run, every
-candidate substring of up to ``max_word_len`` characters is joined (equi-join) with the
+candidate substring as long as the longest lexicon word or shorter is joined (equi-join) with the
 lexicon; per document the match lengths go to a small Arrow-batched helper that walks the
 run left to right taking the longest match (a single character when none). Other runs are
 one token each. Then the usual chain: drop long tokens, lower-case, English stemming is
@@ -13,6 +13,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from ..session import bounded_broadcast
 
@@ -21,7 +22,7 @@ CHUNK_PATTERN = r"\p{IsHan}+|[\p{L}\p{N}]+"
 LEXICON_BROADCAST_ROWS = 5_000_000
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(ArrayType(IntegerType()))
 def _greedy_starts(lens: pd.Series, matches: pd.Series) -> pd.Series:
     """Token start offsets of a greedy longest-match walk over one Han run."""
     out = []
@@ -40,14 +41,16 @@ def _greedy_starts(lens: pd.Series, matches: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def segment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, max_word_len: int = 8,
+def segment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, max_word_len: int | None = None,
             limit: int = 40, lower: bool = True) -> DataFrame:
     """(doc_id, toks array<struct<pos:int, term:string>>) for every row of ``df``."""
+    if max_word_len is None:
+        max_word_len = max(2, lexicon.agg(F.max(F.char_length("word"))).first()[0] or 0)
     base = df.select(F.col(id_col).alias("doc_id"),
                      F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(CHUNK_PATTERN), 0).alias("ch"))
     chunks = base.select("doc_id", F.posexplode("ch").alias("ci", "chunk"))
     chunks = chunks.withColumn("is_han", F.col("chunk").rlike(r"^\p{IsHan}+$"))
-    han = chunks.filter("is_han").select("doc_id", "ci", F.split("chunk", "(?!^)").alias("g"))
+    han = chunks.filter("is_han").select("doc_id", "ci", F.filter(F.split("chunk", ""), lambda c: c != "").alias("g"))
     han = han.withColumn("n", F.size("g"))
     cand = (han.select("doc_id", "ci", "g", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
             .select("doc_id", "ci", "g", "n", "i",

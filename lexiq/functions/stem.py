@@ -164,6 +164,10 @@ def stem_english(word: str) -> str:
 _STEMMERS = {"en": stem_english}
 
 
+def has_rules(lang: str) -> bool:
+    return lang in _STEMMERS
+
+
 def _stem_batches(lang: str):
     fn = _STEMMERS[lang]
 
@@ -182,12 +186,11 @@ def stem_dictionary(terms: DataFrame, lang: str, user_dict: DataFrame | None = N
     """
     distinct = terms.select("term").distinct()
     if user_dict is not None:
-        d = user_dict.filter(F.col("lang") == lang).select("term", "stem")
+        d = user_dict.filter(F.col("lang") == lang).groupBy("term").agg(F.min("stem").alias("stem"))
         return distinct.join(d, "term", "left").select(
             "term", F.coalesce("stem", "term").alias("stem"))
-    if lang not in _STEMMERS:
-        # no rules bundled: identity dictionary (documented in README)
-        return distinct.select("term", F.col("term").alias("stem"))
+    if not has_rules(lang):
+        raise ValueError(f"no stemming rules for {lang}: give a dictionary")
     return distinct.mapInPandas(_stem_batches(lang), "term string, stem string")
 
 

@@ -6,6 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def judged_pairs(topics: DataFrame, judgements: DataFrame, min_grade: float | None = None) -> DataFrame:
+    """E6 as rows (qid, doc_id): the judgements of the given topics, repeats kept."""
+    j = judgements
+    if min_grade is not None:
+        j = j.filter(F.col("grade").cast("double") >= F.lit(min_grade))
+    return j.join(topics.select("qid").distinct(), "qid", "left_semi").select("qid", "doc_id")
+
+
 def judged_set(topics: DataFrame, judgements: DataFrame, min_grade: float | None = None) -> DataFrame:
     """topics(qid, text) JOIN judgements(qid, doc_id[, grade]); unjudged topics dropped;
     the grade is ignored unless ``min_grade`` is given."""
@@ -53,8 +61,9 @@ def per_query_metrics(queries: DataFrame, results: DataFrame, qrels: DataFrame,
 
 
 def mean_metrics(per_query: DataFrame) -> DataFrame:
-    """E5: arithmetic means over all queries."""
-    return per_query.agg(F.avg("precision").alias("mean_precision"), F.avg("recall").alias("mean_recall"),
+    """E5: arithmetic means over all queries; a query without results adds no precision but counts."""
+    return per_query.agg((F.coalesce(F.sum("precision"), F.lit(0.0)) / F.count(F.lit(1))).alias("mean_precision"),
+                         F.avg("recall").alias("mean_recall"),
                          F.avg("dcg").alias("mean_dcg"), F.avg("ndcg").alias("mean_ndcg"))
 
 

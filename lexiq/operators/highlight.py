@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions.analyzers import WORD_PATTERN, Analyzer, _ngrams, _normalize, _edge_ngrams
 from ..functions.stem import apply_stems, stem_dictionary
-from ..session import bounded_broadcast, materialize
+from ..session import bounded_broadcast, materialize, stored
 from .index import TextIndex
 from .search import analyze_clauses
 
@@ -83,16 +84,21 @@ def highlights(index: TextIndex, results: DataFrame, clauses: DataFrame,
         an = schema.analyzer_of(name)
         if an.kind == "lexicon":
             continue
-        d = docs.select("doc_id", name).join(hits, "doc_id").select("qid", "doc_id", F.col(name).alias("text"))
-        toks = _tokens_with_offsets(d.select("qid", "doc_id", "text"), an, "text")
+        # the values of a repeated field are looked at one by one; the best fragment of all is kept
+        values = F.col(name) if isinstance(docs.schema[name].dataType, ArrayType) else F.array(F.col(name))
+        d = (docs.select("doc_id", name).join(hits, "doc_id")
+             .select("qid", "doc_id", F.posexplode(values).alias("value", "text")))
+        toks = _tokens_with_offsets(d, an, "text")
         if an.lang is not None:  # stemmed field: same dictionary rules as the index
-            toks = apply_stems(toks, bounded_broadcast(stem_dictionary(toks, an.lang)))
+            toks = apply_stems(toks, bounded_broadcast(stored(
+                stem_dictionary(toks, an.lang, schema.stems_of(name)), "stems")))
         toks = toks.withColumn("field", F.lit(name)).join(weights, ["qid", "field", "term"], "left") \
             .fillna(0.0, ["wt"])
-        per = toks.groupBy("qid", "doc_id").agg(F.sort_array(F.collect_list(
+        per = toks.groupBy("qid", "doc_id", "value").agg(F.sort_array(F.collect_list(
             F.struct("start", "end", "pos", "wt"))).alias("tk"), F.max("wt").alias("any_wt"))
-        per = per.filter(F.col("any_wt") > 0).join(d, ["qid", "doc_id"])
-        parts.append(_best_fragment(per, name, max_chars))
+        per = per.filter(F.col("any_wt") > 0).join(d, ["qid", "doc_id", "value"])
+        best = _best_fragment(per, name, max_chars)
+        parts.append(best.groupBy("qid", "doc_id").agg(F.max_by("h", F.struct("score", -F.col("value"))).alias("h")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -117,7 +123,8 @@ def _best_fragment(per: DataFrame, name: str, max_chars: int) -> DataFrame:
     def finish(a):
         last_better = a["csc"] > a["bsc"]
         return F.struct(F.when(last_better, a["cs"]).otherwise(a["bs"]).alias("s"),
-                        F.when(last_better, a["ce"]).otherwise(a["be"]).alias("e"))
+                        F.when(last_better, a["ce"]).otherwise(a["be"]).alias("e"), a["csc"].alias("csc"),
+                        a["bsc"].alias("bsc"))
 
     win = per.withColumn("win", F.aggregate("tk", init, step, finish))
     frag_bytes = F.substring(F.col("text").cast("binary"), F.col("win.s") + 1, F.col("win.e") - F.col("win.s"))
@@ -125,4 +132,5 @@ def _best_fragment(per: DataFrame, name: str, max_chars: int) -> DataFrame:
         F.filter("tk", lambda t: (t["wt"] > 0) & (t["start"] >= F.col("win.s")) & (t["end"] <= F.col("win.e"))),
         lambda t: F.array(t["start"] - F.col("win.s"), t["end"] - F.col("win.s")))
     frag = F.struct(frag_bytes.cast("string").alias("t"), F.array_sort(ranges).alias("r"))
-    return win.select("qid", "doc_id", F.struct(F.lit(name).alias("field_name"), frag.alias("fragment")).alias("h"))
+    score = F.greatest("win.csc", "win.bsc")
+    return win.select("qid", "doc_id", "value", score.alias("score"), F.struct(F.lit(name).alias("field_name"), frag.alias("fragment")).alias("h"))

@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..functions.stem import apply_stems, stem_dictionary
-from ..plans.schema import RECORD_BASIC, RECORD_POSITIONS, Schema
-from ..session import bounded_broadcast, new_table_path, spread
+from ..plans.schema import RECORD_POSITIONS, Schema
+from ..session import bounded_broadcast, new_table_path, spread, stored
 
 ALL_FIELD = "_all"  # every document holds the empty term here: match-all is a posting list
-DEFAULT_TERM_BUCKETS = 16
+DEFAULT_TERM_BUCKETS, MAX_TERM_BUCKETS, BUCKET_BYTES = 16, 8192, 64 << 20
 STEM_BROADCAST_ROWS = 5_000_000
 
 
@@ -103,7 +103,8 @@ def field_postings(docs: DataFrame, schema: Schema, name: str, id_col: str = "do
         # stemmed field: explode, map terms through the stem dictionary, regroup per (term, doc)
         toks = ft.select("doc_id", F.size("toks").cast("int").alias("len"),
                          F.inline("toks"))
-        d = stem_dict if stem_dict is not None else stem_dictionary(toks, an.lang)
+        d = stem_dict if stem_dict is not None else stem_dictionary(toks, an.lang, schema.stems_of(name))
+        d = stored(d, "stems")  # tokenizes once; the count below then reads the written dictionary
         toks = apply_stems(toks, bounded_broadcast(d, STEM_BROADCAST_ROWS))
         out = (toks.groupBy("term", "doc_id")
                .agg(F.count(F.lit(1)).cast("int").alias("tf"), F.first("len").alias("len"),
@@ -173,12 +174,14 @@ def write_vocab(postings: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("field", "tb").parquet(path))
 
 
-def compute_stats(postings: DataFrame) -> DataFrame:
+def compute_stats(postings: DataFrame, names: list[str]) -> DataFrame:
     """A4: N = all documents (from the universal posting list), avg_len = tokens / N,
-    documents with an empty field included."""
+    documents with an empty field and fields without any token included."""
     from pyspark.sql import Window
     per_field = postings.groupBy("field").agg(F.sum("tf").cast("long").alias("total_tokens"),
                                               F.count(F.lit(1)).alias("n_rows"))
+    fields = postings.sparkSession.createDataFrame([(n,) for n in [*names, ALL_FIELD]], "field string")
+    per_field = fields.join(per_field, "field", "left").fillna(0, ["total_tokens", "n_rows"])
     # one row per field: the window over all of them is bounded by the number of fields
     n_docs = F.max(F.when(F.col("field") == ALL_FIELD, F.col("n_rows"))).over(Window.partitionBy())
     return (per_field.withColumn("n_docs", F.coalesce(n_docs, F.lit(0)).cast("long"))
@@ -186,24 +189,27 @@ def compute_stats(postings: DataFrame) -> DataFrame:
             .select("field", "n_docs", "total_tokens", "avg_len"))
 
 
+def buckets_for(docs: DataFrame) -> int:
+    """Term buckets for a corpus: a power of two, one bucket per BUCKET_BYTES that the planner
+    estimates for it, so that a batch of rare terms touches a small part of a large index."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = min(MAX_TERM_BUCKETS, size // BUCKET_BYTES)
+    return max(DEFAULT_TERM_BUCKETS, 1 << max(0, int(wanted).bit_length() - 1))
+
+
 def build_index(spark: SparkSession, docs: DataFrame, schema: Schema, id_col: str = "doc_id",
-                path: str | None = None, term_buckets: int = DEFAULT_TERM_BUCKETS,
+                path: str | None = None, term_buckets: int | None = None,
                 stem_dicts: dict | None = None) -> TextIndex:
     """Tokenize every field, write postings/vocab/stats/docs, return the index handle."""
     path = path or new_table_path(spark, "index")
+    term_buckets = term_buckets or buckets_for(docs)
     for name in schema.names:
         if name not in docs.columns:
             raise ValueError(f"missing column for field: {name}")
     write_postings(corpus_postings(spread(docs), schema, id_col, stem_dicts), f"{path}/postings", term_buckets)
     p = spark.read.parquet(f"{path}/postings")
     write_vocab(p, f"{path}/vocab")
-    compute_stats(p).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
-    stored = [c for c in schema.stored if c in docs.columns]
-    (docs.select(F.col(id_col).alias("doc_id"), *[F.col(c) for c in stored if c != "doc_id"])
+    compute_stats(p, schema.names).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+    (docs.select(F.col(id_col).alias("doc_id"), *[F.col(c) for c in schema.kept if c != "doc_id"])
      .write.mode("overwrite").parquet(f"{path}/docs"))
     return TextIndex(spark, path, schema, term_buckets)
-
-
-def tf_for_scoring(record: int, tf: Column) -> Column:
-    """With basic record option, every match counts as tf = 1."""
-    return F.lit(1) if record == RECORD_BASIC else tf

@@ -1,22 +1,25 @@
 """Table maintenance (M1-M6): versioned add / delete-by-term / replace batches.
 
-Layout under ``path`` (Parquet only; a commit writes new version directories):
-
-* ``adds/version=<v>/``       documents added by commit v, with an internal ``doc_id``
-* ``postings/version=<v>/``   their postings (partitioned further by field and term bucket)
-* ``tombstones/version=<v>/`` internal ids deleted by commit v
-* ``commits/version=<v>/``    one row per commit (adds, deletes, batch id)
-
-A snapshot ``as_of(v)`` keeps adds with version <= v minus tombstones with version <= v.
-Deletes of a commit are resolved against postings of *earlier* versions only, so they
-never touch documents added by the same batch.
+Layout under ``path`` (Parquet only; a commit writes new folders):
+
+* ``adds/version=<v>/attempt=<a>/``       documents added by commit v, with an internal ``doc_id``
+* ``postings/version=<v>/attempt=<a>/``   their postings (partitioned further by field and term bucket)
+* ``tombstones/version=<v>/attempt=<a>/`` internal ids deleted by commit v
+* ``changes/version=<v>/attempt=<a>/``    last change per key (only of streams with keys and times)
+* ``commits/version=<v>/``                one row per commit (attempt, adds, deletes, stream, batch)
+
+A commit's row is written last and names its attempt, so what a failed attempt left behind is
+never read. A snapshot ``as_of(v)`` keeps adds with version <= v minus tombstones with version
+<= v. Deletes of a commit are resolved against postings of *earlier* versions only, so they never
+touch documents added by the same batch.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.schema import Schema
@@ -24,93 +27,112 @@ from ..session import bounded_broadcast, new_table_path, path_exists, spread
 from .index import ALL_FIELD, DEFAULT_TERM_BUCKETS, TextIndex, compute_stats, corpus_postings, term_bucket
 
 
-
 def dense_ids(df: DataFrame, start: int) -> DataFrame:
-    """Consecutive internal ids ``start, start+1, ...`` without a single-task sort: count
-    rows per input partition (one small row each), turn the counts into offsets, then add
-    the position inside the partition. The input must be a deterministic scan."""
-    from pyspark.sql import Window
-    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_off", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.select("_pid", F.coalesce("_off", F.lit(0)).alias("_off"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    # one row per input partition: bounded by the partition count
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn("doc_id", (F.lit(start) + F.col("_off") + local).cast("long"))
-            .drop("_pid", "_mid", "_off"))
+    """Consecutive internal ids ``start, start+1, ...`` without a single-task sort.
+
+    The rows are written first, each with its place (file number and position), so that nothing is
+    evaluated twice: counts per file become offsets, and an id is the file's offset plus the
+    position. One small row per file is broadcast, after a check of their number."""
+    path = new_table_path(df.sparkSession, "numbered")
+    df.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_place", 33))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    position = F.col("_place") - F.shiftleft("_part", 33)
+    return (placed.join(bounded_broadcast(offsets), "_part")
+            .withColumn("doc_id", (F.lit(start) + F.col("_off") + position).cast("long"))
+            .drop("_part", "_place", "_off"))
 
 
 @dataclass
 class VersionedIndex:
+    """``extra`` names the columns of added documents that are kept with them but are no fields."""
+
     spark: SparkSession
     path: str
     schema: Schema
     term_buckets: int = DEFAULT_TERM_BUCKETS
+    extra: tuple[str, ...] = ()
 
     @classmethod
     def create(cls, spark: SparkSession, schema: Schema, path: str | None = None,
-               term_buckets: int = DEFAULT_TERM_BUCKETS) -> "VersionedIndex":
-        return cls(spark, path or new_table_path(spark, "vindex"), schema, term_buckets)
+               term_buckets: int = DEFAULT_TERM_BUCKETS, extra: tuple[str, ...] = ()) -> "VersionedIndex":
+        return cls(spark, path or new_table_path(spark, "vindex"), schema, term_buckets, extra)
 
     # -- log readers -------------------------------------------------------------------
-    def _read(self, part: str) -> DataFrame | None:
-        p = f"{self.path}/{part}"
+    def commits(self) -> DataFrame | None:
+        p = f"{self.path}/commits"
         return self.spark.read.parquet(p) if path_exists(self.spark, p) else None
 
-    def commits(self) -> DataFrame | None:
-        return self._read("commits")
+    def _read(self, part: str) -> DataFrame | None:
+        """The rows of a table that committed attempts wrote."""
+        p, commits = f"{self.path}/{part}", self.commits()
+        if commits is None or not path_exists(self.spark, p):
+            return None
+        done = bounded_broadcast(commits.select("version", "attempt"))
+        return self.spark.read.parquet(p).join(done, ["version", "attempt"], "left_semi").drop("attempt")
 
     def last_version(self) -> int:
         """M5: the stamp of the last non-empty commit (0 when none)."""
         c = self.commits()
-        if c is None:
-            return 0
-        v = c.agg(F.max("version")).first()[0]
-        return int(v or 0)
+        return 0 if c is None else int(c.agg(F.max("version")).first()[0] or 0)
 
     def _total_adds(self) -> int:
         c = self.commits()
         return 0 if c is None else int(c.agg(F.sum("n_adds")).first()[0] or 0)
 
-    def has_batch(self, batch_id: int) -> bool:
+    def has_batch(self, batch_id: int, stream_id: str = "") -> bool:
         c = self.commits()
-        return c is not None and c.filter(F.col("batch_id") == batch_id).limit(1).count() > 0
+        return c is not None and c.filter((F.col("batch_id") == batch_id) & (F.col("stream_id") == stream_id)) \
+            .limit(1).count() > 0
 
     # -- commit --------------------------------------------------------------------------
     def commit(self, adds: DataFrame | None = None, deletes: DataFrame | None = None,
-               batch_id: int | None = None) -> int:
+               batch_id: int | None = None, stream_id: str = "", changes: DataFrame | None = None) -> int:
         """M1-M4: one version for a batch of deletes (``field``, ``term``) and adds."""
-        n_add = adds.count() if adds is not None else 0
-        n_del = deletes.count() if deletes is not None else 0
-        if n_add == 0 and n_del == 0:
-            return 0
+        if adds is not None:
+            unknown = [c for c in adds.columns if c not in self.schema.names and c not in self.extra]
+            if unknown:
+                raise ValueError(f"field not found in schema: {', '.join(unknown)}")
         if deletes is not None:
             bad = deletes.select("field").distinct().filter(~F.col("field").isin(self.schema.names))
             if bad.limit(1).count() > 0:
                 raise ValueError("field not found in schema")
-        v = self.last_version() + 1
+        attempt, v = uuid.uuid4().hex[:12], self.last_version() + 1
+        folder = lambda part: f"{self.path}/{part}/version={v}/attempt={attempt}"
+        n_add = 0
+        if adds is not None:
+            dense_ids(adds, self._total_adds()).write.parquet(folder("adds"))
+            written = self.spark.read.parquet(folder("adds"))
+            n_add = written.count()
+        n_del = deletes.count() if deletes is not None else 0
+        if n_add == 0 and n_del == 0:
+            return 0
         if n_del:
             live = self._postings_upto(v - 1)
             if live is not None:
                 d = deletes.select("field", "term").distinct() \
                     .withColumn("tb", term_bucket(F.col("term"), self.term_buckets))
                 ids = live.join(bounded_broadcast(d), ["field", "tb", "term"], "left_semi").select("doc_id").distinct()
-                ids.write.mode("overwrite").parquet(f"{self.path}/tombstones/version={v}")
+                ids.write.parquet(folder("tombstones"))
         if n_add:
-            keyed = dense_ids(adds, self._total_adds())
-            keyed.write.mode("overwrite").parquet(f"{self.path}/adds/version={v}")
-            written = self.spark.read.parquet(f"{self.path}/adds/version={v}")
             p = corpus_postings(spread(written), self.schema, "doc_id")
             (p.withColumn("tb", term_bucket(F.col("term"), self.term_buckets))
              .hint("rebalance", "field", "tb").sortWithinPartitions("field", "tb", "term", "doc_id")
-             .write.mode("overwrite").partitionBy("field", "tb").parquet(f"{self.path}/postings/version={v}"))
-        row = self.spark.createDataFrame([(v, n_add, n_del, batch_id)],
-                                         "version long, n_adds long, n_deletes long, batch_id long")
-        row.drop("version").write.mode("overwrite").parquet(f"{self.path}/commits/version={v}")
+             .write.partitionBy("field", "tb").parquet(folder("postings")))
+        if changes is not None:
+            changes.write.parquet(folder("changes"))
+        row = self.spark.createDataFrame([(attempt, n_add, n_del, stream_id, batch_id)],
+                                         "attempt string, n_adds long, n_deletes long, stream_id string, batch_id long")
+        row.coalesce(1).write.parquet(f"{self.path}/commits/version={v}")
         return v
 
+    def last_changes(self) -> DataFrame | None:
+        """(key, ts): the last known change of every key, deletes included."""
+        c = self._read("changes")
+        return None if c is None else c.groupBy("key").agg(F.max("ts").alias("ts"))
+
     def replace(self, adds: DataFrame, key_field: str, key_col: str | None = None) -> int:
         """M3 convenience: delete every doc holding the added docs' key token, then add them."""
         key_col = key_col or key_field
@@ -154,8 +176,8 @@ class VersionedIndex:
         pp = self.spark.read.parquet(f"{path}/postings")
         (pp.groupBy("field", "tb", "term").agg(F.count(F.lit(1)).alias("df"))
          .write.mode("overwrite").partitionBy("field", "tb").parquet(f"{path}/vocab"))
-        compute_stats(pp).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
-        self.live_docs(v).drop("version").write.mode("overwrite").parquet(f"{path}/docs")
+        compute_stats(pp, self.schema.names).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+        self.live_docs(v).select("doc_id", *self.schema.kept, *self.extra).write.mode("overwrite").parquet(f"{path}/docs")
         return TextIndex(self.spark, path, self.schema, self.term_buckets)
 
 

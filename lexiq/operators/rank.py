@@ -20,7 +20,12 @@ def fetch(index: TextIndex, results: DataFrame, fields: list[str]) -> DataFrame:
     if not fields:
         raise ValueError("fields to include must not be empty")
     for f in fields:
-        index.schema.field(f)
+        if not index.schema.field(f).stored:
+            raise ValueError(f"field is not stored: {f}")
+    return _with_values(index, results, fields)
+
+
+def _with_values(index: TextIndex, results: DataFrame, fields: list[str]) -> DataFrame:
     r = materialize(results.select("qid", "rank", "doc_id", "score"))
     docs = index.docs().select("doc_id", *fields)
     return (docs.join(bounded_broadcast(r, RESULT_BROADCAST_ROWS), "doc_id")
@@ -35,7 +40,7 @@ def fast_field(index: TextIndex, results: DataFrame, field: str) -> DataFrame:
     docs = index.docs().select("doc_id", field)
     dtype = docs.schema[field].dataType
     val = F.element_at(F.col(field), 1) if isinstance(dtype, ArrayType) else F.col(field)
-    return fetch(index, results, [field]).select("qid", "rank", F.coalesce(val, F.lit("")).alias("value"), "score")
+    return _with_values(index, results, [field]).select("qid", "rank", F.coalesce(val, F.lit("")).alias("value"), "score")
 
 
 def result_size(results: DataFrame) -> DataFrame:

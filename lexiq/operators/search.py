@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stem import apply_stems, stem_dictionary
 from ..plans.schema import RECORD_BASIC
-from ..session import bounded_broadcast, materialize
+from ..session import bounded_broadcast, materialize, stored
 from .index import ALL_FIELD, TextIndex, term_bucket
 
 K1, B = 1.2, 0.75
@@ -79,7 +79,7 @@ def analyze_clauses(index: TextIndex, clauses: DataFrame) -> DataFrame:
         plain = slots.filter(~F.col("field").isin(stemmed))
         for name in stemmed:
             part = slots.filter(F.col("field") == name)
-            d = stem_dictionary(part, schema.analyzer_of(name).lang)
+            d = stem_dictionary(part, schema.analyzer_of(name).lang, schema.stems_of(name))
             plain = plain.unionByName(apply_stems(part, bounded_broadcast(d, SMALL_TABLE_ROWS)))
         slots = plain
     # a term query uses the first token only; a one-token phrase is a term query
@@ -149,7 +149,6 @@ def leaf_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> Data
     position sets in the row (phrase frequency = number of common starts).
     """
     kind = F.col("kind")
-    positional = kind.isin(*POSITIONAL) & (F.col("n_slots") > 1)
     weight = F.when(kind == "one_of", F.lit(1.0) - F.lit(0.5) * (F.col("slot") + 1) / F.col("n_slots")) \
         .otherwise(F.lit(1.0))
     # slot terms merged per (qid, field, term, clause, role): a term used by several exact
@@ -163,8 +162,10 @@ def leaf_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> Data
     # map-side: every posting of a query term meets the (qid, clause) rows using it through a
     # size-checked broadcast; the aggregate below combines partially before a numeric-only
     # exchange on (qid, doc_id, clause_id) -- no string and no positions cross the network
-    tb = term_bucket(F.col("term"), index.term_buckets)
-    pt = bounded_broadcast(per_term.withColumn("tb", tb), SMALL_TABLE_ROWS)
+    # The terms are read back from a table: with a known size and a filter, the planner prunes the
+    # posting partitions (field, tb) by the broadcast terms, so step 1 reads only their buckets.
+    pt = stored(per_term.withColumn("tb", term_bucket(F.col("term"), index.term_buckets)), "slot-terms")
+    pt = bounded_broadcast(pt.filter(F.col("n_fill") > 0), SMALL_TABLE_ROWS)
     x = index.postings().select("field", "tb", "term", "doc_id", "tf", "len").join(pt, ["field", "tb", "term"], "inner")
     x = x.withColumn("tf", F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")))
     # integer kind codes keep every aggregation buffer fixed-width (hash aggregate, codegen)
@@ -212,7 +213,8 @@ def leaf_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> Data
     starts = F.aggregate(F.slice(F.col("sh"), 2, F.greatest(F.size("sh") - 1, F.lit(1))), F.col("sh")[0],
                          lambda acc, a: F.array_intersect(acc, a))
     sum_idf = F.aggregate(F.filter("lst", lambda e: ~e["is_prefix"]), F.lit(0.0), lambda a, e: a + e["idf"])
-    pos = pos.withColumn("freq", F.size(starts)).filter(F.col("freq") > 0)
+    # every slot must be there: a prefix slot without a match leaves one out
+    pos = pos.filter(F.size("ds") == F.col("n_slots")).withColumn("freq", F.size(starts)).filter(F.col("freq") > 0)
     pos = pos.withColumn("score", sum_idf * bm25_tf(F.col("freq").cast("double"), F.col("len").cast("double"),
                                                     F.col("avg_len")))
     if explain:
@@ -335,19 +337,8 @@ def search_hits(index: TextIndex, clauses: DataFrame, max_depth: int | None = No
 
 
 def search(index: TextIndex, clauses: DataFrame, k: int, round_digits: int | None = None,
-           max_depth: int | None = None, prune: bool = False) -> DataFrame:
-    """results(qid, rank, doc_id, score).
-
-    ``prune=True`` routes purely disjunctive batches through exact MaxScore pruning
-    (``operators.topk``); it pays off when a query's rare terms dominate its score, and is
-    off by default because on uniform text the candidate scoring costs more than it saves.
-    """
+           max_depth: int | None = None) -> DataFrame:
+    """results(qid, rank, doc_id, score)."""
     if k is None or k < 1:
         raise ValueError("docsLimit must be greater than 0")
-    if prune:
-        from .topk import eligible, topk_disjunctive
-        clauses = materialize(clauses)
-        if eligible(clauses):
-            terms = materialize(slot_terms(index, analyze_clauses(index, clauses)))
-            return topk_disjunctive(index, clauses, terms, k, round_digits)
     return top_k(search_hits(index, clauses, max_depth), k, round_digits)

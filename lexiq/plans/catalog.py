@@ -6,7 +6,6 @@ Indexes are built once per (session, tables, schema) and reused across queries.
 
 from __future__ import annotations
 
-import os
 import threading
 from typing import Callable
 
@@ -23,9 +22,10 @@ from ..operators.index import ALL_FIELD, TextIndex, build_index, field_tokens
 from ..operators.maintain import VersionedIndex, delete_by_term
 from ..plans import clauses as C
 from ..plans.schema import Schema
-from ..session import new_table_path
+from ..session import modified_at, new_table_path, stored
 
 K = 10
+TURNS = 1_000_000  # query number = conversation * TURNS + turn
 ROUND = 4
 BODY = A.simple(40, None, fold=True)
 
@@ -61,8 +61,9 @@ def bench_queries(spark, sf) -> DataFrame:
 
 
 def conv_queries(spark, sf) -> DataFrame:
-    c = table(spark, sf, "conversations").filter(F.col("role") == "user")
-    return c.select((F.col("conv_id") * 100 + F.col("turn")).alias("qid"), "text")
+    """Every turn of every conversation as a query."""
+    c = table(spark, sf, "conversations")
+    return c.select((F.col("conv_id") * TURNS + F.col("turn")).alias("qid"), "text")
 
 
 _CACHE: dict = {}
@@ -70,8 +71,8 @@ _LOCK = threading.Lock()
 
 
 def _cache_key(spark, sf, name):
-    st = os.stat(f"{sf}/documents.parquet") if os.path.exists(f"{sf}/documents.parquet") else None
-    return (spark.sparkContext.applicationId, os.path.abspath(sf), name, st.st_mtime if st else None)
+    return (spark.sparkContext.applicationId, sf, name, *(modified_at(spark, f"{sf}/{t}.parquet") for t in (
+        "documents", "part", "benchmark")))
 
 
 def docs_index(spark: SparkSession, sf: str) -> TextIndex:
@@ -137,18 +138,44 @@ def q_edge_ngrams_title(spark, sf):
 
 def q_stem_join(spark, sf):
     s = Schema().register("plain", A.simple(40, None, fold=True)).add_text_field("body", analyzer="plain")
-    en = documents(spark, sf).filter(F.col("lang") == "en")
-    terms = field_tokens(en, s, "body").select(F.inline("toks")).select("term")
+    terms = field_tokens(documents(spark, sf), s, "body").select(F.inline("toks")).select("term")
     return stem_dictionary(terms, "en")
 
 
+def suffix_stems(spark, sf) -> DataFrame:
+    """A user's stem dictionary derived from the corpus: terms of seven letters or more lose two."""
+    s = Schema().register("plain", BODY).add_text_field("body", analyzer="plain")
+    terms = field_tokens(documents(spark, sf), s, "body").select(F.inline("toks")).select("term").distinct()
+    cut = F.expr("CASE WHEN char_length(term) >= 7 THEN left(term, char_length(term) - 2) ELSE term END")
+    return terms.select(F.lit("de").alias("lang"), "term", cut.alias("stem"))
+
+
+def q_stem_user_dictionary(spark, sf):
+    s = Schema().register("plain", BODY).add_text_field("body", analyzer="plain")
+    terms = field_tokens(documents(spark, sf), s, "body").select(F.inline("toks")).select("term")
+    return stem_dictionary(terms, "de", suffix_stems(spark, sf))
+
+
+def q_stem_search(spark, sf):
+    """Index and queries stemmed by one user dictionary: the query's words lose their last letter."""
+    key = _cache_key(spark, sf, "stemmed")
+    with _LOCK:
+        if key not in _CACHE:
+            s = Schema().register("st", A.Analyzer("simple", limit=40, fold=True, lang="de"),
+                                  stems=stored(suffix_stems(spark, sf), "stems"))
+            s.add_text_field("body", analyzer="st")
+            _CACHE[key] = build_index(spark, documents(spark, sf).select("doc_id", "body"), s)
+        idx = _CACHE[key]
+    return S.search(idx, C.single_clause(bench_queries(spark, sf), "every_term", "body"), K, ROUND)
+
+
 def q_lexicon_segment(spark, sf):
     """T9 over the documents with a lexicon derived from the benchmark words (no Han text
     occurs in this corpus, so every chunk is a word run; the Han walk is tested in pytest)."""
     from ..functions.lexicon import segment
     lex = table(spark, sf, "benchmark").select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit(A.WORD_PATTERN), 0)).alias("word")).distinct()
-    seg = segment(table(spark, sf, "documents"), "doc_id", "text", lex, 8, 40, True)
+    seg = segment(table(spark, sf, "documents"), "doc_id", "text", lex, None, 40, True)
     return seg.select("doc_id", F.inline("toks")).select("doc_id", F.col("pos").cast("long").alias("pos"), "term")
 
 
@@ -162,7 +189,8 @@ def q_postings_tf(spark, sf):
 
 def q_doc_length(spark, sf):
     p = docs_index(spark, sf).postings().filter(F.col("field") == "body")
-    return p.groupBy("doc_id").agg(F.max("len").cast("long").alias("len"))
+    lengths = p.groupBy("doc_id").agg(F.max("len").cast("long").alias("len"))
+    return docs_index(spark, sf).docs().select("doc_id").join(lengths, "doc_id", "left").fillna(0, ["len"])
 
 
 def q_vocab_df(spark, sf):
@@ -208,6 +236,22 @@ def q_phrase_prefix(spark, sf):
     return leaf_search(spark, sf, "phrase_prefix")
 
 
+def altered_queries(spark, sf) -> DataFrame:
+    """Benchmark texts, every third with a last word that no document holds, every third without its
+    second word: their prefixes are absent or not adjacent."""
+    words = F.split("text", r"\s+")
+    n = F.size("w")
+    absent = F.concat(F.slice("w", F.lit(1), n - 1), F.array(F.lit("qqzzxx")))
+    gap = F.concat(F.slice("w", F.lit(1), F.lit(1)), F.slice("w", F.lit(3), n))
+    kind = F.col("qid") % 3
+    picked = F.when(kind == 0, F.col("w")).when(kind == 1, absent).otherwise(gap)
+    return bench_queries(spark, sf).select("qid", words.alias("w")).select("qid", F.array_join(picked, " ").alias("text"))
+
+
+def q_phrase_prefix_altered(spark, sf):
+    return S.search(docs_index(spark, sf), C.single_clause(altered_queries(spark, sf), "phrase_prefix", "body"), K, ROUND)
+
+
 def _tree(queries: DataFrame, rows: list[tuple]) -> DataFrame:
     """Same clause tree for every query row: rows of (clause_id, parent_id, depth, modifier,
     kind, field, text-or-None (None = the query text), boost), exploded per query."""
@@ -260,16 +304,19 @@ def q_empty_must(spark, sf):
 
 def _reject_specs(spark, sf) -> DataFrame:
     q = bench_queries(spark, sf)
-    sub = lambda fi, ti, qt: F.struct(
-        F.struct(F.lit(fi).alias("field_index"), ti.alias("text_index"), F.lit(1.0).alias("boost")).alias("query"),
-        F.lit(1).alias("query_modifier"), F.lit(qt).alias("query_type"))
+    def sub(fi, ti, qt, mod=F.lit(1)):
+        return F.struct(
+            F.struct(F.lit(fi).alias("field_index"), ti.alias("text_index"), F.lit(1.0).alias("boost")).alias("query"),
+            mod.alias("query_modifier"), qt.alias("query_type"))
+
+    one = lambda bad, value, fine: F.when(F.col("qid") % 7 == bad, F.lit(value)).otherwise(F.lit(fine))
     spec = F.struct(F.array("text").alias("texts"), F.array(F.lit("body"), F.lit("nosuch")).alias("fields"),
-                    F.struct(F.array(sub(0, F.lit(0), 6),
-                                     sub(0, F.when(F.length("text") > 200, 1).otherwise(0), 4),
-                                     sub(1, F.lit(0), 4)).alias("subqueries"),
+                    F.struct(F.array(sub(0, F.lit(0), F.lit(6)),
+                                     sub(0, F.when(F.length("text") > 200, 1).otherwise(0), F.lit(4)),
+                                     sub(1, F.lit(0), one(0, 9, 4), one(1, 5, 1)),
+                                     sub(0, F.lit(0), one(2, None, 4), one(3, None, 1))).alias("subqueries"),
                              F.lit(1.0).alias("boost")).alias("query"))
-    js = q.select("qid", F.to_json(spec).alias("spec_json"))
-    return js.select("qid", F.from_json("spec_json", C.spec_schema(3)).alias("spec"))
+    return C.parse_specs(q.select("qid", F.to_json(spec).alias("spec_json")))
 
 
 def q_query_rejects(spark, sf):
@@ -293,8 +340,26 @@ def q_recipe_search(spark, sf):
 
 def q_saved_queries(spark, sf):
     js = C.spec_json_from_text(bench_queries(spark, sf), ["source", "body"])
-    parsed = js.select("qid", F.from_json("spec_json", C.spec_schema(3)).alias("spec"))
-    flat = C.flatten_specs(parsed).drop("error", "path", "n_fields", "n_texts")
+    flat = C.flatten_specs(C.parse_specs(js)).drop("error", "path", "n_fields", "n_texts")
+    return S.search(docs_index(spark, sf), flat, K, ROUND)
+
+
+def q_saved_queries_deep(spark, sf):
+    """Trees of depth five and groups of seventy: must( should( must( should( one_of body ))) and,
+    in the same group, 69 should clauses on a source that no document has)."""
+    def clause(kind, query, modifier):
+        return (f'{{"query_type": {kind}, "query_modifier": {modifier}, "query": {query}}}')
+
+    leaf = clause(6, '{"field_index": 1, "text_index": 0}', 1)
+    tree = leaf
+    for modifier in (1, 0, 1, 0):
+        tree = clause(0, f'{{"boost": 1.5, "subqueries": [{tree}]}}', modifier)
+    never = ", ".join([clause(4, '{"field_index": 0, "text_index": 1}', 1)] * 69)
+    head = '", "no such source"], "fields": ["source", "body"], "query": {"boost": 1.0, "subqueries": ['
+    text = F.regexp_replace("text", r'[\\\\"\n\r\t]', " ")
+    js = bench_queries(spark, sf).select("qid", F.concat(
+        F.lit('{"texts": ["'), text, F.lit(head + tree + ", " + never + "]}}")).alias("spec_json"))
+    flat = C.flatten_specs(C.parse_specs(js)).drop("error", "path", "n_fields", "n_texts")
     return S.search(docs_index(spark, sf), flat, K, ROUND)
 
 
@@ -308,7 +373,8 @@ def q_topk_per_query(spark, sf):
 def q_explain_scores(spark, sf):
     idx = docs_index(spark, sf)
     hits = S.search_hits(idx, C.single_clause(bench_queries(spark, sf), "one_of", "body"), explain=True)
-    return hits.select("qid", "doc_id", "clause_id", F.round("score", ROUND).alias("score"))
+    return hits.select("qid", "doc_id", "clause_id", F.inline("explain")).select(
+        "qid", "doc_id", "clause_id", "term", F.round("row_score", ROUND).alias("term_score"))
 
 
 def q_fast_field_search(spark, sf):
@@ -350,8 +416,10 @@ def _two_commit_index(spark, sf) -> VersionedIndex:
     key = _cache_key(spark, sf, "vindex2")
     with _LOCK:
         if key not in _CACHE:
-            vi = VersionedIndex.create(spark, docs_schema())
-            vi.commit(adds=_vindex_docs(spark, sf))
+            vi = VersionedIndex.create(spark, docs_schema(), extra=("key",))
+            # an aggregated frame: its partitions are not those of a file scan
+            vi.commit(adds=_vindex_docs(spark, sf).groupBy("key").agg(
+                *[F.first(c).alias(c) for c in ("body", "source", "lang")]))
             fr = _vindex_docs(spark, sf).filter(F.col("lang") == "fr").withColumn("body", F.upper("body"))
             dels = spark.createDataFrame([("lang", "fr")], "field string, term string")
             vi.commit(adds=fr, deletes=dels)
@@ -381,7 +449,7 @@ def q_last_version(spark, sf):
 
 def q_stream_ingest(spark, sf):
     from ..streaming.ingest import ingest_files
-    vi = VersionedIndex.create(spark, docs_schema())
+    vi = VersionedIndex.create(spark, docs_schema(), extra=("key",))
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     ingest_files(spark, vi, sf, schema, "documents.parquet",
                  to_adds=lambda df: df.select(F.col("doc_id").alias("key"), F.col("text").alias("body"),
@@ -389,9 +457,48 @@ def q_stream_ingest(spark, sf):
     return vi.live_docs().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_stream_changes(spark, sf):
+    """Two streams of changes into one index, resolved by time. The first adds every document; the
+    second, in two batches, brings late texts (dropped), new texts, deletes, and an add before a delete."""
+    from ..streaming.ingest import ingest_files
+    s = Schema().register("raw", A.raw()).register("body", BODY)
+    s.add_text_field("id", analyzer="raw").add_text_field("body", analyzer="body")
+    vi = VersionedIndex.create(spark, s, extra=("lang",))
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("body"), "lang")
+    nth = F.col("id").cast("long") % 5
+
+    def change(rows, op, ts, body):
+        return rows.select(F.lit(op).alias("op"), F.lit(ts).cast("long").alias("ts"), "id", body.alias("body"), "lang")
+
+    first, second = new_table_path(spark, "changes"), new_table_path(spark, "changes")
+    body = F.col("body")
+    change(d, "add", 10, body).write.parquet(first)
+    change(d.filter(nth == 1), "add", 5, F.lit("late")).union(change(d.filter(nth == 2), "add", 20, F.lit("new"))).union(
+        change(d.filter(nth == 3), "add", 20, F.lit("gone"))).union(
+        change(d.filter(nth == 3), "delete", 21, F.lit(None).cast("string"))).coalesce(1).write.parquet(second)
+    change(d.filter(nth == 3), "add", 15, F.lit("late")).union(
+        change(d.filter(nth == 4), "delete", 30, F.lit(None).cast("string"))).coalesce(1).write.mode("append").parquet(second)
+    schema = "op string, ts long, id string, body string, lang string"
+    for path in (first, second):
+        ingest_files(spark, vi, path, schema, key_field="id", time="ts", max_files_per_trigger=1000 if path == first else 1)
+    return vi.live_docs().select(F.col("id").cast("long").alias("doc_id"), "body", "lang")
+
+
 # --- E: evaluation ------------------------------------------------------------------------
 
 def _qrels(spark, sf):
+    """The judgements as a written table, once per session and tables."""
+    key = _cache_key(spark, sf, "qrels")
+    with _LOCK:
+        found = key in _CACHE
+    if not found:
+        rows = stored(_find_qrels(spark, sf), "qrels")
+        with _LOCK:
+            _CACHE[key] = rows
+    return _CACHE[key]
+
+
+def _find_qrels(spark, sf):
     """Judgements derived from the tables: a document is relevant to a benchmark item when it
     contains the item's passage as a phrase (every document, not only a top-k)."""
     idx = docs_index(spark, sf)
@@ -405,9 +512,9 @@ def q_judged_set(spark, sf):
 
 
 def _per_query(spark, sf, results=None, k=K):
-    judged = E.judged_set(bench_queries(spark, sf), _qrels(spark, sf))
+    judged = E.judged_pairs(bench_queries(spark, sf), _qrels(spark, sf))
     res = results if results is not None else leaf_search(spark, sf, "one_of")
-    return E.per_query_metrics(judged.select("qid"), res, E.qrels_of(judged), k)
+    return E.per_query_metrics(judged.select("qid"), res, judged, k)
 
 
 def q_precision_recall(spark, sf):
@@ -428,10 +535,10 @@ def q_mean_metrics(spark, sf):
 def q_compare_methods(spark, sf):
     idx = docs_index(spark, sf)
     q = bench_queries(spark, sf)
-    judged = E.judged_set(q, _qrels(spark, sf))
+    judged = E.judged_pairs(q, _qrels(spark, sf))
     runs = {"keyword": S.search(idx, C.keyword_clauses(q, {"source": 10.0, "body": 1.0}, escape=True), 100, ROUND),
             "recipe": S.search(idx, recipe_clauses(spark, sf), 100, ROUND)}
-    m = E.compare_methods(judged.select("qid"), runs, E.qrels_of(judged), 100)
+    m = E.compare_methods(judged.select("qid").distinct(), runs, judged, 100)
     return m.select("method", *[F.round(c, 6).alias(c) for c in m.columns if c != "method"])
 
 
@@ -483,6 +590,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ngrams_title": q_ngrams_title,
     "edge_ngrams_title": q_edge_ngrams_title,
     "stem_join": q_stem_join,
+    "stem_user_dictionary": q_stem_user_dictionary,
+    "stem_search": q_stem_search,
     "lexicon_segment": q_lexicon_segment,
     "postings_tf": q_postings_tf,
     "doc_length": q_doc_length,
@@ -496,6 +605,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "phrase": q_phrase,
     "term_prefix": q_term_prefix,
     "phrase_prefix": q_phrase_prefix,
+    "phrase_prefix_altered": q_phrase_prefix_altered,
     "match_all": q_match_all,
     "bool_nested": q_bool_nested,
     "empty_must": q_empty_must,
@@ -503,6 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyword_multi_field": q_keyword_multi_field,
     "recipe_search": q_recipe_search,
     "saved_queries": q_saved_queries,
+    "saved_queries_deep": q_saved_queries_deep,
     "topk_per_query": q_topk_per_query,
     "explain_scores": q_explain_scores,
     "fast_field_search": q_fast_field_search,
@@ -515,6 +626,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "as_of_version": q_as_of_version,
     "last_version": q_last_version,
     "stream_ingest": q_stream_ingest,
+    "stream_changes": q_stream_changes,
     "judged_set": q_judged_set,
     "precision_recall": q_precision_recall,
     "dcg_ndcg": q_dcg_ndcg,

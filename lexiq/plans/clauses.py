@@ -12,7 +12,7 @@ Builders here turn tables of query text into clause rows with column expressions
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,7 +92,7 @@ def keyword_clauses(queries: DataFrame, field_weights: dict[str, float], operato
 
     Each word is a group (Should for ``or``, Must for ``and``) holding one phrase leaf per
     field boosted by the field weight; a standalone ``OR`` is the default operator and is
-    dropped. A word that analyzes to several tokens in a positional field is a phrase.
+    dropped; an ``AND`` makes the words on both sides Must. A word that analyzes to several tokens in a positional field is a phrase.
     """
     if not field_weights:
         raise ValueError("fieldNames must not be empty")
@@ -101,14 +101,18 @@ def keyword_clauses(queries: DataFrame, field_weights: dict[str, float], operato
     t = F.col(text)
     if escape:
         t = escape_reserved(t)
-    words = F.filter(F.regexp_extract_all(F.coalesce(t, F.lit("")), F.lit(_WORD_OR_PHRASE), 0),
-                     lambda w: (w != "OR") & (w != "AND"))
+    words = F.regexp_extract_all(F.coalesce(t, F.lit("")), F.lit(_WORD_OR_PHRASE), 0)
+    # the words around a standalone AND are both required, whatever the default operator
+    joined = lambda i: F.coalesce(F.get("ws", i) == "AND", F.lit(False))
+    must = F.lit(operator == "and") | joined(F.col("wi") - 1) | joined(F.col("wi") + 1)
     fw = F.array(*[F.struct(F.lit(f).alias("f"), F.lit(float(w)).alias("w")) for f, w in field_weights.items()])
     nf = len(field_weights)
-    base = queries.select(F.col(qid).cast("long").alias("qid"), F.posexplode(words).alias("wi", "word"))
+    base = (queries.select(F.col(qid).cast("long").alias("qid"), words.alias("ws"))
+            .select("qid", "ws", F.posexplode("ws").alias("wi", "word"))
+            .filter(~F.col("word").isin("OR", "AND")).select("qid", "wi", "word", must.alias("must")))
     groups = base.select(
         "qid", (F.col("wi") * (nf + 1) + 1).cast("int").alias("clause_id"), F.lit(0).alias("parent_id"),
-        F.lit(1).alias("depth"), F.lit("must" if operator == "and" else "should").alias("modifier"),
+        F.lit(1).alias("depth"), F.when(F.col("must"), F.lit("must")).otherwise(F.lit("should")).alias("modifier"),
         F.lit("bool").alias("kind"), F.lit(None).cast("string").alias("field"),
         F.lit(None).cast("string").alias("text"), F.lit(1.0).alias("boost"))
     leaves = base.select("qid", "wi", "word", F.posexplode(fw).alias("fi", "fw")).select(
@@ -144,50 +148,92 @@ def spec_schema(depth: int = 3) -> T.StructType:
     ])
 
 
-def flatten_specs(specs: DataFrame, depth: int = 3, qid: str = "qid", spec: str = "spec") -> DataFrame:
-    """Flatten parsed specs (column ``spec`` of ``spec_schema``) into clause rows.
+MAX_SPEC_DEPTH = 24
 
-    Missing leaf boost -> 1.0, missing index -> 0, root boost ignored. Clause ids are
-    assigned level by level from the element index path. Invalid indexes keep the row with
-    ``field``/``text`` null and an ``error`` column, for ``query_rejects``.
+
+def json_depth(text: Column) -> Column:
+    """How deep arrays are nested in a JSON text: its clause groups can't be nested deeper."""
+    plain = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', "")
+    marks = F.filter(F.split(F.regexp_replace(plain, r"[^\[\]]", ""), ""), lambda c: c != "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc, c):
+        now = acc["now"] + F.when(c == "[", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return F.aggregate(marks, start, step, lambda acc: acc["most"])
+
+
+def parse_specs(specs: DataFrame, column: str = "spec_json", max_depth: int = MAX_SPEC_DEPTH) -> DataFrame:
+    """``specs`` with ``spec``, the parsed JSON, and ``too_deep``. The schema is as deep as the deepest
+    text of the batch; a text deeper than ``max_depth`` is not parsed but marked, never cut."""
+    marked = specs.withColumn("_depth", F.coalesce(json_depth(F.col(column)), F.lit(1)))
+    depth = marked.agg(F.max("_depth")).first()[0] or 1
+    depth = max(1, min(int(depth), max_depth))
+    text = F.when(F.col("_depth") <= max_depth, F.col(column))
+    return (marked.withColumn("spec", F.from_json(text, spec_schema(depth)))
+            .withColumn("too_deep", F.col("_depth") > max_depth).drop("_depth"))
+
+
+def _depth_of(spec_type: T.StructType) -> int:
+    depth, clause = 1, spec_type["query"].dataType["subqueries"].dataType.elementType
+    while "subqueries" in clause["query"].dataType.names:
+        depth, clause = depth + 1, clause["query"].dataType["subqueries"].dataType.elementType
+    return depth
+
+
+def flatten_specs(specs: DataFrame, qid: str = "qid", spec: str = "spec") -> DataFrame:
+    """Flatten parsed specs (column ``spec``, see ``parse_specs``) into clause rows.
+
+    Missing leaf boost -> 1.0, missing index -> 0, root boost ignored. Clause ids number the
+    clauses of a query in depth-first order of their element index paths. A clause that can't be
+    converted keeps its row, with an ``error`` for ``query_rejects``.
     """
-    base = specs.select(F.col(qid).cast("long").alias("qid"), F.col(f"{spec}.texts").alias("texts"),
-                        F.col(f"{spec}.fields").alias("fields"),
-                        F.col(f"{spec}.query.subqueries").alias("subs"))
-    out = []
-    # level 1
-    cur = base.select("qid", "texts", "fields", F.lit(0).alias("parent_id"),
-                      F.array().cast("array<int>").alias("ppath"), F.posexplode("subs").alias("i", "c"))
-    # clause ids: a base-64 path code (64 children per group are assumed sufficient per level)
-    cur = cur.withColumn("clause_id", (F.col("parent_id") * 64 + F.col("i") + 1).cast("int")) \
-        .withColumn("path", F.concat("ppath", F.array(F.col("i").cast("int"))))
+    depth = _depth_of(specs.schema[spec].dataType)
+    too_deep = F.col("too_deep") if "too_deep" in specs.columns else F.lit(False)
+    base = specs.filter(~too_deep).select(
+        F.col(qid).cast("long").alias("qid"), F.col(f"{spec}.texts").alias("texts"),
+        F.col(f"{spec}.fields").alias("fields"), F.col(f"{spec}.query.subqueries").alias("subs"))
+    no_path = F.array().cast("array<int>")
+    cur = base.select("qid", "texts", "fields", no_path.alias("ppath"), F.posexplode("subs").alias("i", "c"))
+    out = None
     for d in range(1, depth + 1):
-        kind_idx = F.coalesce(F.col("c.query_type"), F.lit(0))
-        kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), kind_idx + 1)
-        mod = F.element_at(F.array(*[F.lit(m) for m in MODIFIERS]), F.coalesce(F.col("c.query_modifier"), F.lit(0)) + 1)
+        cur = cur.withColumn("path", F.concat("ppath", F.array(F.col("i").cast("int"))))
+        kind_idx, mod_idx = F.col("c.query_type"), F.col("c.query_modifier")
+        kind = F.get(F.array(*[F.lit(k) for k in KINDS]), kind_idx)
+        mod = F.get(F.array(*[F.lit(m) for m in MODIFIERS]), mod_idx)
         fi = F.coalesce(F.col("c.query.field_index"), F.lit(0))
         ti = F.coalesce(F.col("c.query.text_index"), F.lit(0))
-        is_leaf = kind_idx.between(1, 6)
-        err = (F.when(~kind_idx.between(0, 7), F.lit("Invalid query type"))
-               .when(is_leaf & ((fi < 0) | (fi >= F.size("fields"))), F.lit("Invalid field index"))
-               .when(is_leaf & ((ti < 0) | (ti >= F.size("texts"))), F.lit("Invalid text index")))
+        is_leaf = F.coalesce(kind_idx.between(1, 6), F.lit(False))
+        is_group = F.coalesce(kind_idx == 0, F.lit(False))
+        subs = F.col("c.query.subqueries") if d < depth else F.lit(None).cast("string")
+        n_fields, n_texts = (F.coalesce(F.size(x), F.lit(0)) for x in ("fields", "texts"))
+        err = (F.when(mod_idx.isNull(), F.lit("missing field `query_modifier`"))
+               .when(~mod_idx.between(0, 2), F.lit("Invalid query_modifier"))
+               .when(kind_idx.isNull(), F.lit("missing field `query_type`"))
+               .when(~kind_idx.between(0, 7), F.lit("Invalid query_type"))
+               .when(is_group & subs.isNull(), F.lit("missing field `subqueries`"))
+               .when(is_group & F.col("c.query.boost").isNull(), F.lit("missing field `boost`"))
+               .when(F.col("c.query").isNull(), F.lit("missing field `query`"))
+               .when(is_leaf & ((fi < 0) | (fi >= n_fields)), F.lit("Invalid field index"))
+               .when(is_leaf & ((ti < 0) | (ti >= n_texts)), F.lit("Invalid text index")))
         rows = cur.select(
-            "qid", "clause_id", "parent_id", F.lit(d).alias("depth"), mod.alias("modifier"), kind.alias("kind"),
+            "qid", F.lit(d).alias("depth"), mod.alias("modifier"), kind.alias("kind"),
             F.when(is_leaf, F.get(F.col("fields"), fi)).alias("field"),
             F.when(is_leaf, F.get(F.col("texts"), ti)).alias("text"),
-            F.coalesce(F.col("c.query.boost"), F.lit(1.0)).alias("boost"), err.alias("error"), "path",
-            F.coalesce(F.size("fields"), F.lit(0)).alias("n_fields"), F.coalesce(F.size("texts"), F.lit(0)).alias("n_texts"))
-        out.append(rows)
+            F.coalesce(F.col("c.query.boost"), F.lit(1.0)).alias("boost"), err.alias("error"), "path", "ppath",
+            n_fields.alias("n_fields"), n_texts.alias("n_texts"))
+        out = rows if out is None else out.unionByName(rows)
         if d < depth:
-            cur = cur.filter(kind_idx == 0).select(
-                "qid", "texts", "fields", F.col("clause_id").alias("parent_id"), F.col("path").alias("ppath"),
-                F.posexplode(F.col("c.query.subqueries")).alias("i", "c"))
-            cur = cur.withColumn("clause_id", (F.col("parent_id") * 64 + F.col("i") + 1).cast("int")) \
-                .withColumn("path", F.concat("ppath", F.array(F.col("i").cast("int"))))
-    res = out[0]
-    for r in out[1:]:
-        res = res.unionByName(r)
-    return res
+            cur = cur.filter(is_group).select("qid", "texts", "fields", F.col("path").alias("ppath"),
+                                              F.posexplode(F.col("c.query.subqueries")).alias("i", "c"))
+    # a query's clauses fit a row: they come from one JSON text. The root's path is empty: parent 0
+    paths = F.sort_array(F.collect_list("path").over(Window.partitionBy("qid")))
+    return (out.withColumn("_paths", paths)
+            .withColumn("clause_id", F.array_position("_paths", F.col("path")).cast("int"))
+            .withColumn("parent_id", F.array_position("_paths", F.col("ppath")).cast("int"))
+            .select("qid", "clause_id", "parent_id", "depth", "modifier", "kind", "field", "text", "boost", "error",
+                    "path", "n_fields", "n_texts"))
 
 
 def spec_json_from_text(queries: DataFrame, fields: list[str], qid: str = "qid", text: str = "text") -> DataFrame:

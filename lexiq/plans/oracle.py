@@ -202,7 +202,7 @@ def eval_query(select: str) -> str:
     return with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "ho"), eval_ctes(_one_of_top())) + "\n" + select
 
 
-MEANS = ("round(avg(precision)::DOUBLE, 6) AS mean_precision, round(avg(recall)::DOUBLE, 6) AS mean_recall, "
+MEANS = ("round((coalesce(sum(precision), 0) / count(*))::DOUBLE, 6) AS mean_precision, round(avg(recall)::DOUBLE, 6) AS mean_recall, "
          "round(avg(dcg)::DOUBLE, 6) AS mean_dcg, round(avg(ndcg)::DOUBLE, 6) AS mean_ndcg")
 
 
@@ -219,6 +219,29 @@ def _edge_tokens() -> str:
             f"CROSS JOIN range(2, 6) b(ln) WHERE ln <= length(w)")
 
 
+def altered_benchmark() -> str:
+    return ("(SELECT item_id, CASE item_id % 3 WHEN 0 THEN array_to_string(w, ' ') "
+            "WHEN 1 THEN array_to_string(list_concat(w[1:len(w) - 1], ['qqzzxx']), ' ') "
+            "ELSE array_to_string(list_concat(w[1:1], w[3:]), ' ') END AS text "
+            "FROM (SELECT item_id, string_split_regex(text, '\\s+') AS w FROM benchmark))")
+
+
+SUFFIX_STEMS = ("SELECT DISTINCT term, CASE WHEN length(term) >= 7 THEN left(term, length(term) - 2) ELSE term END AS stem "
+                f"FROM ({tok('documents', 'doc_id', 'text')})")
+
+
+def stem_search_query() -> str:
+    """Every-term search over stems: documents and queries mapped through the same dictionary."""
+    plain = f"bt AS ({tok('documents', 'doc_id', 'text')})"
+    stemmed = (f"sd AS ({SUFFIX_STEMS}),\nbt AS (SELECT t.id, t.pos, sd.stem AS term FROM "
+               f"({tok('documents', 'doc_id', 'text')}) t JOIN sd ON sd.term = t.term)")
+    assert plain in idx_ctes()
+    qt = (f"q0 AS ({tok('benchmark', 'item_id', 'text')}),\nqt AS (SELECT q0.id AS qid, pos AS off, "
+          "coalesce(sd.stem, q0.term) AS term, row_number() OVER (PARTITION BY q0.id ORDER BY pos) - 1 AS slot, "
+          "count(*) OVER (PARTITION BY q0.id) AS n FROM q0 LEFT JOIN sd ON sd.term = q0.term)")
+    return with_(idx_ctes().replace(plain, stemmed), qt, leaf_ctes("every_term", "qt", "h")) + "\n" + topk("h")
+
+
 ORACLE_SQL: dict[str, str] = {
     "tokenize_simple": f"SELECT id AS doc_id, pos, term FROM ({tok('documents', 'doc_id', 'text', fold=False)})",
     # no Han text in this corpus: every chunk is a word run, positions keep gaps of dropped tokens
@@ -233,7 +256,10 @@ ORACLE_SQL: dict[str, str] = {
                      f"WHERE s + ln <= length(p_name)) GROUP BY p_partkey, term"),
     "edge_ngrams_title": _edge_tokens(),
     "postings_tf": with_(idx_ctes()) + "\nSELECT term, doc_id, tf, first_pos FROM bp",
-    "doc_length": with_(idx_ctes()) + "\nSELECT doc_id, len FROM bl",
+    "doc_length": with_(idx_ctes()) + "\nSELECT d.doc_id, coalesce(bl.len, 0)::BIGINT AS len FROM documents d "
+    "LEFT JOIN bl ON bl.doc_id = d.doc_id",
+    "stem_user_dictionary": SUFFIX_STEMS,
+    "stem_search": stem_search_query(),
     "vocab_df": with_(idx_ctes()) + "\nSELECT term, df FROM bv",
     "corpus_stats": with_(idx_ctes()) + """
 SELECT 'body' AS field, st.n AS n_docs, (SELECT count(*) FROM bt) AS total_tokens, round(((SELECT count(*) FROM bt) * 1.0 / st.n)::DOUBLE, 6) AS avg_len FROM st
@@ -247,20 +273,28 @@ UNION ALL SELECT 'lang', st.n, (SELECT count(*) FROM documents WHERE lang IS NOT
     "phrase": leaf_query("phrase"),
     "term_prefix": leaf_query("term_prefix"),
     "phrase_prefix": leaf_query("phrase_prefix"),
+    "phrase_prefix_altered": with_(idx_ctes(), slots_cte("qt", altered_benchmark(), "item_id", "text"),
+                                   leaf_ctes("phrase_prefix", "qt", "h")) + "\n" + topk("h"),
     "match_all": match_all_query(),
     "bool_nested": bool_nested_query(),
     "empty_must": with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "h"),
                         "h2 AS (SELECT qid * 2 AS qid, doc_id, s FROM h)") + "\n" + topk("h2"),
-    "query_rejects": ("SELECT item_id AS qid, CASE WHEN length(text) > 200 THEN 'Invalid text index' "
+    "query_rejects": ("SELECT item_id AS qid, CASE WHEN item_id % 7 = 0 THEN 'Invalid query_type' "
+                      "WHEN item_id % 7 = 1 THEN 'Invalid query_modifier' "
+                      "WHEN item_id % 7 = 2 THEN 'missing field `query_type`' "
+                      "WHEN item_id % 7 = 3 THEN 'missing field `query_modifier`' WHEN length(text) > 200 THEN 'Invalid text index' "
                       "ELSE 'Invalid field name' END AS reason FROM benchmark"),
     "keyword_multi_field": keyword_query(),
     "recipe_search": recipe_query(),
     "saved_queries": recipe_query(),
-    "topk_per_query": with_(idx_ctes(), slots_cte("qc", "(SELECT * FROM conversations WHERE role = 'user')",
-                                                  "conv_id * 100 + turn", "text"),
+    "saved_queries_deep": with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "h0"),
+                                "h AS (SELECT qid, doc_id, 5.0625 * s AS s FROM h0)") + "\n" + topk("h"),
+    "topk_per_query": with_(idx_ctes(), slots_cte("qc", "conversations", "conv_id * 1000000 + turn", "text"),
                             leaf_ctes("one_of", "qc", "h")) + "\n" + topk("h", 5),
-    "explain_scores": with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "h")) +
-    "\nSELECT qid, doc_id, 1::INTEGER AS clause_id, round(s, 4)::DOUBLE AS score FROM h",
+    "explain_scores": with_(idx_ctes(), BENCH_QT) + "\nSELECT q.qid, p.doc_id, 1::INTEGER AS clause_id, q.term, "
+    f"round(sum((1 - 0.5 * (q.slot + 1) / q.n) * {idf('v.df')} * {tfn('p.tf', 'l.len')}), 4)::DOUBLE AS term_score "
+    "FROM qt q JOIN bp p ON p.term = q.term JOIN bl l ON l.doc_id = p.doc_id JOIN bv v ON v.term = q.term CROSS JOIN st "
+    "GROUP BY q.qid, p.doc_id, q.term",
     "fast_field_search": with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "h")) +
     f"\nSELECT r.qid, r.rank, coalesce(d.source, '') AS value, r.score FROM ({topk('h')}) r JOIN documents d ON d.doc_id = r.doc_id",
     "fetch_fields": with_(idx_ctes(), BENCH_QT, leaf_ctes("phrase", "qt", "h")) +
@@ -271,6 +305,8 @@ UNION ALL SELECT 'lang', st.n, (SELECT count(*) FROM documents WHERE lang IS NOT
     "batch_replace": "SELECT doc_id, (CASE WHEN lang = 'fr' THEN 2 ELSE 1 END)::BIGINT AS version FROM documents",
     "as_of_version": "SELECT doc_id, 1::BIGINT AS version FROM documents",
     "last_version": "SELECT 2::BIGINT AS last_version",
+    "stream_changes": ("SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN 'new' ELSE source END AS body, lang "
+                       "FROM documents WHERE doc_id % 5 NOT IN (3, 4)"),
     "stream_ingest": "SELECT lang, count(*) AS n FROM documents GROUP BY lang",
     "judged_set": with_(idx_ctes(), BENCH_QT, leaf_ctes("phrase", "qt", "qp")) +
     "\nSELECT qid, count(*) AS n_relevant FROM qp GROUP BY qid",

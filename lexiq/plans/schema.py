@@ -29,6 +29,7 @@ class Schema:
     fields: list[FieldSpec] = field(default_factory=list)
     analyzers: dict[str, A.Analyzer] = field(default_factory=lambda: {"default": A.default()})
     lexicons: dict[str, DataFrame] = field(default_factory=dict)  # analyzer name -> lexicon(word)
+    stems: dict[str, DataFrame] = field(default_factory=dict)  # analyzer name -> stems(lang, term, stem)
 
     def add_text_field(self, name: str, stored: bool = True, is_text: bool = True, is_fast: bool = False,
                        record: int = RECORD_POSITIONS, analyzer: str = "default") -> "Schema":
@@ -39,17 +40,28 @@ class Schema:
         self.fields.append(FieldSpec(name, analyzer, stored, is_fast, record, is_text))
         return self
 
-    def register(self, name: str, analyzer: A.Analyzer, lexicon: DataFrame | None = None) -> "Schema":
+    def register(self, name: str, analyzer: A.Analyzer, lexicon: DataFrame | None = None,
+                 stems: DataFrame | None = None) -> "Schema":
+        """``stems`` (lang, term, stem) is the user's dictionary of a stemming analyzer; the index, query
+        text, highlights and maintenance all use it."""
+        from ..functions.stem import has_rules
+        if analyzer.lang is not None and stems is None and not has_rules(analyzer.lang):
+            raise ValueError(f"no stemming rules for {analyzer.lang}: give a dictionary")
         if analyzer.kind == "lexicon" and lexicon is None:
             raise ValueError("a lexicon analyzer needs a lexicon(word) DataFrame")
         self.analyzers[name] = analyzer
         if lexicon is not None:
             self.lexicons[name] = lexicon
+        if stems is not None:
+            self.stems[name] = stems
         return self
 
     def lexicon_of(self, name: str) -> DataFrame:
         return self.lexicons[self.field(name).analyzer]
 
+    def stems_of(self, name: str) -> DataFrame | None:
+        return self.stems.get(self.field(name).analyzer)
+
     def field(self, name: str) -> FieldSpec:
         for f in self.fields:
             if f.name == name:
@@ -70,6 +82,11 @@ class Schema:
     def stored(self) -> list[str]:
         return [f.name for f in self.fields if f.stored]
 
+    @property
+    def kept(self) -> list[str]:
+        """Fields whose values are written with the documents: stored or fast."""
+        return [f.name for f in self.fields if f.stored or f.fast]
+
 
 def copy_to_fields(df: DataFrame, value_col: str, schema: Schema, *names: str) -> DataFrame:
     """Copy one value into several fields. A field that already holds values

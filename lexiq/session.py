@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -10,23 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "lexiq") -> SparkSession:
-    """Session for tests and the bench. On a cluster, build the session with spark-submit instead."""
-    return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
-        .getOrCreate()
-    )
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for materialized tables: the session's ``spark.checkpoint.dir``.
 
@@ -57,6 +39,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, kind: str) -> DataFrame:
+    """Write a small table into the shared folder and read it back, so that its size is known."""
+    path = new_table_path(df.sparkSession, kind)
+    df.coalesce(df.sparkSession.sparkContext.defaultParallelism).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """Broadcast ``df`` only after proving its size: count it and compare with ``max_rows``.
 
@@ -75,15 +64,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
+def modified_at(spark: SparkSession, path: str) -> int | None:
+    """When the newest file below ``path`` was written, by the file system that Spark reads; None if
+    there is no such path."""
+    if not path_exists(spark, path):
+        return None
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return max([fs.getFileStatus(p).getModificationTime()] + [s.getModificationTime() for s in fs.listStatus(p)])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
