@@ -63,5 +63,5 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), name, None)
     return docs

@@ -11,14 +11,16 @@ prefix tokens overlaps in at most ``c + max(n - p)`` tokens, with n and p the se
 either side. Nodes whose prefix tokens occur nowhere else have no link and leave here.
 
 1. Groups. The other nodes are sorted by min-hashes of their tokens, ``ROUNDS`` times by different
-   ones, and every node is compared with the ``NEIGHBOURS`` nodes before it. Links found here
-   already connect most near copies. Runs of up to ``GROUP`` neighbours linked to their first
-   node are the groups of similar documents; a group lies inside one component.
-2. Matrix. For every group the union of its members' prefix tokens is stored as rows (token, group),
-   with the sizes of its members.
-3. Bound. Every node asks the groups of other, larger components with which it shares a token for
-   the number of shared tokens; a group qualifies only if that number allows a link with a member
-   of some size between its smallest and largest.
+   ones. Nodes that agree with one of the ``NEIGHBOURS`` nodes before them in ``AGREEING`` min-hashes
+   are likely to have a link; they are sorted once more with their texts, and every one is compared
+   by the full token sets with its neighbours and with the ``HUBS`` nodes nearby that have most links. Links found here already connect most near copies. Rows of one
+   component that follow each other form groups of similar documents, of about ``GROUP``.
+2. Matrix. For every group, and for every class of set sizes (``CLASS_WIDTH`` wide) as a whole, the
+   union of its members' prefix tokens is stored as rows (token, group) and (token, class), with the
+   sizes of the members. A group is taken apart by classes, so its members are of like size.
+3. Bound. Every node counts the tokens that it shares with a class, and for the classes whose count
+   allows a link with a member of some size between the smallest and the largest, those that it
+   shares with each group of other, larger components. A group qualifies by the same rule.
 4. Qualifying groups are opened: the node is compared with each member, by their full token sets.
 
 A pair is skipped only if it is connected already or if the bound excludes it, so no component
@@ -31,6 +33,7 @@ node. An empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import deque
 from collections.abc import Iterator
 
@@ -41,12 +44,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .common import documents, small, stored, without
+from .common import documents, few, small, stored, without
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
-BUCKETS = 1 << 18
-MINHASHES, ROUNDS, NEIGHBOURS, GROUP = 9, 3, 8, 16
+BUCKETS, CLASS_WIDTH = 1 << 18, 1.006
+MINHASHES, AGREEING, ROUNDS, NEIGHBOURS, HUBS, STRETCH, GROUP = 9, 4, 3, 8, 4, 512, 24
 _LAST = (1 << 63) - 1
 _SALTS = np.random.default_rng(7).integers(1, 1 << 62, MINHASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -113,7 +116,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(rank, node, n, prefix) of every document with a token, and (rank, node null, 0) of the others."""
+    """(rank, node, n, mins, prefix) of every document; node is null without a token."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for w in W.slices(batch.column("text")):
@@ -128,11 +131,44 @@ def sketch(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 np.cumsum(keep, out=ends[1:])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("rank").slice(w.row, w.n_docs),
-                     pa.array(node_ids(tokens, bounds), mask=n == 0), pa.array(n),
+                     pa.array(node_ids(tokens, bounds), mask=n == 0), pa.array(n), _rows(min_hashes(tokens, bounds)),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(W.signed(tokens[order][early])))],
-                    names=["rank", "node", "n", "prefix"])
+                    names=["rank", "node", "n", "mins", "prefix"])
 
-    return docs.select("rank", "text").mapInArrow(run, "rank long, node long, n long, prefix array<long>")
+    return docs.select("rank", "text").mapInArrow(
+        run, "rank long, node long, n long, mins array<long>, prefix array<long>")
+
+
+def _rows(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)),
+                                    pa.array(values.ravel()))
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (token, node) those whose token has two nodes, each once; and the first and the
+    last token of the partition, which may go on in the next."""
+    names = ["token", "node", "n"]
+    held, many, first = None, True, True  # the open run's last row, and whether its rows were passed on
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(c).to_numpy() for c in names]
+        if held is not None:
+            rows = [np.concatenate([[h], r]) for h, r in zip(held, rows)]
+        token, node, _ = rows
+        starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+        two = np.add.reduceat(new, starts) > 1
+        two[0] |= many if held is not None else first
+        keep = np.repeat(two, np.diff(np.append(starts, len(token)))) & new
+        if held is not None and many:
+            keep[0] = False  # was passed on with the batch before
+        held, many, first = [r[-1] for r in rows], bool(two[-1]), False
+        at = np.flatnonzero(keep)
+        yield pa.RecordBatch.from_arrays([pa.array(r[at]) for r in rows], names=names)
+    if held is not None and not many:
+        yield pa.RecordBatch.from_arrays([pa.array([h]) for h in held], names=names)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -152,39 +188,96 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in W.slices(batch.column("text")):
             tokens, bounds = token_sets(w)
             same = np.flatnonzero(node_ids(tokens, bounds) == node[w.row:w.row + w.n_docs])
-            mins = min_hashes(tokens, bounds)[same]
             at = pa.array(same + w.row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(at), pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, mins.size + 1, MINHASHES, dtype=np.int32)), pa.array(mins.ravel())),
-                 batch.column("text").take(at)], names=["node", "mins", "text"])
+                [batch.column("node").take(at), _rows(min_hashes(tokens, bounds)[same]), batch.column("text").take(at)],
+                names=["node", "mins", "text"])
+
+
+def _alike(first: int):
+    """Nodes with a row shortly before them that agrees in many min-hashes, and those rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = None
+        for batch in batches:
+            node, n = (batch.column(c).to_numpy() for c in ("node", "n"))
+            mins = batch.column("mins").values.to_numpy().reshape(-1, MINHASHES)
+            if tail is not None:
+                node, n, mins = (np.concatenate(x) for x in zip(tail, (node, n, mins)))
+            found = np.zeros(len(node), bool)
+            for back in range(1, min(NEIGHBOURS, len(node) - 1) + 1):
+                near = ((mins[back:, first] == mins[:-back, first]) & (node[back:] != node[:-back])
+                        & ((mins[back:] == mins[:-back]).sum(1) >= AGREEING)
+                        & (100 * np.minimum(n[back:], n[:-back]) >= PERCENT * np.maximum(n[back:], n[:-back])))
+                found[back:] |= near
+                found[:-back] |= near
+            tail = (node[-NEIGHBOURS:], n[-NEIGHBOURS:], mins[-NEIGHBOURS:])
+            yield pa.RecordBatch.from_arrays([pa.array(node[found])], names=["node"])
+    return run
+
+
+class _Run:
+    """Rows of one min-hash, in their order: each is compared with the NEIGHBOURS before it and with
+    the HUBS rows that had most links so far; at the end of a stretch, with the stretch's hubs."""
+
+    def __init__(self, key: int):
+        self.key, self.recent, self.hubs, self.stretch = key, deque(maxlen=NEIGHBOURS), [], []
+        self.lead, self.led, self.links, self.chunks = 0, 0, [], []
+
+    def add(self, node: int, tokens: np.ndarray) -> None:
+        mine = {"node": node, "tokens": tokens, "degree": 0, "met": set()}
+        for other in {x["node"]: x for x in [*self.recent, *self.hubs]}.values():
+            self._meet(mine, other)
+        if self.led % GROUP == 0:
+            self.lead = node
+        self.led += 1
+        self.chunks.append((node, self.lead, True))
+        self.recent.append(mine)
+        self.stretch.append(mine)
+        self.hubs = sorted([*self.recent, *(h for h in self.hubs if all(h is not r for r in self.recent))],
+                           key=lambda x: -x["degree"])[:HUBS]
+        if len(self.stretch) >= STRETCH:
+            self.close()
+
+    def _meet(self, mine: dict, other: dict) -> None:
+        mine["met"].add(other["node"])
+        if linked(other["tokens"], mine["tokens"]):
+            self.links.append((mine["node"], other["node"], False))
+            mine["degree"] += 1
+            other["degree"] += 1
+
+    def close(self) -> None:
+        for hub in list(self.hubs):
+            for row in self.stretch:
+                if row is not hub and hub["node"] not in row["met"] and row["node"] not in hub["met"]:
+                    self._meet(row, hub)
+        self.stretch = []
 
 
 def _neighbours(first: int):
-    """Links (a, b) between a row and rows shortly before it; ``leader`` tells that b leads a's group."""
+    """Links (a, b) that the runs of equal min-hashes find; of the first round also the GROUP rows
+    that follow each other in a run, as (row, first of the GROUP) with ``chunk``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: deque = deque(maxlen=NEIGHBOURS)
-        lead, led = None, 0
+        def drawn() -> pa.RecordBatch:
+            out = now.links + (now.chunks if first == 0 else [])
+            now.links, now.chunks = [], []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
+                 pa.array([o[2] for o in out], pa.bool_())], names=["a", "b", "chunk"])
+
+        now = _Run(0)
         for batch in batches:
-            out: list[tuple[int, int, bool]] = []
             node = batch.column("node").to_numpy()
             mins = batch.column("mins").values.to_numpy().reshape(-1, MINHASHES)[:, first]
             for w in W.slices(batch.column("text")):
                 tokens, bounds = token_sets(w)
                 for i in range(w.n_docs):
-                    mine = (int(node[w.row + i]), int(mins[w.row + i]), tokens[bounds[i]:bounds[i + 1]])
-                    for other in recent:
-                        if other[1] == mine[1] and linked(other[2], mine[2]):
-                            out.append((mine[0], other[0], False))
-                    if lead is not None and led < GROUP and lead[1] == mine[1] and linked(lead[2], mine[2]):
-                        out.append((mine[0], lead[0], True))
-                        led += 1
-                    else:
-                        lead, led = mine, 1
-                    recent.append(mine)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                 pa.array([o[2] for o in out], pa.bool_())], names=["a", "b", "leader"])
+                    if mins[w.row + i] != now.key:
+                        now.close()
+                        yield drawn()
+                        now = _Run(mins[w.row + i])
+                    now.add(int(node[w.row + i]), tokens[bounds[i]:bounds[i + 1]])
+        now.close()
+        yield drawn()
     return run
 
 
@@ -208,57 +301,89 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stands for the token set; ``kept`` marks the rows of a component's first id and token set."""
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("rank")
     texts = docs.select(rank, "text")
-    rows = stored(sketch(texts, rarity(texts)), "sketch")
-    prefixes = rows.filter("n > 0").select("node", "n", F.explode("prefix").alias("token"))
-    shared = stored(prefixes.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-                    .filter("lo <> hi").select("token"), "shared")
-    tokens = stored(prefixes.join(small(shared), "token").distinct(), "tokens")
-    chosen = (rows.groupBy("node").agg(F.min("rank").alias("rank"))
-              .join(tokens.select("node").distinct(), "node"))
-    near = stored(texts.join(small(stored(chosen, "chosen")), "rank").select("node", "text")
-                  .mapInArrow(_matched, "node long, mins array<long>, text string").dropDuplicates(["node"]), "near")
-
-    # 1. sorted neighbours: links, groups, first components
-    found = None
-    for r in range(ROUNDS):
+    rows = stored(sketch(texts, rarity(texts)), "sketch", None)
+    prefixes = rows.filter("n > 0").select(F.explode("prefix").alias("token"), "node", "n")
+    tokens = stored(prefixes.repartitionByRange("token", "node").sortWithinPartitions("token", "node")
+                    .mapInArrow(_shared, "token long, node long, n long"), "tokens")
+    heads = rows.filter("n > 0").groupBy("node", "n", "mins").agg(F.min("rank").alias("rank"))
+    heads = stored(heads.join(tokens.select("node").distinct(), "node"), "heads")
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """(node, mins, text) of one document per node."""
+        wanted = stored(heads.select("node", "rank").join(nodes.select("node").distinct(), "node"), "wanted")
+        return stored(texts.join(small(wanted), "rank").select("node", "text")
+                      .mapInArrow(_matched, "node long, mins array<long>, text string"), "texts", 8)
+
+    # 1. sorted neighbours: the nodes with a likely link, links between them, groups, first components
+    def sorted_by(df: DataFrame, r: int, *last: str) -> DataFrame:
         keys = [F.col("mins")[(r * MINHASHES // ROUNDS + i) % MINHASHES] for i in range(MINHASHES // ROUNDS)]
-        order = [*keys, F.length("text"), F.col("node")]
-        links = (near.repartitionByRange(*order).sortWithinPartitions(*order)
-                 .mapInArrow(_neighbours(r * MINHASHES // ROUNDS), "a long, b long, leader boolean"))
-        links = links.withColumn("leader", F.col("leader") & F.lit(r == 0))
+        order = [*keys, *[F.col(c) for c in last], F.col("node")]
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    near, found = None, None
+    for r in range(ROUNDS):
+        alike = sorted_by(heads, r, "n").select("node", "n", "mins").mapInArrow(
+            _alike(r * MINHASHES // ROUNDS), "node long")
+        near = alike if near is None else near.union(alike)
+    near = texts_of(near)
+    for r in range(ROUNDS):
+        links = sorted_by(near.withColumn("n", F.length("text")), r, "n").select("node", "mins", "text").mapInArrow(
+            _neighbours(r * MINHASHES // ROUNDS), "a long, b long, chunk boolean")
         found = links if found is None else found.union(links)
     found = stored(found, "neighbours")
-    first = components(found.select("a", "b"))
+    first = components(found.filter("NOT chunk").select("a", "b"))
     sizes = first.groupBy("root").agg(F.count(F.lit(1)).alias("comp_size"))
-    leaders = found.filter("leader").select(F.col("a").alias("node"), F.col("b").alias("grp")).distinct()
-    labels = (tokens.select("node", "n").distinct().join(leaders, "node", "left")
+    chunks = found.filter("chunk").groupBy(F.col("a").alias("node")).agg(F.min("b").alias("chunk"))
+    # small chunks of one component are put together to groups of about GROUP members
+    part = F.pmod(F.xxhash64("chunk"), F.ceil(F.col("comp_size") / GROUP))
+    labels = (tokens.select("node", "n").distinct().join(chunks, "node", "left")
               .join(first.join(sizes, "root"), "node", "left")
-              .select("node", "n", F.coalesce("grp", "node").alias("grp"), F.coalesce("root", "node").alias("comp"),
+              .select("node", "n", F.when(F.col("root").isNotNull() & F.col("chunk").isNotNull(), F.xxhash64("root", part))
+                      .otherwise(F.col("node")).alias("grp"), F.coalesce("root", "node").alias("comp"),
                       F.coalesce("comp_size", F.lit(1)).alias("comp_size")))
     labels = stored(labels, "labels")
 
-    # 2. and 3. matrix and bound
+    # 2. matrix: tokens that occur in two components or more, by size class and by group
     placed = tokens.select("token", "node").join(labels, "node")
     several = (placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                .filter("lo <> hi").select("token"))
-    placed = stored(placed.join(several, "token"), "placed")
-    spans = labels.groupBy("grp").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    matrix = (placed.groupBy("token", "grp").agg(F.first("comp").alias("g_comp"), F.first("comp_size").alias("g_size"))
-              .join(spans, "grp"))
+    placed = stored(placed.join(several, "token").withColumn(
+        "cls", F.floor(F.log(F.col("n").cast("double")) / math.log(CLASS_WIDTH)).cast("int")), "placed")
     least_, most = F.ceil(PERCENT * F.col("n") / 100 - 1e-9), F.floor(100 * F.col("n") / PERCENT + 1e-9)
-    asked = placed.select("token", "node", "n", "comp", "comp_size").join(matrix, "token").filter(
-        (F.struct("comp_size", "comp") < F.struct(F.col("g_size").alias("comp_size"), F.col("g_comp").alias("comp")))
-        & (F.col("n_max") >= least_) & (F.col("n_min") <= most))
-    bounds = [needed(F.col("n"), F.greatest(F.col("n_min"), least_)), needed(F.col("n"), F.least(F.col("n_max"), most))]
-    opened = (asked.groupBy("node", "grp", "n", "n_min", "n_max").agg(F.count(F.lit(1)).alias("c"))
-              .filter(F.col("c") >= F.least(*bounds)))
+    fits = (F.col("n_max") >= least_) & (F.col("n_min") <= most)
+    enough = F.least(needed(F.col("n"), F.greatest(F.col("n_min"), least_)),
+                     needed(F.col("n"), F.least(F.col("n_max"), most)))
+
+    # 3. bound, first against size classes as a whole, then against the groups of qualifying classes
+    classes = placed.groupBy("token", "cls").agg(
+        F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    asked = (placed.select("token", "node", "n", "comp").join(classes, "token")
+             .filter(fits & ((F.col("lo") != F.col("comp")) | (F.col("hi") != F.col("comp")))))
+    open_classes = (asked.groupBy("node", "n", "cls").agg(
+        F.count(F.lit(1)).alias("c"), F.min("n_min").alias("n_min"), F.max("n_max").alias("n_max"))
+        .filter(F.col("c") >= enough).select("node", F.col("cls").alias("to_cls")))
+    # a link needs both sides: the node open to the member's class, the member to the node's class
+    willing = stored(placed.join(stored(open_classes, "open_classes"), "node"), "willing")
+    matrix = willing.groupBy("token", "cls", "to_cls", "grp").agg(
+        F.first("comp").alias("g_comp"), F.first("comp_size").alias("g_size")).select(
+        "token", F.col("cls").alias("to_cls"), F.col("to_cls").alias("cls"), "grp", "g_comp", "g_size")
+    spans = placed.groupBy("grp", F.col("cls").alias("to_cls")).agg(
+        F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    larger = F.struct("comp_size", "comp") < F.struct(F.col("g_size").alias("comp_size"), F.col("g_comp").alias("comp"))
+    asked = (willing.select("token", "node", "n", "comp", "comp_size", "cls", "to_cls")
+             .join(matrix, ["token", "cls", "to_cls"]).filter(larger)
+             .groupBy("node", "n", "grp", "cls", "to_cls").agg(F.count(F.lit(1)).alias("c")))
+    opened = (asked.join(spans, ["grp", "to_cls"]).filter(fits & (F.col("c") >= enough))
+              .select("node", "n", "grp", "cls", "to_cls"))
 
     # 4. members of opened groups
-    members = labels.select("grp", F.col("node").alias("b"), F.col("n").alias("n_b"))
-    pairs = (opened.join(members, "grp").filter((F.col("n_b") >= least_) & (F.col("n_b") <= most))
-             .select(F.col("node").alias("a"), "b"))
-    checked = (pairs.join(near.select(F.col("node").alias("a"), "text"), "a")
-               .join(near.select(F.col("node").alias("b"), F.col("text").alias("other_text")), "b")
+    members = willing.select("grp", F.col("cls").alias("to_cls"), F.col("to_cls").alias("cls"),
+                             F.col("node").alias("b"), F.col("n").alias("n_b")).distinct()
+    pairs = stored(opened.join(members, ["grp", "cls", "to_cls"]).filter((F.col("n_b") >= least_) & (F.col("n_b") <= most))
+                   .select(F.col("node").alias("a"), "b"), "pairs")
+    both = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
+    checked = (pairs.join(both.select(F.col("node").alias("a"), "text"), "a")
+               .join(both.select(F.col("node").alias("b"), F.col("text").alias("other_text")), "b")
                .select("a", "b", "text", "other_text").mapInArrow(_verified, "a long, b long"))
     links = stored(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(checked), "links")
 
@@ -267,7 +392,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = noted.filter("n > 0").groupBy("root").agg(F.min(F.struct("rank", "node")).alias("head"))
     doc_id = lambda c: F.when(F.col(c) != _LAST, F.col(c))
     alone = F.col("head").isNull()
-    return noted.join(heads, "root", "left").select(
+    return few(noted.join(heads, "root", "left")).select(
         doc_id("rank").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(alone, doc_id("rank")).otherwise(doc_id("head.rank")).alias("component_id"), "node",
         (alone | ((F.col("rank") == F.col("head.rank")) & (F.col("node") == F.col("head.node")))).alias("kept"))
