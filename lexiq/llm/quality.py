@@ -6,11 +6,15 @@ are counted over them, one over all documents (raw corpus) and one over the trus
 ``log p_target(bucket) - log p_raw(bucket)`` (length-normalised, additive smoothing). A trusted
 document is scored against the target *without* its own counts, so trusted and other clean
 documents are measured alike. Every document is kept if its score is at least a threshold, and
-the threshold is one number from the trusted scores: ``low - MARGIN * (median - low)`` where low
-is their ``LOW_SHARE`` quantile. No draw is made, so reruns agree.
+the threshold is one number from the bulk of the trusted scores: ``median - MARGIN * (median - low)``
+where low is their ``LOW_SHARE`` quantile and the distance counts as ``LEAST_SPREAD`` at least. Equal scores
+(copies) count once. Less than ``LOW_SHARE`` of mislabelled trusted documents can't move low among
+themselves, so they don't switch the verdict off. Scores are counted in steps of ``1 / STEPS``
+and no draw is made, so reruns agree.
 
-What goes through the driver is the pair of multinomials: at most ``BUCKETS`` rows, whatever the
-size of the corpus. The counts cover all documents and all trusted documents.
+What goes through the driver is the pair of multinomials, at most ``BUCKETS`` rows, and the counts
+of the trusted scores' steps, some thousands, whatever the size of the corpus. The counts cover all
+documents and all trusted documents.
 
 Null text reads as empty: no words, base rules fail. An empty table gives an empty result; with
 no trusted document there is no target and only the base rules decide. Rows are judged one by
@@ -34,7 +38,7 @@ from .common import documents, small, stored, without
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
-LOW_SHARE, MARGIN = 0.001, 2.0
+LOW_SHARE, MARGIN, LEAST_SPREAD, STEPS = 0.1, 5.0, 0.01, 10_000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -161,14 +165,23 @@ def score(docs: DataFrame, trusted_ids: DataFrame) -> tuple[DataFrame, float]:
 
     threshold = -math.inf
     if ratio.total:
-        low, mid = (marked.filter("trusted").select("text", "trusted")
-                    .mapInArrow(_calibration(ratio), "llr double")
-                    .agg(F.percentile_approx("llr", [LOW_SHARE, 0.5], 100_000)).first()[0] or [None, None])
-        if low is not None:
-            threshold = low - MARGIN * (mid - low)
+        steps = (marked.filter("trusted").select("text", "trusted")
+                 .mapInArrow(_calibration(ratio), "llr double").distinct()
+                 .groupBy(F.floor(F.col("llr") * STEPS).alias("step")).agg(F.count(F.lit(1)).alias("n")).toPandas())
+        threshold = threshold_of(steps["step"].to_numpy(np.int64), steps["n"].to_numpy(np.int64))
     return marked.mapInArrow(judged, schema), threshold
 
 
+def threshold_of(steps: np.ndarray, n: np.ndarray) -> float:
+    """The threshold from the numbers ``n`` of trusted scores in each of ``steps``."""
+    if not len(steps):
+        return -math.inf
+    order = np.argsort(steps)
+    upto = np.cumsum(n[order])
+    low, mid = (steps[order][np.searchsorted(upto, share * upto[-1])] / STEPS for share in (LOW_SHARE, 0.5))
+    return float(mid - MARGIN * max(mid - low, LEAST_SPREAD))
+
+
 def _calibration(ratio: Ratio):
     """Scores of the trusted documents that pass the base rules."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
