@@ -1,17 +1,19 @@
 """Benchmark decontamination by SimHash windows, with DataFrame operations only.
 
 Words are lower-cased; a shingle is ``SHINGLE`` words, as a 64-bit hash. A document holds an item if
-some window of as many words as the item has reaches a weighted shingle similarity of
-``THRESHOLD``: each shingle weighs as often as it occurs, and the similarity is the sum of the
+some window of as many words as the item has, or the whole document if it has fewer, reaches a
+weighted shingle similarity of ``THRESHOLD``: each shingle weighs as often as it occurs, and the similarity is the sum of the
 smaller weights over the sum of the larger ones.
 
-1. Screen. A window similar to an item of m shingles holds at least ``2 t m / (1 + t)`` of its
-   shingles, so it lacks at most ``floor((1 - t) m / (1 + t))`` of them, and one of its shingles at
-   every ``stride``-th place of the document is an item's. Only documents with such a shingle go on.
-2. Windows. In those documents every item-sized window around an item shingle in which enough
-   shingles are item shingles gets a 64-bit SimHash over its words.
+1. Screen. A window of s shingles similar to an item of m >= s shares at least ``t (s + m) / (1 + t)``
+   shingles with it (so ``s >= t m``), thus at most ``floor((1 - t) s / (1 + t))`` of its own are not the
+   item's, and one of its shingles at every ``stride``-th place of the document is an item's. Only
+   documents with such a shingle go on.
+2. Windows. In those documents every item-sized window around an item shingle, or the whole of a
+   document shorter than the item, in which enough shingles are item shingles gets a 64-bit SimHash
+   over its words.
 3. Multi-index. Fingerprints are cut into ``RADIUS + 1`` blocks of bits. Two fingerprints within
-   the radius agree in a block, so the join on (window size, block, bits) finds all of them.
+   the radius agree in a block, so the join on (item size, block, bits) finds all of them.
 4. Check. For every candidate the weighted similarity of window and item is computed exactly.
 
 The benchmark's tables are broadcast only if their counted rows are few. No step groups by a
@@ -97,7 +99,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     counted = stored(spread.groupBy("item", "w", "sh").agg(F.count(F.lit(1)).alias("n_item")), "item_shingles", 1)
     known, sized = counted.select("sh").distinct(), counted.select("sh", "w").distinct()
     least = item.agg(F.min("w")).first()[0]
-    stride = safe_stride((least or SHINGLE) - SHINGLE + 1)
+    # a document shorter than the item has THRESHOLD of its shingles or more
+    stride = safe_stride(math.ceil(THRESHOLD * ((least or SHINGLE) - SHINGLE + 1) - 1e-9))
 
     # 1. screen
     rows = docs.select("doc_id", "text")
@@ -112,13 +115,15 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     # 2. windows in which enough shingles are item shingles
     at = near.select("doc", "n", F.posexplode(shingles("h")).alias("pos", "sh"))
-    starts = (at.join(small(sized), "sh").filter(F.col("w") <= F.col("n"))
-              .select("doc", "w", F.explode(F.sequence(F.greatest(F.lit(0), F.col("pos") - (F.col("w") - SHINGLE)),
-                                                       F.least("pos", F.col("n") - F.col("w")))).alias("start")))
-    m = F.col("w") - (SHINGLE - 1)
-    enough = m - F.floor((1 - THRESHOLD) * m / (1 + THRESHOLD) + 1e-9)
-    windows = stored(starts.groupBy("doc", "w", "start").agg(F.count(F.lit(1)).alias("c"))
-                     .filter(F.col("c") >= enough).drop("c"), "windows")
+    # w is the item's size; a window has ``size`` words, fewer than w if the document is shorter
+    last = F.greatest(F.lit(0), F.col("n") - F.col("w"))
+    starts = (at.join(small(sized), "sh").withColumn("size", F.least("w", "n"))
+              .select("doc", "w", "size", F.explode(F.sequence(
+                  F.greatest(F.lit(0), F.col("pos") - (F.col("w") - SHINGLE)), F.least("pos", last))).alias("start")))
+    both_sizes = F.col("size") + F.col("w") - 2 * (SHINGLE - 1)  # shingles of window and item
+    enough = F.ceil(THRESHOLD * both_sizes / (1 + THRESHOLD) - 1e-9)
+    windows = stored(starts.groupBy("doc", "w", "size", "start").agg(F.count(F.lit(1)).alias("c"))
+                     .filter(F.col("c") >= enough).drop("c", "size"), "windows")
     words = (windows.join(near.select("doc", "h"), "doc")
              .select("doc", "w", "start", F.slice("h", F.col("start") + 1, F.col("w")).alias("x")))
     words = stored(words, "window_words")
@@ -135,18 +140,18 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                         .select(*keys, "item", distance.alias("hamming")).filter(F.col("hamming") <= RADIUS)
                         .distinct(), "candidates")
 
-    # 4. exact weighted similarity: both sides have w - SHINGLE + 1 shingles
-    held = words.select(*keys, F.explode(shingles("x")).alias("sh")).groupBy(*keys, "sh").agg(
-        F.count(F.lit(1)).alias("n_window"))
+    # 4. exact weighted similarity
+    held = (words.select(*keys, F.size("x").alias("size"), F.explode(shingles("x")).alias("sh"))
+            .groupBy(*keys, "size", "sh").agg(F.count(F.lit(1)).alias("n_window")))
     both = (candidates.join(held, keys).join(small(counted.drop("w")), ["item", "sh"])
-            .groupBy(*keys, "item", "hamming").agg(F.sum(F.least("n_window", "n_item")).alias("both")))
-    similarity = F.col("both") / (2 * m - F.col("both"))
+            .groupBy(*keys, "size", "item", "hamming").agg(F.sum(F.least("n_window", "n_item")).alias("both")))
+    similarity = F.col("both") / (both_sizes - F.col("both"))
     found = both.withColumn("similarity", similarity).filter(F.col("similarity") >= THRESHOLD - 1e-12)
     best = (found.groupBy("doc", "item").agg(
-        F.max(F.struct("similarity", -F.col("hamming"), -F.col("start"), "w")).alias("b"),
+        F.max(F.struct("similarity", -F.col("hamming"), -F.col("start"), "size")).alias("b"),
         F.count(F.lit(1)).alias("n_windows"))
         .select("doc", "item", F.col("b.similarity").alias("similarity"), (-F.col("b.col2")).alias("hamming"),
-                (-F.col("b.col3")).alias("window_start"), F.col("b.w").alias("window_words"), "n_windows"))
+                (-F.col("b.col3")).alias("window_start"), F.col("b.size").alias("window_words"), "n_windows"))
     return (few(best.join(near.select("doc", "doc_id"), "doc").join(item.select("item", "item_id"), "item"))
             .select("doc_id", "item_id", "similarity", "hamming", "window_start", "window_words", "n_windows"))
 
