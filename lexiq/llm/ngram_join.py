@@ -296,6 +296,13 @@ def needed(n: Column, size: Column) -> Column:
     return overlap - F.greatest(rest(n), rest(size))
 
 
+def least_needed(n: Column, low: Column, high: Column) -> Column:
+    """The smallest ``needed(n, size)`` of all sizes from ``low`` to ``high``. Up to n it grows with size.
+    Above, it falls by 4/5 and grows by 4/9 a size, each rounded up, so k sizes less change it by
+    floor(4k/5) - ceil(4k/9) or more: only the size before the last can need fewer than the last."""
+    return F.least(needed(n, low), needed(n, F.greatest(low, high - 1)), needed(n, high))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, node, kept) of every row of ``docs`` (doc_id, text). ``node``
     stands for the token set; ``kept`` marks the rows of a component's first id and token set."""
@@ -351,8 +358,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "cls", F.floor(F.log(F.col("n").cast("double")) / math.log(CLASS_WIDTH)).cast("int")), "placed")
     least_, most = F.ceil(PERCENT * F.col("n") / 100 - 1e-9), F.floor(100 * F.col("n") / PERCENT + 1e-9)
     fits = (F.col("n_max") >= least_) & (F.col("n_min") <= most)
-    enough = F.least(needed(F.col("n"), F.greatest(F.col("n_min"), least_)),
-                     needed(F.col("n"), F.least(F.col("n_max"), most)))
+    enough = least_needed(F.col("n"), F.greatest(F.col("n_min"), least_), F.least(F.col("n_max"), most))
 
     # 3. bound, first against size classes as a whole, then against the groups of qualifying classes
     classes = placed.groupBy("token", "cls").agg(
