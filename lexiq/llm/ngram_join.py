@@ -10,21 +10,27 @@ documents, a table of fixed size; any fixed order gives the same links. A node's
 prefix tokens overlaps in at most ``c + max(n - p)`` tokens, with n and p the set and prefix sizes of
 either side. Nodes whose prefix tokens occur nowhere else have no link and leave here.
 
-1. Groups. The other nodes are sorted by min-hashes of their tokens, ``ROUNDS`` times by different
+1. First links. The other nodes are sorted by min-hashes of their tokens, ``ROUNDS`` times by different
    ones. Nodes that agree with one of the ``NEIGHBOURS`` nodes before them in ``AGREEING`` min-hashes
    are likely to have a link; they are sorted once more with their texts, and every one is compared
-   by the full token sets with its neighbours and with the ``HUBS`` nodes nearby that have most links. Links found here already connect most near copies. Rows of one
-   component that follow each other form groups of similar documents, of about ``GROUP``.
-2. Matrix. For every group, and for every class of set sizes (``CLASS_WIDTH`` wide) as a whole, the
-   union of its members' prefix tokens is stored as rows (token, group) and (token, class), with the
-   sizes of the members. A group is taken apart by classes, so its members are of like size.
-3. Bound. Every node counts the tokens that it shares with a class, and for the classes whose count
+   by the full token sets with its neighbours and with the ``HUBS`` nodes nearby that have most links.
+   Links found here already connect most near copies.
+2. Matrix. Nodes with a token of another component are put in the order of their min-hashes, so similar
+   ones are near each other; ``SUPER`` that follow each other are a supergroup, ``GROUP`` of its members a
+   group. The union of a supergroup's prefix tokens is stored as rows (token, supergroup), by
+   classes of set sizes (``CLASS_WIDTH`` wide), so members that are counted together are of like size.
+3. Bound. Every node counts the tokens that it shares with a class as a whole; for the classes whose count
    allows a link with a member of some size between the smallest and the largest, those that it
-   shares with each group of other, larger components. A group qualifies by the same rule.
-4. Qualifying groups are opened: the node is compared with each member, by their full token sets.
+   shares with each supergroup that holds a larger component. A token that many nodes have meets its
+   few supergroups, not its many groups or components.
+4. Qualifying supergroups are opened, the node's prefix tokens beside the members' in one task: it counts
+   the tokens that the node shares with each group's union, opens the groups that qualify by the same
+   rule, and does the same with their members of larger components. What is left, ids alone, is compared by
+   the full token sets, group by group: a group's texts are read once, a node's text once per group.
 
 A pair is skipped only if it is connected already or if the bound excludes it, so no component
-is lost. A large group of near copies is connected in step 1, so it is not expanded into pairs.
+is lost. A large group of near copies is connected in step 1, so it is not expanded into pairs. A
+supergroup or group that very many nodes ask for is dealt to several tasks.
 
 Null and empty texts have no tokens and link with nothing. A null id is larger than any other; a
 component of null ids alone has a null component_id. Rows that repeat id and text are one
@@ -49,7 +55,9 @@ from .components import components
 
 SHINGLE, PERCENT = 5, 80
 BUCKETS, CLASS_WIDTH = 1 << 18, 1.006
-MINHASHES, AGREEING, ROUNDS, NEIGHBOURS, HUBS, STRETCH, GROUP = 9, 4, 3, 8, 4, 512, 24
+MINHASHES, AGREEING, ROUNDS, NEIGHBOURS, HUBS, STRETCH = 9, 4, 3, 8, 4, 512
+#: Members of a group and of a supergroup (a power of two); nodes that ask for one in one task.
+GROUP, SUPER, ASKED = 24, 256, 2048
 _LAST = (1 << 63) - 1
 _SALTS = np.random.default_rng(7).integers(1, 1 << 62, MINHASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -221,16 +229,12 @@ class _Run:
 
     def __init__(self, key: int):
         self.key, self.recent, self.hubs, self.stretch = key, deque(maxlen=NEIGHBOURS), [], []
-        self.lead, self.led, self.links, self.chunks = 0, 0, [], []
+        self.links = []
 
     def add(self, node: int, tokens: np.ndarray) -> None:
         mine = {"node": node, "tokens": tokens, "degree": 0, "met": set()}
         for other in {x["node"]: x for x in [*self.recent, *self.hubs]}.values():
             self._meet(mine, other)
-        if self.led % GROUP == 0:
-            self.lead = node
-        self.led += 1
-        self.chunks.append((node, self.lead, True))
         self.recent.append(mine)
         self.stretch.append(mine)
         self.hubs = sorted([*self.recent, *(h for h in self.hubs if all(h is not r for r in self.recent))],
@@ -241,7 +245,7 @@ class _Run:
     def _meet(self, mine: dict, other: dict) -> None:
         mine["met"].add(other["node"])
         if linked(other["tokens"], mine["tokens"]):
-            self.links.append((mine["node"], other["node"], False))
+            self.links.append((mine["node"], other["node"]))
             mine["degree"] += 1
             other["degree"] += 1
 
@@ -254,15 +258,12 @@ class _Run:
 
 
 def _neighbours(first: int):
-    """Links (a, b) that the runs of equal min-hashes find; of the first round also the GROUP rows
-    that follow each other in a run, as (row, first of the GROUP) with ``chunk``."""
+    """Links (a, b) that the runs of equal min-hashes find."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def drawn() -> pa.RecordBatch:
-            out = now.links + (now.chunks if first == 0 else [])
-            now.links, now.chunks = [], []
+            out, now.links = now.links, []
             return pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                 pa.array([o[2] for o in out], pa.bool_())], names=["a", "b", "chunk"])
+                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
 
         now = _Run(0)
         for batch in batches:
@@ -281,12 +282,92 @@ def _neighbours(first: int):
     return run
 
 
+class _Matrix:
+    """The members of an opened supergroup: their tokens, and the union of each GROUP of them."""
+
+    def __init__(self, rows: list[dict]):
+        self.rows = rows
+        self.node, self.n, self.comp, self.size = (np.array([r[c] for r in rows], np.int64)
+                                                   for c in ("node", "n", "comp", "comp_size"))
+        tokens = [np.unique(np.array(r["tokens"], np.int64)) for r in rows]
+        self.token = np.concatenate(tokens)
+        self.member = np.repeat(np.arange(len(rows)), [len(t) for t in tokens])
+        order = np.argsort(self.token, kind="stable")
+        self.token, self.member = self.token[order], self.member[order]
+        first = np.ones(len(order), bool)
+        first[1:] = (self.token[1:] != self.token[:-1]) | (self.member[1:] // GROUP != self.member[:-1] // GROUP)
+        self.union, self.group = self.token[first], self.member[first] // GROUP
+        starts = np.arange(0, len(rows), GROUP)
+        self.n_min, self.n_max = np.minimum.reduceat(self.n, starts), np.maximum.reduceat(self.n, starts)
+
+    @staticmethod
+    def shared(token: np.ndarray, owner: np.ndarray, asked: np.ndarray, n: int) -> np.ndarray:
+        """Per owner, how many of the asked tokens (ascending, distinct) it has."""
+        lo, hi = np.searchsorted(token, asked), np.searchsorted(token, asked, "right")
+        count = hi - lo
+        at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+        return np.bincount(owner[at], minlength=n)
+
+    def candidates(self, row: dict) -> Iterator[tuple[int, list[int]]]:
+        """(first member of a group, members) that the row's node may link with, of larger components."""
+        n, asked = row["n"], np.unique(np.array(row["tokens"], np.int64))
+        least, most = -(-PERCENT * n // 100), 100 * n // PERCENT
+        low, high = np.maximum(self.n_min, least), np.minimum(self.n_max, most)
+        enough = np.minimum(np.minimum(_needed(n, low), _needed(n, np.maximum(low, high - 1))), _needed(n, high))
+        opened = (low <= high) & (self.shared(self.union, self.group, asked, len(low)) >= enough)
+        if not opened.any():
+            return
+        fits = ((self.n >= least) & (self.n <= most) & opened[np.arange(len(self.n)) // GROUP]
+                & ((self.size > row["comp_size"]) | ((self.size == row["comp_size"]) & (self.comp > row["comp"]))))
+        if fits.any():
+            at = np.flatnonzero(fits & (self.shared(self.token, self.member, asked, len(fits)) >= _needed(n, self.n)))
+            for group in np.unique(at // GROUP):
+                yield int(self.node[group * GROUP]), self.node[at[at // GROUP == group]].tolist()
+
+
+def _needed(n: int, size: np.ndarray) -> np.ndarray:
+    """As ``needed``, for arrays."""
+    share = lambda x: -(-PERCENT * x // 100)
+    return -(-PERCENT * (n + size) // (100 + PERCENT)) - np.maximum(share(n), share(size)) + 1
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(unit, a, bs) of rows sorted by (sg, cls, to_cls, salt, asks): a supergroup's members, then the nodes
+    that ask for it. ``unit`` is the first member of the group that ``bs`` are of."""
+    key, members, matrix = None, [], None
+    for batch in batches:
+        out: list[tuple[int, int, list[int]]] = []
+        for row in batch.to_pylist():
+            now = (row["sg"], row["cls"], row["to_cls"], row["salt"])
+            if now != key:
+                key, members, matrix = now, [], None
+            if not row["asks"]:
+                members.append(row)
+                continue
+            matrix = matrix or _Matrix(members)
+            out += [(unit, row["node"], bs) for unit, bs in matrix.candidates(row)]
+        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
+                                          pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["unit", "a", "bs"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of rows sorted by (unit, salt, asks): a group's members, then the nodes to compare with them."""
+    key, members = None, {}
     for batch in batches:
-        left, right = ([t[bounds[i]:bounds[i + 1]] for w in W.slices(batch.column(c))
-                        for t, bounds in [token_sets(w)] for i in range(w.n_docs)] for c in ("text", "other_text"))
-        keep = np.fromiter((linked(x, y) for x, y in zip(left, right)), bool, len(left))
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
+        links: list[tuple[int, int]] = []
+        unit, salt, asks, node, bs = (batch.column(c).to_pylist() for c in ("unit", "salt", "asks", "node", "bs"))
+        for w in W.slices(batch.column("text")):
+            tokens, bounds = token_sets(w)
+            for i in range(w.n_docs):
+                at, mine = w.row + i, tokens[bounds[i]:bounds[i + 1]]
+                if (unit[at], salt[at]) != key:
+                    key, members = (unit[at], salt[at]), {}
+                if asks[at]:
+                    links += [(node[at], b) for b in bs[at] if linked(mine, members[b])]
+                else:
+                    members[node[at]] = mine.copy()
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())],
+                                         names=["a", "b"])
 
 
 def needed(n: Column, size: Column) -> Column:
@@ -335,22 +416,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near = texts_of(near)
     for r in range(ROUNDS):
         links = sorted_by(near.withColumn("n", F.length("text")), r, "n").select("node", "mins", "text").mapInArrow(
-            _neighbours(r * MINHASHES // ROUNDS), "a long, b long, chunk boolean")
+            _neighbours(r * MINHASHES // ROUNDS), "a long, b long")
         found = links if found is None else found.union(links)
-    found = stored(found, "neighbours")
-    first = components(found.filter("NOT chunk").select("a", "b"))
+    first = components(stored(found, "neighbours"))
     sizes = first.groupBy("root").agg(F.count(F.lit(1)).alias("comp_size"))
-    chunks = found.filter("chunk").groupBy(F.col("a").alias("node")).agg(F.min("b").alias("chunk"))
-    # small chunks of one component are put together to groups of about GROUP members
-    part = F.pmod(F.xxhash64("chunk"), F.ceil(F.col("comp_size") / GROUP))
-    labels = (tokens.select("node", "n").distinct().join(chunks, "node", "left")
-              .join(first.join(sizes, "root"), "node", "left")
-              .select("node", "n", F.when(F.col("root").isNotNull() & F.col("chunk").isNotNull(), F.xxhash64("root", part))
-                      .otherwise(F.col("node")).alias("grp"), F.coalesce("root", "node").alias("comp"),
-                      F.coalesce("comp_size", F.lit(1)).alias("comp_size")))
-    labels = stored(labels, "labels")
-
-    # 2. matrix: tokens that occur in two components or more, by size class and by group
+    labels = stored(tokens.select("node", "n").distinct().join(first.join(sizes, "root"), "node", "left").select(
+        "node", "n", F.coalesce("root", "node").alias("comp"), F.coalesce("comp_size", F.lit(1)).alias("comp_size")), "labels")
+
+    # 2. matrix: tokens that occur in two components or more, by size class and by supergroup
     placed = tokens.select("token", "node").join(labels, "node")
     several = (placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                .filter("lo <> hi").select("token"))
@@ -360,7 +433,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     fits = (F.col("n_max") >= least_) & (F.col("n_min") <= most)
     enough = least_needed(F.col("n"), F.greatest(F.col("n_min"), least_), F.least(F.col("n_max"), most))
 
-    # 3. bound, first against size classes as a whole, then against the groups of qualifying classes
+    # 3. bound, first against size classes as a whole, then against the supergroups of qualifying classes
     classes = placed.groupBy("token", "cls").agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     asked = (placed.select("token", "node", "n", "comp").join(classes, "token")
@@ -369,28 +442,47 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("c"), F.min("n_min").alias("n_min"), F.max("n_max").alias("n_max"))
         .filter(F.col("c") >= enough).select("node", F.col("cls").alias("to_cls")))
     # a link needs both sides: the node open to the member's class, the member to the node's class
-    willing = stored(placed.join(stored(open_classes, "open_classes"), "node"), "willing")
-    matrix = willing.groupBy("token", "cls", "to_cls", "grp").agg(
-        F.first("comp").alias("g_comp"), F.first("comp_size").alias("g_size")).select(
-        "token", F.col("cls").alias("to_cls"), F.col("to_cls").alias("cls"), "grp", "g_comp", "g_size")
-    spans = placed.groupBy("grp", F.col("cls").alias("to_cls")).agg(
+    open_classes = stored(open_classes, "open_classes")
+    order = sorted_by(heads.select("node", "n", "mins").join(open_classes.select("node").distinct(), "node"), 0, "n")
+    order = stored(order.select("node", F.monotonically_increasing_id().alias("place")), "order")
+    rank_ = F.struct("comp_size", "comp")
+    willing = stored(placed.join(open_classes, "node").join(order, "node").withColumn(
+        "sg", F.shiftright("place", SUPER.bit_length() - 1)), "willing")
+    matrix = willing.groupBy("token", "cls", "to_cls", "sg").agg(F.max(rank_).alias("top")).select(
+        "token", F.col("cls").alias("to_cls"), F.col("to_cls").alias("cls"), "sg", "top")
+    spans = willing.groupBy("sg", F.col("cls").alias("to_cls"), F.col("to_cls").alias("cls")).agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    larger = F.struct("comp_size", "comp") < F.struct(F.col("g_size").alias("comp_size"), F.col("g_comp").alias("comp"))
     asked = (willing.select("token", "node", "n", "comp", "comp_size", "cls", "to_cls")
-             .join(matrix, ["token", "cls", "to_cls"]).filter(larger)
-             .groupBy("node", "n", "grp", "cls", "to_cls").agg(F.count(F.lit(1)).alias("c")))
-    opened = (asked.join(spans, ["grp", "to_cls"]).filter(fits & (F.col("c") >= enough))
-              .select("node", "n", "grp", "cls", "to_cls"))
-
-    # 4. members of opened groups
-    members = willing.select("grp", F.col("cls").alias("to_cls"), F.col("to_cls").alias("cls"),
-                             F.col("node").alias("b"), F.col("n").alias("n_b")).distinct()
-    pairs = stored(opened.join(members, ["grp", "cls", "to_cls"]).filter((F.col("n_b") >= least_) & (F.col("n_b") <= most))
-                   .select(F.col("node").alias("a"), "b"), "pairs")
-    both = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
-    checked = (pairs.join(both.select(F.col("node").alias("a"), "text"), "a")
-               .join(both.select(F.col("node").alias("b"), F.col("text").alias("other_text")), "b")
-               .select("a", "b", "text", "other_text").mapInArrow(_verified, "a long, b long"))
+             .join(matrix, ["token", "cls", "to_cls"]).filter(rank_ < F.col("top"))
+             .groupBy("node", "n", "sg", "cls", "to_cls").agg(F.count(F.lit(1)).alias("c")))
+    opened = stored(asked.join(spans, ["sg", "cls", "to_cls"]).filter(fits & (F.col("c") >= enough))
+                    .select("node", "sg", "cls", "to_cls"), "opened")
+
+    # 4. opened supergroups, their groups and members; a supergroup is named by its members' class, cls
+    sets = placed.groupBy("node", "n", "comp", "comp_size").agg(F.collect_list("token").alias("tokens"))
+    sets = stored(sets.join(order, "node"), "sets")
+    cell = ["sg", "cls", "to_cls"]
+    asking = opened.select("sg", F.col("to_cls").alias("cls"), F.col("cls").alias("to_cls"), "node")
+    salts = stored(asking.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / ASKED).alias("salts")), "salts")
+    own = F.pmod(F.xxhash64("node"), F.col("salts"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+    members = willing.select(*cell, "node").distinct().join(salts, cell)
+    both = (members.select(*cell, every.alias("salt"), F.lit(False).alias("asks"), "node")
+            .union(asking.join(salts, cell).select(*cell, own.alias("salt"), F.lit(True), "node")).join(sets, "node"))
+    keys = [*cell, "salt"]
+    ranges = _dealt(both, keys, ["asks", "place"]).select(*keys, "asks", "node", "n", "comp", "comp_size", "tokens")
+    opened = stored(ranges.mapInArrow(_opened, "unit long, a long, bs array<long>"), "pairs")
+
+    # what is left is compared by the full token sets
+    salts = stored(opened.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / ASKED).alias("salts")), "salts")
+    none = F.lit(None).cast("array<long>")
+    members = opened.select("unit", F.explode("bs").alias("node")).distinct().join(salts, "unit").select(
+        "unit", every.alias("salt"), F.lit(False).alias("asks"), "node", none.alias("bs"))
+    both = members.union(opened.withColumnRenamed("a", "node").join(salts, "unit").select(
+        "unit", own.alias("salt"), F.lit(True), "node", "bs"))
+    both = both.join(texts_of(both.select("node")).select("node", "text"), "node")
+    checked = _dealt(both, ["unit", "salt"], ["asks"]).select("unit", "salt", "asks", "node", "bs", "text").mapInArrow(
+        _verified, "a long, b long")
     links = stored(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(checked), "links")
 
     roots = components(links)
@@ -404,6 +496,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         (alone | ((F.col("rank") == F.col("head.rank")) & (F.col("node") == F.col("head.node")))).alias("kept"))
 
 
+def _dealt(rows: DataFrame, keys: list[str], then: list[str]) -> DataFrame:
+    """Rows of equal keys together in one partition, in the order of keys and ``then``."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys, *then)
+
+
 def with_node(docs: DataFrame) -> DataFrame:
     """``docs`` with the column ``node`` of ``near_duplicates``."""
     docs = without(docs, ["node"])
