@@ -275,12 +275,12 @@ def links(nodes: DataFrame) -> DataFrame:
     dealt = cells(nodes, b, crowded(nodes, b, n))
     parts = max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return stored(dealt.repartition(parts, "anchor", "cell").sortWithinPartitions("anchor", "cell", "came")
-                  .mapInArrow(_trees, "a long, b long"), "links")
+                  .mapInArrow(_trees, "a long, b long"), "links", None)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text)."""
-    rows = stored(fingerprints(docs), "fingerprints")
+    rows = stored(fingerprints(docs), "fingerprints", None)
     nodes = stored(rows.groupBy("fp").agg(F.min("rank").alias("rank")), "nodes")
     roots = stored(components(links(nodes)), "roots")
     first = nodes.join(roots.withColumnRenamed("node", "fp"), "fp").groupBy("root").agg(F.min("rank").alias("first"))
