@@ -4,9 +4,9 @@ Seeds: winnowing over hashes of ``SEED_WORDS`` words. Of the seeds inside any wi
 words the smallest is an anchor, so two documents that share a window share an anchor at the same
 place in it. Anchors of one text only are dropped.
 
-Extension: a match is extended from its anchor word by word, to both sides: all windows that hold
-a shared anchor are hashed, and windows with the same hash in documents with different ids are
-the match. A window's first document is a minimum per hash, so a passage that a third of all
+Extension: a match is extended from its anchor to both sides by whole windows, not by comparing two
+texts word by word: all windows that hold a shared anchor are hashed, and windows with the same hash
+in documents with different ids are the match. A window's first document is a minimum per hash, so a passage that a third of all
 documents share costs one row per place, and no pair of documents is ever written. Consecutive
 matched windows form a maximal repeat; its words are removed in every document but the first.
 
@@ -35,6 +35,8 @@ from .common import documents, few, small, stored
 LENGTH, SEED_WORDS = 50, 10
 _LAST = (1 << 63) - 1
 _START_BITS = 31
+#: Rows of at most four longs that are broadcast; 16 MB as a table of hashes.
+BROADCAST_ROWS = 250_000
 
 
 def _slide(values: np.ndarray, n: int, op: np.ufunc) -> np.ndarray:
@@ -163,8 +165,10 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     sketch = stored(texts.mapInArrow(_sketch, "doc_id long, n_words long, h1 long, h2 long, sha string, "
                                               "seeds array<long>, places array<int>"), "sketch", None)
     narrow = sketch.select("doc_id", rank, tag, "n_words", "h1", "h2", "sha")
-    classes = narrow.groupBy("h1", "h2", "n_words").agg(F.min("rank").alias("first"))
-    marked = stored(narrow.join(classes, ["h1", "h2", "n_words"]).withColumn(
+    # tables that are joined by the key they were grouped by are stored first: a hot key (texts without words, a
+    # passage that many documents share) is then a plain join, which Spark splits
+    classes = stored(narrow.groupBy("h1", "h2", "n_words").agg(F.min("rank").alias("first")), "firsts")
+    marked = stored(narrow.join(small(classes, BROADCAST_ROWS), ["h1", "h2", "n_words"]).withColumn(
         "copy", (F.col("rank") > F.col("first")) & (F.col("n_words") >= LENGTH)).drop("first", "h2"), "classes")
 
     # seeds that occur in texts of two classes or more
@@ -172,6 +176,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
         "rank", "tag", "h1", F.col("a.seeds").alias("seed"), F.col("a.places").alias("at"))
     shared = (seeds.groupBy("seed").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
               .filter("lo <> hi").select("seed"))
+    shared = small(stored(shared, "shared"), BROADCAST_ROWS)
     own = marked.filter(~F.col("copy")).select("rank", "tag", "h1").distinct()
     places = (seeds.drop("h1").join(shared, "seed").groupBy("rank", "tag").agg(F.collect_set("at").alias("places"))
               .join(own, ["rank", "tag"]))
@@ -185,6 +190,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     windows = found.mapInArrow(_windows, "hash long, rank long, place long")
     firsts = (windows.groupBy("hash").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
               .filter("first < last").select("hash", "first"))
+    firsts = small(stored(firsts, "first_windows"), BROADCAST_ROWS)
     later = (windows.join(firsts, "hash").filter(F.col("rank") > F.col("first"))
              .groupBy("rank", F.shiftright("place", _START_BITS).alias("tag"))
              .agg(F.collect_list(F.col("place").bitwiseAND(F.lit((1 << _START_BITS) - 1)).cast("int")).alias("starts")))
