@@ -12,13 +12,15 @@ document cut to the words still missing, so it gives its rounded target to the w
 
 Output shards: the blocks that all sources give are divided by a splitting tree. A node holds the
 block quota of every source and halves its shards; the left half's blocks are one draw from the
-multivariate hypergeometric distribution (source by source, each a univariate hypergeometric draw
-by inverting its distribution, eight standard deviations to either side), the right half gets the
-rest. The leaves add up exactly, and shard k takes from every source the next run of its
+multivariate hypergeometric distribution (first for runs of ``SOURCES`` sources, then source by source, each
+a univariate hypergeometric draw by inverting its distribution, eight standard deviations to either
+side), the right half gets the rest. The leaves add up exactly, and shard k takes from every source the next run of its
 permuted blocks, so no block is drawn twice. A shard is shuffled by sorting on a hash.
 
 Null text has size 0 and is never drawn, like an empty one; a null source is a source. Repeated
-rows are documents of their own. An empty table gives no rows. All random numbers are hashes of
+rows are documents of their own. An empty table gives no rows. Columns but id, text and source are ignored
+by ``mix`` and kept by ``mixed_documents`` (those named like its own are replaced). More than
+``MAX_SOURCES`` sources are an error: their targets, one small row each, are ranked in one task. All random numbers are hashes of
 ids, texts and node numbers, so reruns agree.
 """
 
@@ -27,12 +29,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import new_table_path
 from .common import documents, small, stored, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MAX_REPEAT = (5, 2, 1), 1.5, 2
 N_SHARDS, BINS, SEED = 16, 4096, 42
 DEVIATIONS = 8
+#: Quotas in a row of the splitting tree; and the most sources: the targets rank one row per source in a task.
+SOURCES, MAX_SOURCES = 512, 1 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -106,33 +111,52 @@ def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Col
         F.when(a["sum"] <= a["stop"], x).otherwise(a["k"]).alias("k"), a["stop"].alias("stop")), lambda a: a["k"])
 
 
+def _drawn(quotas: Column, draws: Column, *seed: Column) -> Column:
+    """A multivariate hypergeometric draw of ``draws`` from an array of quotas: an array of the same length."""
+    total = F.aggregate(quotas, F.lit(0).cast("long"), lambda a, x: a + x)
+    start = F.struct(total.alias("total"), draws.alias("draws"), F.lit(0).alias("i"),
+                     F.array().cast("array<bigint>").alias("left"))
+
+    def draw(a: Column, good: Column) -> Column:
+        u = F.xxhash64(F.lit(SEED), *seed, a["i"]).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
+        # the draw is bound once, by an array of one, and then used three times
+        return F.get(F.transform(F.array(hypergeometric(a["total"], good, a["draws"], u)), lambda x: F.struct(
+            (a["total"] - good).alias("total"), (a["draws"] - x).alias("draws"), (a["i"] + 1).alias("i"),
+            F.concat(a["left"], F.array(x)).alias("left"))), F.lit(0))
+
+    return F.aggregate(quotas, start, draw, lambda a: a["left"])
+
+
 def splitting_tree(quotas: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
     """(ordinal, bounds): shard k takes the permuted blocks ``bounds[k]`` to ``bounds[k + 1]`` of the source.
-    ``quotas`` (ordinal, quota) has one row per source."""
-    node = quotas.groupBy().agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "quota"))), lambda s: s["quota"]).alias("q"),
-    ).select(F.lit(0).alias("lo"), F.lit(n_shards).alias("hi"), "q")
+    ``quotas`` (ordinal, quota) has one row per source.
+
+    A node's sources are rows of ``SOURCES`` quotas each. A node draws first how many blocks its left half
+    takes from each such row, then every row draws for its own sources: no task holds all sources' quotas, and
+    no array is longer than ``SOURCES`` or the number of such rows."""
+    quota = F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "quota"))), lambda s: s["quota"])
+    node = quotas.groupBy(F.floor(F.col("ordinal") / SOURCES).alias("part")).agg(quota.alias("q")).select(
+        F.lit(0).alias("lo"), F.lit(n_shards).alias("hi"), "part", "q")
     width = n_shards
+    shards, mid = F.col("hi") - F.col("lo"), F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
     while width > 1:
-        total = F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x)
-        shards, mid = F.col("hi") - F.col("lo"), F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-        start = F.struct(total.alias("total"), F.floor(total * (mid - F.col("lo")) / shards).cast("long").alias("draws"),
-                         F.lit(0).alias("i"), F.array().cast("array<bigint>").alias("left"))
-
-        def draw(a: Column, good: Column) -> Column:
-            u = F.xxhash64(F.lit(SEED), F.col("lo"), F.col("hi"), a["i"]).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
-            # the draw is bound once, by an array of one, and then used three times
-            return F.get(F.transform(F.array(hypergeometric(a["total"], good, a["draws"], u)), lambda x: F.struct(
-                (a["total"] - good).alias("total"), (a["draws"] - x).alias("draws"), (a["i"] + 1).alias("i"),
-                F.concat(a["left"], F.array(x)).alias("left"))), F.lit(0))
-
-        node = node.withColumn("mid", mid).withColumn("left", F.aggregate("q", start, draw, lambda a: a["left"]))
-        halves = F.array(F.struct("lo", F.col("mid").alias("hi"), F.col("left").alias("q")),
-                         F.struct(F.col("mid").alias("lo"), "hi", F.zip_with("q", "left", lambda q, x: q - x).alias("q")))
-        single = F.array(F.struct("lo", "hi", "q"))
+        node = stored(node, "splitting_tree")
+        total = lambda q: F.aggregate(q, F.lit(0).cast("long"), lambda a, x: a + x)
+        parts = F.sort_array(F.collect_list(F.struct("part", total("q").alias("n"))))
+        heads = (node.groupBy("lo", "hi").agg(parts.alias("parts"))
+                 .withColumn("n", F.transform("parts", lambda x: x["n"]))
+                 .withColumn("draws", F.floor(total("n") * (mid - F.col("lo")) / shards).cast("long"))
+                 .withColumn("left", _drawn(F.col("n"), F.col("draws"), F.col("lo"), F.col("hi"), F.lit(-1)))
+                 .select("lo", "hi", F.inline(F.arrays_zip(F.col("parts.part").alias("part"), F.col("left").alias("draws")))))
+        node = node.join(heads, ["lo", "hi", "part"]).withColumn("mid", mid).withColumn(
+            "left", _drawn(F.col("q"), F.col("draws"), F.col("lo"), F.col("hi"), F.col("part")))
+        halves = F.array(F.struct("lo", F.col("mid").alias("hi"), "part", F.col("left").alias("q")),
+                         F.struct(F.col("mid").alias("lo"), "hi", "part", F.zip_with("q", "left", lambda q, x: q - x).alias("q")))
+        single = F.array(F.struct("lo", "hi", "part", "q"))
         node = node.select(F.explode(F.when(shards > 1, halves).otherwise(single)).alias("n")).select("n.*")
         width = (width + 1) // 2
-    leaves = node.select(F.col("lo").alias("shard"), F.posexplode("q").alias("ordinal", "blocks"))
+    leaves = node.select(F.col("lo").alias("shard"), "part", F.posexplode("q").alias("at", "blocks")).select(
+        "shard", (F.col("part") * SOURCES + F.col("at")).cast("int").alias("ordinal"), "blocks")
     upto = Window.partitionBy("ordinal").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     ends = leaves.withColumn("end", F.sum("blocks").over(upto))
     return ends.groupBy("ordinal").agg(
@@ -141,11 +165,14 @@ def splitting_tree(quotas: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
 
 
 def mix(docs: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text, source) as (doc_id, source, key, size, source_size, target,
-    draws); ``draws`` has one struct (copy, words, shard) per time the mix takes the document."""
+    """Every row of ``docs`` (doc_id, text, source) as (doc_id, source, ordinal, rank, key, size, source_size,
+    target, draws); ``draws`` has one struct (copy, words, shard) per time the mix takes the document.
+    (ordinal, rank) is the source's number and the place among its blocks, unique for rows with words."""
     sizes = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                                row_key(F.col("doc_id"), F.col("text")).alias("key")), "sizes")
     sources = stored(targets(sizes), "targets")
+    if sources.count() > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
     ranked = stored(permuted(sizes), "permuted")
     one = lambda table: table.withColumnRenamed("source", "_source")
     on = F.col("source").eqNullSafe(F.col("_source"))
@@ -161,7 +188,7 @@ def mix(docs: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
         j.alias("copy"),
         F.when(j < F.col("passes"), F.col("size")).when(j == F.col("passes"), partial).otherwise(0).alias("words"),
         (F.size(F.filter("bounds", lambda b: b <= j * F.col("n_blocks") + F.col("rank"))) - 1).alias("shard")))
-    return x.select("doc_id", "source", "key", "size", "source_size", "target",
+    return x.select("doc_id", "source", "ordinal", "rank", "key", "size", "source_size", "target",
                     F.filter(drawn, lambda d: d["words"] > 0).alias("draws"))
 
 
@@ -186,13 +213,32 @@ def mixed_documents(docs: DataFrame, n_shards: int = N_SHARDS) -> DataFrame:
 
 
 def write_shards(mixed: DataFrame, path: str) -> None:
-    """Folders ``shard=K``, each shuffled by ``shuffle_key``; a shard may be several tasks."""
+    """Folders ``shard=K``, each shuffled by ``shuffle_key``; a shard may be several tasks. ``mixed`` has a row
+    per draw: whole documents (``mixed_documents``) or what draws them (``drawn_rows``)."""
     (mixed.repartitionByRange("shard", "shuffle_key").sortWithinPartitions("shard", "shuffle_key")
      .drop("shuffle_key").write.partitionBy("shard").parquet(path))
 
 
+def drawn_rows(mixed: DataFrame) -> DataFrame:
+    """(ordinal, rank, doc_id, copy, words, shard, shuffle_key) of every draw of ``mix``."""
+    rows = mixed.select("doc_id", "ordinal", "rank", "key", F.explode("draws").alias("d"))
+    return rows.select("ordinal", "rank", "doc_id", "d.copy", "d.words", "d.shard",
+                       F.xxhash64(F.lit(SEED), "d.shard", "d.copy", "key").alias("shuffle_key"))
+
+
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """The draws that ``write_shards`` wrote, with their ``shard``."""
+    return spark.read.schema("ordinal int, rank long, doc_id long, copy int, words long, shard int").parquet(path)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir)).select(
-        "doc_id", "size", "source_size", "target",
-        F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]).alias("taken"),
-        F.transform("draws", lambda d: d["shard"]).alias("shards"))
+    """The shards are written, shuffled, as lists of draws; what the mix takes is read back from them."""
+    mixed = stored(mix(documents(spark, sf_dir)), "mix")
+    path = new_table_path(spark, "mix_shards")
+    write_shards(drawn_rows(mixed), path)
+    taken = read_shards(spark, path).groupBy("ordinal", "rank").agg(
+        F.sum("words").alias("words"), F.sort_array(F.collect_list("shard")).alias("shards"))
+    rows = mixed.select("doc_id", "size", "source_size", "target", "ordinal", F.when(F.col("size") > 0, F.col("rank")).alias("rank"))
+    return rows.join(taken, ["ordinal", "rank"], "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0).cast("long")).alias("taken"),
+        F.coalesce("shards", F.array().cast("array<int>")).alias("shards"))
