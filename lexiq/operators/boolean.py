@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from ..plans.schema import RECORD_POSITIONS
 from ..session import materialize
 from .index import TextIndex
-from .search import max_depth_of, slot_counts
+from .search import slot_counts
 
 
 def query_rejects(index: TextIndex, flat: DataFrame, specs: DataFrame | None = None) -> DataFrame:
@@ -55,15 +55,17 @@ def query_rejects(index: TextIndex, flat: DataFrame, specs: DataFrame | None = N
     nodes = ok.join(counts, ["qid", "clause_id"], "left").fillna(0, ["n_slots"])
     usable = nodes.withColumn("usable", (F.col("kind") == "all") | (F.col("modifier") == "must") |
                               ((F.col("kind") != "bool") & (F.col("n_slots") > 0)))
-    depth = max_depth_of(ok) if ok.limit(1).count() else 1
-    for level in range(depth, 1, -1):
-        child_ok = (usable.filter((F.col("depth") == level) & F.col("usable"))
-                    .select("qid", F.col("parent_id").alias("clause_id")).distinct()
-                    .withColumn("has_child", F.lit(True)))
-        usable = (usable.join(child_ok, ["qid", "clause_id"], "left")
-                  .withColumn("usable", F.col("usable") | ((F.col("kind") == "bool") & F.coalesce("has_child", F.lit(False))))
-                  .drop("has_child"))
-    top = usable.filter(F.col("depth") == 1).groupBy("qid").agg(F.max(F.col("usable").cast("int")).alias("u"))
+    # the clauses of a query in one row, the deepest first: a usable one makes its group usable
+    node = F.struct((-F.col("depth")).alias("order"), F.col("clause_id").alias("id"), F.col("parent_id").alias("p"),
+                    "usable", (F.col("kind") == "bool").alias("group"))
+
+    def step(acc, n):
+        good = n["usable"] | (n["group"] & F.array_contains(acc, n["id"]))
+        return F.when(good, F.array_union(acc, F.array(n["p"]))).otherwise(acc)
+
+    useful = F.aggregate("nodes", F.array().cast("array<int>"), step)
+    top = (usable.groupBy("qid").agg(F.sort_array(F.collect_list(node)).alias("nodes"))
+           .select("qid", F.array_contains(useful, 0).cast("int").alias("u")))
     none = (ok.select("qid").distinct().join(top, "qid", "left")
             .filter(F.coalesce(F.col("u"), F.lit(0)) == 0)
             .select("qid", F.lit("No usable clauses in query").alias("reason")))

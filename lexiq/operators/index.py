@@ -2,34 +2,42 @@
 
 Layout written to ``path``:
 
-* ``postings/field=<f>/tb=<b>/``  (term, doc_id, tf, len, positions), rows sorted by term
+* ``postings/field=<f>/tb=<b>/``  (term, doc_id, tf, len, positions), a table bucketed by doc_id
+  into document shards, rows sorted by term
 * ``vocab/field=<f>/tb=<b>/``     (term, df)
 * ``stats/``                      (field, n_docs, total_tokens, avg_len)  -- one row per field
 * ``docs/``                       (doc_id, stored fields)
+* ``ids/``                        (doc_id, place), in the order of doc_id
 
 ``tb`` is a hash bucket of the term. A query batch joins its (small) analyzed terms on
 ``(field, tb, term)``, so dynamic partition pruning reads only the buckets it needs.
 
-Postings for fields without stemming are computed *inside each row* (sort the token
-array, cut it into runs of equal terms): a document's tokens never leave the task that
-read the document, so the only shuffle of the build is the final rebalance that lays the
-files out by bucket (AQE splits the bucket of a very frequent term into several files).
+All postings of a document lie in one document shard, and the scan says so to the planner:
+whatever is grouped or joined by document (leaf scores, phrase candidates, the boolean
+fold, a shard's top k) needs no exchange. The documents are dealt to their shards before
+they are tokenized, so the build moves texts once and postings never (a very frequent term is
+spread over all shards). Postings for fields without stemming are computed *inside each row*
+(sort the token array, cut it into runs of equal terms).
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..functions.stem import apply_stems, stem_dictionary
 from ..plans.schema import RECORD_POSITIONS, Schema
-from ..session import bounded_broadcast, new_table_path, spread, stored
+from ..session import bounded_broadcast, new_table_path, stored
 
-ALL_FIELD = "_all"  # every document holds the empty term here: match-all is a posting list
-DEFAULT_TERM_BUCKETS, MAX_TERM_BUCKETS, BUCKET_BYTES = 16, 8192, 64 << 20
+ALL_FIELD = "_all"  # every document holds the empty term here: the list of all documents, for the statistics
+DEFAULT_TERM_BUCKETS, MAX_TERM_BUCKETS, FILE_BYTES = 4, 8192, 64 << 20
+#: A document shard is one task of a search: of about SHARD_BYTES in a large corpus; a small one is dealt
+#: to a few shards per core, but to no shards under SMALL_SHARD_BYTES.
+MAX_DOC_SHARDS, SHARD_BYTES, SMALL_SHARD_BYTES, SHARDS_PER_CORE, UNKNOWN_BYTES = 1 << 16, 1 << 30, 256 << 10, 4, 1 << 60
 STEM_BROADCAST_ROWS = 5_000_000
 
 
@@ -122,9 +130,17 @@ def universal_postings(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def corpus_postings(docs: DataFrame, schema: Schema, id_col: str = "doc_id",
-                    stem_dicts: dict | None = None, include_all: bool = True) -> DataFrame:
-    """All postings of a corpus, one row per (field, term, doc)."""
-    parts = [field_postings(docs, schema, f, id_col, (stem_dicts or {}).get(f)) for f in schema.names]
+                    stem_dicts: dict | None = None, include_all: bool = True, shards: int | None = None) -> DataFrame:
+    """All postings of a corpus, one row per (field, term, doc). With ``shards``, documents are dealt to
+    their shards first and every task's rows are of one shard."""
+    if shards:
+        docs = docs.repartition(shards, id_col)
+    parts = []
+    for f in schema.names:
+        part = field_postings(docs, schema, f, id_col, (stem_dicts or {}).get(f))
+        if shards and (schema.analyzer_of(f).lang is not None or schema.analyzer_of(f).kind == "lexicon"):
+            part = part.repartition(shards, "doc_id")  # joined by term on the way
+        parts.append(part)
     if include_all:
         parts.append(universal_postings(docs, id_col))
     out = parts[0]
@@ -133,15 +149,36 @@ def corpus_postings(docs: DataFrame, schema: Schema, id_col: str = "doc_id",
     return out
 
 
+def shard_table(spark: SparkSession, path: str, schema: str, shards: int) -> DataFrame:
+    """The table below ``path``, read with what it knows of its document shards. A session registers an
+    external table for it; the files hold all rows, dropping the table leaves them."""
+    # joins and aggregates by (document, ...) may use the shards although these are dealt by the document alone
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    name = table_name(path)
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}, field STRING, tb INT) USING parquet PARTITIONED BY (field, tb) "
+                  f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {shards} BUCKETS LOCATION '{path}'")
+        if spark.conf.get("spark.sql.catalogImplementation") == "hive":
+            spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
+def table_name(path: str) -> str:
+    return "lexiq_" + hashlib.sha256(path.encode()).hexdigest()[:20]
+
+
 @dataclass
 class TextIndex:
     spark: SparkSession
     path: str
     schema: Schema
     term_buckets: int = DEFAULT_TERM_BUCKETS
+    doc_shards: int = 1
+    id_type: str = "bigint"
 
     def postings(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/postings")
+        return shard_table(self.spark, f"{self.path}/postings", f"term STRING, doc_id {self.id_type}, tf INT, len INT, "
+                                                                "positions ARRAY<INT>", self.doc_shards)
 
     def vocab(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/vocab")
@@ -152,6 +189,10 @@ class TextIndex:
     def docs(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/docs")
 
+    def ids(self) -> DataFrame:
+        """(doc_id, ord): the documents numbered from 0 in the order of their ids."""
+        return numbered_ids(self.spark.read.parquet(f"{self.path}/ids"))
+
     def num_docs(self) -> DataFrame:
         """A5 as a one-row DataFrame."""
         return self.docs().agg(F.count(F.lit(1)).alias("num_docs"))
@@ -160,11 +201,13 @@ class TextIndex:
         return term_bucket(term, self.term_buckets)
 
 
-def write_postings(postings: DataFrame, path: str, buckets: int) -> None:
-    (postings.withColumn("tb", term_bucket(F.col("term"), buckets))
-     .hint("rebalance", "field", "tb")
-     .sortWithinPartitions("field", "tb", "term", "doc_id")
-     .write.mode("overwrite").partitionBy("field", "tb").parquet(path))
+def write_postings(postings: DataFrame, path: str, buckets: int, shards: int) -> None:
+    """``postings`` in tasks of one shard each, as files of (field, term bucket, shard)."""
+    spark, name = postings.sparkSession, table_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (postings.select("term", "doc_id", "tf", "len", "positions", "field", term_bucket(F.col("term"), buckets).alias("tb"))
+     .write.mode("overwrite").format("parquet").option("path", path).partitionBy("field", "tb")
+     .bucketBy(shards, "doc_id").sortBy("term", "doc_id").saveAsTable(name))
 
 
 def write_vocab(postings: DataFrame, path: str) -> None:
@@ -174,13 +217,34 @@ def write_vocab(postings: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("field", "tb").parquet(path))
 
 
+def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id") -> None:
+    """(doc_id, place): ids in ascending order over the files and in every file."""
+    (docs.select(F.col(id_col).alias("doc_id")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+     .withColumn("place", F.monotonically_increasing_id()).write.mode("overwrite").parquet(path))
+
+
+def numbered_ids(ids: DataFrame) -> DataFrame:
+    """(doc_id, ord) of a table of ``write_ids``: a file's first number is the rows of all files before it."""
+    placed = ids.withColumn("_part", F.shiftright("place", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per file
+    offsets = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return placed.join(bounded_broadcast(stored(offsets, "offsets")), "_part").select(
+        "doc_id", (F.col("_off") + F.col("place") - F.shiftleft("_part", 33)).alias("ord"))
+
+
 def compute_stats(postings: DataFrame, names: list[str]) -> DataFrame:
     """A4: N = all documents (from the universal posting list), avg_len = tokens / N,
     documents with an empty field and fields without any token included."""
-    from pyspark.sql import Window
     per_field = postings.groupBy("field").agg(F.sum("tf").cast("long").alias("total_tokens"),
                                               F.count(F.lit(1)).alias("n_rows"))
-    fields = postings.sparkSession.createDataFrame([(n,) for n in [*names, ALL_FIELD]], "field string")
+    return stats_of(per_field, names)
+
+
+def stats_of(per_field: DataFrame, names: list[str]) -> DataFrame:
+    """Statistics from (field, total_tokens, n_rows); ``n_rows`` of the universal list counts the documents."""
+    fields = per_field.sparkSession.createDataFrame([(n,) for n in [*names, ALL_FIELD]], "field string")
     per_field = fields.join(per_field, "field", "left").fillna(0, ["total_tokens", "n_rows"])
     # one row per field: the window over all of them is bounded by the number of fields
     n_docs = F.max(F.when(F.col("field") == ALL_FIELD, F.col("n_rows"))).over(Window.partitionBy())
@@ -189,27 +253,43 @@ def compute_stats(postings: DataFrame, names: list[str]) -> DataFrame:
             .select("field", "n_docs", "total_tokens", "avg_len"))
 
 
-def buckets_for(docs: DataFrame) -> int:
-    """Term buckets for a corpus: a power of two, one bucket per BUCKET_BYTES that the planner
-    estimates for it, so that a batch of rare terms touches a small part of a large index."""
+def _power_of_two(wanted: int) -> int:
+    return 1 << max(0, int(wanted).bit_length() - 1)
+
+
+def layout_for(docs: DataFrame) -> tuple[int, int]:
+    """(term buckets, document shards) of a corpus, powers of two, from the size that the planner estimates
+    for it: a shard is a task's work, and a file of a shard and a term bucket has about FILE_BYTES."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    wanted = min(MAX_TERM_BUCKETS, size // BUCKET_BYTES)
-    return max(DEFAULT_TERM_BUCKETS, 1 << max(0, int(wanted).bit_length() - 1))
+    if size >= UNKNOWN_BYTES:  # the planner can't tell (rows of an RDD): a shard per core
+        return DEFAULT_TERM_BUCKETS, _power_of_two(cores)
+    few = min(SHARDS_PER_CORE * cores, size // SMALL_SHARD_BYTES)
+    shards = _power_of_two(min(MAX_DOC_SHARDS, max(1, few, size // SHARD_BYTES)))
+    return _power_of_two(min(MAX_TERM_BUCKETS, max(DEFAULT_TERM_BUCKETS, size // shards // FILE_BYTES))), shards
 
 
 def build_index(spark: SparkSession, docs: DataFrame, schema: Schema, id_col: str = "doc_id",
                 path: str | None = None, term_buckets: int | None = None,
-                stem_dicts: dict | None = None) -> TextIndex:
+                stem_dicts: dict | None = None, doc_shards: int | None = None) -> TextIndex:
     """Tokenize every field, write postings/vocab/stats/docs, return the index handle."""
     path = path or new_table_path(spark, "index")
-    term_buckets = term_buckets or buckets_for(docs)
     for name in schema.names:
         if name not in docs.columns:
             raise ValueError(f"missing column for field: {name}")
-    write_postings(corpus_postings(spread(docs), schema, id_col, stem_dicts), f"{path}/postings", term_buckets)
-    p = spark.read.parquet(f"{path}/postings")
-    write_vocab(p, f"{path}/vocab")
-    compute_stats(p, schema.names).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
-    (docs.select(F.col(id_col).alias("doc_id"), *[F.col(c) for c in schema.kept if c != "doc_id"])
-     .write.mode("overwrite").parquet(f"{path}/docs"))
-    return TextIndex(spark, path, schema, term_buckets)
+    layout = layout_for(docs)
+    index = TextIndex(spark, path, schema, term_buckets or layout[0], doc_shards or layout[1],
+                      docs.schema[id_col].dataType.simpleString())
+    write_postings(corpus_postings(docs, schema, id_col, stem_dicts, shards=index.doc_shards), f"{path}/postings",
+                   index.term_buckets, index.doc_shards)
+    write_tables(index, docs.select(F.col(id_col).alias("doc_id"), *[F.col(c) for c in schema.kept if c != "doc_id"]))
+    return index
+
+
+def write_tables(index: TextIndex, docs: DataFrame) -> None:
+    """Vocabulary, statistics, stored documents and their order, once the postings are written."""
+    p = index.postings()
+    write_vocab(p, f"{index.path}/vocab")
+    compute_stats(p, index.schema.names).coalesce(1).write.mode("overwrite").parquet(f"{index.path}/stats")
+    docs.write.mode("overwrite").parquet(f"{index.path}/docs")
+    write_ids(index.docs(), f"{index.path}/ids")

@@ -4,15 +4,22 @@ Plan shape for a query batch (see README "Plan"):
 
 1. ``slots``: clause text analyzed with the field's analyzer (small table, checkpointed).
 2. ``slot_terms``: exact slots joined to the vocabulary on (field, tb, term) for ``df``;
-   prefix slots expanded through the vocabulary (equi-join on the first character plus
-   ``startswith``). Statistics (N, avg_len) and idf are attached here.
-3. Leaf step 1: postings JOIN broadcast(slot terms merged per clause) on (field, tb, term)
-   -- map-side, dynamic partition pruning reads only the needed term buckets -- then one
-   hash aggregate per (qid, doc_id, clause_id), partial before a numeric-only exchange.
-   No key is hot: one (qid, doc) holds at most one row per clause term.
-4. Leaf step 2 (phrases): only candidate docs holding every exact slot read positions.
-5. Boolean fold level by level, then top-k per qid with ``row_number`` (Spark plans a
-   partial WindowGroupLimit before the exchange, so at most k rows per qid per task move).
+   prefix slots expanded through the vocabulary (equi-join on the prefix). Statistics (N,
+   avg_len) and idf are attached here.
+3. Leaves: postings JOIN broadcast(slot terms merged per clause) on (field, tb, term) --
+   map-side, dynamic partition pruning reads only the needed term buckets -- then one
+   aggregate per (qid, doc_id, clause_id). Postings are bucketed by document, so neither
+   this aggregate nor anything below needs an exchange until the top k.
+   Phrases: the documents of a clause's rarest slot are its candidates; the other slots'
+   postings are joined with them, shard by shard, before positions are compared.
+4. Boolean fold: the leaf hits of a (query, document) are one row, folded inside it by
+   the query's groups, the deepest first; the depth of a tree adds nothing to the plan.
+5. Top-k per qid with ``row_number`` (Spark plans a partial WindowGroupLimit before the
+   exchange, so at most k rows per qid per shard move).
+
+Match-all clauses read no postings: documents that another clause of the query hits get the
+clause in their row; all others are alike, so the first of them by id, k and as many as the
+query has hits, are all that the top k can need.
 """
 
 from __future__ import annotations
@@ -21,12 +28,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stem import apply_stems, stem_dictionary
-from ..plans.schema import RECORD_BASIC
+from ..plans.schema import RECORD_BASIC, RECORD_POSITIONS
 from ..session import bounded_broadcast, materialize, stored
-from .index import ALL_FIELD, TextIndex, term_bucket
+from .index import TextIndex, term_bucket
 
 K1, B = 1.2, 0.75
 SMALL_TABLE_ROWS = 2_000_000
+PREFIX = 12
 POSITIONAL = ("phrase", "phrase_prefix")
 KIND_CODES = ("phrase", "phrase_prefix", "term_prefix", "term", "every_term", "one_of", "all")
 
@@ -87,17 +95,15 @@ def analyze_clauses(index: TextIndex, clauses: DataFrame) -> DataFrame:
     n_eff = F.when(F.col("kind").isin("term", "term_prefix"), F.least(F.col("n_slots"), F.lit(1))) \
         .otherwise(F.col("n_slots"))
     slots = slots.withColumn("n_slots", n_eff)
-    universal = clauses.filter(F.col("kind") == "all").select(
-        "qid", "clause_id", F.lit(ALL_FIELD).alias("field"), "kind", F.lit(1).alias("n_slots"),
-        F.lit(0).alias("slot"), F.lit(0).alias("offset"), F.lit("").alias("term"))
-    return slots.unionByName(universal)
+    return slots
 
 
 def slot_counts(index: TextIndex, clauses: DataFrame) -> DataFrame:
     """(qid, clause_id, n_slots) for every leaf; zero means the text analyzed to nothing."""
-    s = analyze_clauses(index, clauses).groupBy("qid", "clause_id").agg(F.max("n_slots").alias("n_slots"))
-    leaves = clauses.filter(F.col("kind") != "bool").select("qid", "clause_id")
-    return leaves.join(s, ["qid", "clause_id"], "left").fillna(0, ["n_slots"])
+    s = analyze_clauses(index, clauses).groupBy("qid", "clause_id").agg(F.max("n_slots").alias("n"))
+    leaves = clauses.filter(F.col("kind") != "bool").select("qid", "clause_id", "kind")
+    n_slots = F.when(F.col("kind") == "all", F.lit(1)).otherwise(F.coalesce("n", F.lit(0)))
+    return leaves.join(s, ["qid", "clause_id"], "left").select("qid", "clause_id", n_slots.alias("n_slots"))
 
 
 # --- 2. slot terms with statistics -------------------------------------------------------
@@ -110,16 +116,21 @@ def slot_terms(index: TextIndex, slots: DataFrame) -> DataFrame:
     vocab = index.vocab()
     exact = s.filter(~F.col("is_prefix")).withColumn("tb", term_bucket(F.col("term"), index.term_buckets))
     exact = vocab.join(bounded_broadcast(exact, SMALL_TABLE_ROWS), ["field", "tb", "term"], "inner")
-    pref = s.filter(F.col("is_prefix")).withColumn("c1", F.substr(F.col("term"), F.lit(1), F.lit(1)))
-    v = vocab.withColumn("c1", F.substr(F.col("term"), F.lit(1), F.lit(1))) \
-        .withColumnRenamed("term", "vterm")
-    pref = (v.join(bounded_broadcast(pref, SMALL_TABLE_ROWS), ["field", "c1"], "inner")
-            .filter(F.startswith(F.col("vterm"), F.col("term")))
-            .drop("term", "c1").withColumnRenamed("vterm", "term"))
-    both = exact.unionByName(pref.select(*exact.columns))
+    # an equi-join on the prefix itself, up to PREFIX characters: no letter is a hot key. Every term is
+    # looked up once for each length that the batch has
+    pref = stored(s.filter(F.col("is_prefix")).withColumn("plen", F.least(F.char_length("term"), F.lit(PREFIX)))
+                  .withColumn("prefix", F.substr(F.col("term"), F.lit(1), F.col("plen"))), "prefixes")
+    lengths = sorted(r["plen"] for r in pref.select("plen").distinct().collect())  # PREFIX numbers at most
+    if lengths:
+        v = (vocab.withColumnRenamed("term", "vterm").withColumn("plen", F.explode(F.array(*[F.lit(n) for n in lengths])))
+             .withColumn("prefix", F.substr(F.col("vterm"), F.lit(1), F.col("plen"))))
+        pref = (v.join(bounded_broadcast(pref, SMALL_TABLE_ROWS), ["field", "plen", "prefix"], "inner")
+                .filter(F.startswith(F.col("vterm"), F.col("term")))
+                .drop("term", "plen", "prefix").withColumnRenamed("vterm", "term"))
+        exact = exact.unionByName(pref.select(*exact.columns))
     # one row per field: bounded by the schema, broadcast without a count
     stats = F.broadcast(index.stats().select("field", "n_docs", "avg_len"))
-    return (both.join(stats, "field", "inner")
+    return (exact.join(stats, "field", "inner")
             .withColumn("idf", bm25_idf(F.col("df").cast("double"), F.col("n_docs").cast("double"))))
 
 
@@ -131,80 +142,80 @@ def _record_of(index: TextIndex) -> Column:
     return F.col("field").isin(basic) if basic else F.lit(False)
 
 
-def step1_terms(terms: DataFrame) -> DataFrame:
-    """Terms scanned for every document: all but the prefix expansions of multi-slot phrase
-    prefixes, which only matter for documents that already hold every exact slot and are
-    looked up for those candidates in step 2."""
-    deferred = (F.col("kind") == "phrase_prefix") & (F.col("n_slots") > 1) & F.col("is_prefix")
-    return terms.filter(~deferred)
+def is_positional() -> Column:
+    return F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)
 
 
 def leaf_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> DataFrame:
-    """(qid, doc_id, clause_id, score) before the clause boost.
+    """(qid, doc_id, clause_id, score) before the clause boost; ``terms`` is a stored table."""
+    has = {r["pos"] for r in terms.select(is_positional().alias("pos")).distinct().collect()}
+    parts = [f(index, terms, explain) for pos, f in ((False, term_hits), (True, phrase_hits)) if pos in has]
+    if not parts:  # no term is in the vocabulary
+        parts = [term_hits(index, terms.limit(0), explain)]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
-    Step 1, one aggregate per (qid, doc_id, clause_id) over postings joined map-side with the
-    query terms: term-like clauses sum BM25 over their slots; positional clauses only count
-    matched slots, so a doc is a phrase candidate when every slot is present.
-    Step 2, for candidates only: collect (slot, offset, positions) and intersect the shifted
-    position sets in the row (phrase frequency = number of common starts).
-    """
+
+def term_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> DataFrame:
+    """Hits of all leaves but phrases of several slots: one aggregate per (qid, doc_id, clause_id) over
+    postings joined map-side with the query terms, the BM25 scores of a clause's slots summed."""
     kind = F.col("kind")
     weight = F.when(kind == "one_of", F.lit(1.0) - F.lit(0.5) * (F.col("slot") + 1) / F.col("n_slots")) \
         .otherwise(F.lit(1.0))
-    # slot terms merged per (qid, field, term, clause, role): a term used by several exact
-    # slots of a clause is one row with the summed weight and the number of slots it fills
+    # slot terms merged per (qid, field, term, clause, role): a term used by several slots of a clause
+    # is one row with the summed weight and the number of slots it fills
     code = F.array_position(F.array(*[F.lit(k) for k in KIND_CODES]), F.col("kind")).cast("int")
-    per_term = (step1_terms(terms)
+    per_term = (terms.filter(~is_positional())
                 .groupBy("qid", "field", "term", "clause_id", F.col("is_prefix").cast("int").alias("pfx"))
                 .agg(F.max(code).alias("kc"), F.max("n_slots").alias("n_slots"),
                      F.sum(weight).alias("coef"), F.count(F.lit(1)).alias("n_fill"),
                      F.max("idf").alias("idf"), F.max("avg_len").alias("avg_len")))
-    # map-side: every posting of a query term meets the (qid, clause) rows using it through a
-    # size-checked broadcast; the aggregate below combines partially before a numeric-only
-    # exchange on (qid, doc_id, clause_id) -- no string and no positions cross the network
     # The terms are read back from a table: with a known size and a filter, the planner prunes the
-    # posting partitions (field, tb) by the broadcast terms, so step 1 reads only their buckets.
+    # posting partitions (field, tb) by the broadcast terms, so only their buckets are read.
     pt = stored(per_term.withColumn("tb", term_bucket(F.col("term"), index.term_buckets)), "slot-terms")
     pt = bounded_broadcast(pt.filter(F.col("n_fill") > 0), SMALL_TABLE_ROWS)
     x = index.postings().select("field", "tb", "term", "doc_id", "tf", "len").join(pt, ["field", "tb", "term"], "inner")
     x = x.withColumn("tf", F.when(_record_of(index), F.lit(1)).otherwise(F.col("tf")))
     # integer kind codes keep every aggregation buffer fixed-width (hash aggregate, codegen)
     kc = F.col("kc")
-    constant = kc.isin(_kc("all"), _kc("term_prefix")) | ((kc == _kc("phrase_prefix")) & (F.col("n_slots") == 1))
+    constant = kc.isin(_kc("term_prefix"), _kc("phrase_prefix"))
     row_score = F.when(constant, F.lit(1.0)).otherwise(
         F.col("coef") * F.col("idf") * bm25_tf(F.col("tf").cast("double"), F.col("len").cast("double"),
                                                F.col("avg_len")))
     extra = [F.collect_list(F.struct("term", row_score.alias("row_score"))).alias("explain")] if explain else []
     agg = x.groupBy("qid", "doc_id", "clause_id").agg(
-        F.max("kc").alias("kc"), F.max("n_slots").alias("n_slots"),
-        F.sum(F.when(F.col("pfx") == 0, F.col("n_fill")).otherwise(0)).alias("n_exact"),
-        F.max("pfx").alias("has_pfx"), F.sum(row_score).alias("s"), *extra)
-    agg = agg.withColumn("kind", F.element_at(F.array(*[F.lit(k) for k in KIND_CODES]), F.col("kc"))).drop("kc")
-    has_pos = terms.filter(F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)).limit(1).count() > 0
-    if has_pos:
-        # one row per (qid, doc, clause): checkpointed so step 1 runs once for both branches
-        agg = materialize(agg)
-    is_pos = F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)
-    n_exact_needed = F.col("n_slots") - F.when(F.col("kind") == "phrase_prefix", 1).otherwise(0)
-    full = F.col("n_exact") == n_exact_needed
-    plain = agg.filter(~is_pos & ((F.col("kind") != "every_term") | (F.col("n_exact") == F.col("n_slots"))))
-    plain = plain.withColumn("score", F.when(F.col("kind").isin("all", "term_prefix", "phrase_prefix"),
-                                             F.lit(1.0)).otherwise(F.col("s")))
-    out_cols = ["qid", "doc_id", "clause_id", "score"] + (["explain"] if explain else [])
-    if not has_pos:
-        return plain.select(*out_cols)
-    cand = agg.filter(is_pos & full).select("qid", "doc_id", "clause_id")
-    # step 2: positions of the candidates only, read from the (pruned) posting buckets and
-    # joined with size-checked broadcasts of the slot terms and of the candidate set
-    slots = terms.filter(F.col("kind").isin(*POSITIONAL) & (F.col("n_slots") > 1)) \
-        .select("qid", "field", "tb", "term", "clause_id", "slot", "offset", "is_prefix", "idf", "avg_len", "n_slots")
+        F.max("kc").alias("kc"), F.max("n_slots").alias("n_slots"), F.sum("n_fill").alias("n_fill"),
+        F.sum(row_score).alias("s"), *extra)
+    agg = agg.filter((kc != _kc("every_term")) | (F.col("n_fill") == F.col("n_slots")))
+    return agg.withColumn("score", F.when(constant, F.lit(1.0)).otherwise(F.col("s"))).select(
+        "qid", "doc_id", "clause_id", "score", *(["explain"] if explain else []))
+
+
+def phrase_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> DataFrame:
+    """Hits of phrases and phrase prefixes of several slots.
+
+    A clause with a slot that no vocabulary term fills has no hits. For the others, the exact slot
+    with the fewest documents gives the candidates; the postings of all slots, with positions, are
+    semi-joined with them (both sides lie in the same document shards), and the shifted position
+    sets are intersected in the row (phrase frequency = number of common starts).
+    """
+    of_clause = Window.partitionBy("qid", "clause_id")
+    rarest = F.min(F.when(~F.col("is_prefix"), F.struct("df", "slot"))).over(of_clause)["slot"]
+    slots = (terms.filter(is_positional()).withColumn("filled", F.size(F.collect_set("slot").over(of_clause)))
+             .filter(F.col("filled") == F.col("n_slots")).withColumn("lead", F.col("slot") == rarest)
+             .select("qid", "field", "tb", "term", "clause_id", "slot", "offset", "is_prefix", "idf", "avg_len", "n_slots", "lead"))
+    slots = stored(slots, "slots")  # read back with a filter: the posting partitions are pruned
+    lead = bounded_broadcast(slots.filter("lead").select("field", "tb", "term", "qid", "clause_id"), SMALL_TABLE_ROWS)
+    cand = (index.postings().select("field", "tb", "term", "doc_id").join(lead, ["field", "tb", "term"])
+            .select("qid", "doc_id", "clause_id"))
     y = (index.postings().select("field", "tb", "term", "doc_id", "len", "positions")
-         .join(bounded_broadcast(slots, SMALL_TABLE_ROWS), ["field", "tb", "term"], "inner")
-         .join(bounded_broadcast(cand, SMALL_TABLE_ROWS), ["qid", "doc_id", "clause_id"], "left_semi"))
+         .join(bounded_broadcast(slots.filter("n_slots > 1"), SMALL_TABLE_ROWS), ["field", "tb", "term"], "inner")
+         .join(cand, ["qid", "doc_id", "clause_id"], "left_semi"))
     pos = y.groupBy("qid", "doc_id", "clause_id").agg(
         F.max("n_slots").alias("n_slots"), F.max("len").alias("len"), F.max("avg_len").alias("avg_len"),
         F.collect_list(F.struct("slot", "offset", "is_prefix", "idf", "positions")).alias("lst"))
     pos = pos.withColumn("ds", F.array_distinct(F.transform("lst", lambda e: e["slot"])))
+    # every slot must be there
+    pos = pos.filter(F.size("ds") == F.col("n_slots"))
     # positions of each distinct slot, shifted by the slot offset (a prefix slot may hold several terms)
     pos = pos.withColumn("sh", F.transform(
         "ds", lambda d: F.array_distinct(F.flatten(F.transform(
@@ -213,66 +224,97 @@ def leaf_hits(index: TextIndex, terms: DataFrame, explain: bool = False) -> Data
     starts = F.aggregate(F.slice(F.col("sh"), 2, F.greatest(F.size("sh") - 1, F.lit(1))), F.col("sh")[0],
                          lambda acc, a: F.array_intersect(acc, a))
     sum_idf = F.aggregate(F.filter("lst", lambda e: ~e["is_prefix"]), F.lit(0.0), lambda a, e: a + e["idf"])
-    # every slot must be there: a prefix slot without a match leaves one out
-    pos = pos.filter(F.size("ds") == F.col("n_slots")).withColumn("freq", F.size(starts)).filter(F.col("freq") > 0)
+    pos = pos.withColumn("freq", F.size(starts)).filter(F.col("freq") > 0)
     pos = pos.withColumn("score", sum_idf * bm25_tf(F.col("freq").cast("double"), F.col("len").cast("double"),
                                                     F.col("avg_len")))
     if explain:
         pos = pos.withColumn("explain", F.array(F.struct(F.lit("").alias("term"), F.col("score").alias("row_score"))))
-    return plain.select(*out_cols).unionByName(pos.select(*out_cols))
+    return pos.select("qid", "doc_id", "clause_id", "score", *(["explain"] if explain else []))
 
 
 # --- 4. boolean fold ---------------------------------------------------------------------
 
-def clause_info(clauses: DataFrame) -> DataFrame:
-    return clauses.select("qid", "clause_id", "parent_id", "depth", "modifier", "boost")
-
-
-def group_info(clauses: DataFrame) -> DataFrame:
-    """(qid, parent_id = group, n_must) for every group, the root (0) included."""
-    return clauses.groupBy("qid", "parent_id").agg(
-        F.sum(F.when(F.col("modifier") == "must", 1).otherwise(0)).alias("n_must"))
-
-
-def fold(clauses: DataFrame, hits: DataFrame, max_depth: int) -> DataFrame:
-    """Bottom-up evaluation of must / should / must_not, level by level.
-
-    A group matches a doc when every Must child matches, no MustNot child matches, and
-    (it has a Must child or some Should child matches). Its score is the summed score of
-    the matching Must and Should children times the group boost.
-    """
-    info = bounded_broadcast(clause_info(clauses), SMALL_TABLE_ROWS)
-    rows = hits.join(info, ["qid", "clause_id"], "inner") \
-        .withColumn("score", F.col("score") * F.col("boost")) \
-        .select("qid", "doc_id", "clause_id", "parent_id", "depth", "modifier", "score")
+#: Modifiers inside a row.
+MUST, SHOULD, MUST_NOT = 0, 1, 2
+
+
+def modifier_code() -> Column:
+    m = F.col("modifier")
+    return F.when(m == "must", MUST).when(m == "should", SHOULD).when(m == "must_not", MUST_NOT)
+
+
+def query_trees(clauses: DataFrame) -> DataFrame:
+    """(qid, groups, alls): a query's groups, children before parents and the root (0) last, and the
+    hits that its match-all clauses are for every document. A query's tree fits a row: it came from one."""
+    n_must = clauses.groupBy("qid", F.col("parent_id").alias("clause_id")).agg(
+        F.sum(F.when(F.col("modifier") == "must", 1).otherwise(0)).cast("int").alias("n_must"))
+    root = clauses.select("qid").distinct().select(
+        "qid", F.lit(0).alias("clause_id"), F.lit(-1).alias("parent_id"), F.lit(0).alias("depth"), F.lit(SHOULD).alias("mod"),
+        F.lit(1.0).alias("boost"))
+    groups = clauses.filter(F.col("kind") == "bool").select(
+        "qid", "clause_id", "parent_id", "depth", modifier_code().alias("mod"), "boost").unionByName(root)
+    # a group without children can't match
+    groups = groups.join(n_must, ["qid", "clause_id"]).groupBy("qid").agg(F.sort_array(F.collect_list(F.struct(
+        (-F.col("depth")).alias("order"), F.col("clause_id").alias("id"), F.col("parent_id").alias("p"),
+        F.col("mod").alias("m"), "boost", "n_must"))).alias("groups"))
+    alls = clauses.filter(F.col("kind") == "all").groupBy("qid").agg(F.collect_list(F.struct(
+        F.col("parent_id").alias("p"), modifier_code().alias("m"), F.col("boost").alias("s"))).alias("alls"))
+    none = F.array().cast("array<struct<p:int,m:int,s:double>>")
+    return groups.join(alls, "qid", "left").select("qid", "groups", F.coalesce("alls", none).alias("alls"))
+
+
+def fold_row(hits: Column, groups: Column) -> Column:
+    """Score of a document, null if the query doesn't match it. ``hits``: (parent, modifier, score) of the
+    clauses that hit it. A group matches when every Must child matches, no MustNot child does, and it has a Must
+    child or some Should child matches; its score is the sum of its Must and Should children's times its boost."""
+    def step(acc, g):
+        kids = F.filter(acc, lambda h: h["p"] == g["id"])
+        rest = F.filter(acc, lambda h: h["p"] != g["id"])
+        n_must = F.size(F.filter(kids, lambda h: h["m"] == MUST))
+        ok = ((n_must == g["n_must"]) & ~F.exists(kids, lambda h: h["m"] == MUST_NOT)
+              & ((g["n_must"] > 0) | F.exists(kids, lambda h: h["m"] == SHOULD)))
+        score = F.aggregate(kids, F.lit(0.0), lambda a, h: a + h["s"]) * g["boost"]
+        return F.when(ok, F.concat(rest, F.array(F.struct(g["p"].alias("p"), g["m"].alias("m"), score.alias("s"))))) \
+            .otherwise(rest)
+
+    return F.aggregate(groups, hits, step, lambda acc: F.get(F.filter(acc, lambda h: h["p"] == -1), F.lit(0))["s"])
+
+
+def rows_of_hits(clauses: DataFrame, hits: DataFrame) -> DataFrame:
+    """(qid, doc_id, hits): the leaf hits of a document in one row."""
+    info = bounded_broadcast(clauses.filter("kind <> 'bool'").select("qid", "clause_id", "parent_id", modifier_code().alias("m"),
+                                                                     "boost"), SMALL_TABLE_ROWS)
+    return hits.join(info, ["qid", "clause_id"]).groupBy("qid", "doc_id").agg(F.collect_list(F.struct(
+        F.col("parent_id").alias("p"), "m", (F.col("score") * F.col("boost")).alias("s"))).alias("hits"))
+
+
+def folded(rows: DataFrame, trees: DataFrame) -> DataFrame:
+    """(qid, doc_id, score) of the documents that match, from ``rows_of_hits``."""
+    score = fold_row(F.concat("hits", "alls"), F.col("groups"))
+    return (rows.join(bounded_broadcast(trees, SMALL_TABLE_ROWS), "qid").select("qid", "doc_id", score.alias("score"))
+            .filter(F.col("score").isNotNull()))
+
+
+def fold(clauses: DataFrame, hits: DataFrame) -> DataFrame:
+    """(qid, doc_id, score) of the documents that match, from the hits of leaves but match-all.
+    Documents that only match-all clauses hit are not among them, see ``rest_of_documents``."""
+    shape = clauses.agg(F.max("depth").alias("depth"), F.max((F.col("kind") == "all").cast("int")).alias("all")).first()
+    if shape["depth"] is None or shape["depth"] > 1 or shape["all"]:
+        return folded(rows_of_hits(clauses, hits), stored(query_trees(clauses), "trees"))
+    info = bounded_broadcast(clauses.select("qid", "clause_id", modifier_code().alias("m"), "boost"), SMALL_TABLE_ROWS)
+    rows = hits.join(info, ["qid", "clause_id"]).select("qid", "doc_id", "m", (F.col("score") * F.col("boost")).alias("score"))
     if single_leaf_batch(clauses):
         # every query is one top-level must/should leaf: the fold is the identity (x boost)
         return rows.select("qid", "doc_id", "score")
-    ginfo = bounded_broadcast(group_info(clauses), SMALL_TABLE_ROWS)
-    pending = None
-    for level in range(max_depth, 0, -1):
-        children = rows.filter(F.col("depth") == level)
-        if pending is not None:
-            children = children.unionByName(pending)
-        agg = children.groupBy("qid", "doc_id", "parent_id").agg(
-            F.sum(F.when(F.col("modifier") == "must", 1).otherwise(0)).alias("n_must_hit"),
-            F.sum(F.when(F.col("modifier") == "must_not", 1).otherwise(0)).alias("n_not_hit"),
-            F.sum(F.when(F.col("modifier") == "should", 1).otherwise(0)).alias("n_should_hit"),
-            F.sum(F.when(F.col("modifier") != "must_not", F.col("score")).otherwise(0.0)).alias("score"))
-        agg = agg.join(ginfo, ["qid", "parent_id"], "inner")
-        ok = (F.col("n_must_hit") == F.col("n_must")) & (F.col("n_not_hit") == 0) & \
-             ((F.col("n_must") > 0) | (F.col("n_should_hit") > 0))
-        agg = agg.filter(ok)
-        if level == 1:
-            return agg.select("qid", "doc_id", "score")
-        up = info.select("qid", F.col("clause_id").alias("parent_id"), F.col("parent_id").alias("g_parent"),
-                         F.col("depth").alias("g_depth"), F.col("modifier").alias("g_mod"),
-                         F.col("boost").alias("g_boost"))
-        pending = (agg.join(up, ["qid", "parent_id"], "inner")
-                   .select("qid", "doc_id", F.col("parent_id").alias("clause_id"),
-                           F.col("g_parent").alias("parent_id"), F.col("g_depth").alias("depth"),
-                           F.col("g_mod").alias("modifier"), (F.col("score") * F.col("g_boost")).alias("score")))
-    raise ValueError("max_depth must be >= 1")
+    needs = bounded_broadcast(clauses.groupBy("qid").agg(F.sum((F.col("modifier") == "must").cast("int")).alias("n_must")),
+                              SMALL_TABLE_ROWS)
+    count = lambda code: F.sum((F.col("m") == code).cast("int"))
+    return (rows.groupBy("qid", "doc_id").agg(
+        count(MUST).alias("must"), count(SHOULD).alias("should"), count(MUST_NOT).alias("must_not"),
+        F.sum(F.when(F.col("m") != MUST_NOT, F.col("score")).otherwise(0.0)).alias("score"))
+        .join(needs, "qid").filter((F.col("must") == F.col("n_must")) & (F.col("must_not") == 0)
+                                   & ((F.col("n_must") > 0) | (F.col("should") > 0)))
+        .select("qid", "doc_id", "score"))
 
 
 def single_leaf_batch(clauses: DataFrame) -> bool:
@@ -283,10 +325,22 @@ def single_leaf_batch(clauses: DataFrame) -> bool:
     return r is not None and r["n"] == 1 and r["b"] == 0
 
 
-def max_depth_of(clauses: DataFrame) -> int:
-    """Deepest level in the batch (one aggregated number)."""
-    d = clauses.agg(F.max("depth")).first()[0]
-    return int(d or 1)
+def rest_of_documents(index: TextIndex, trees: DataFrame, rows: DataFrame, k: int | None) -> DataFrame:
+    """(qid, doc_id, score) of documents that only match-all clauses hit, of the queries that match
+    them at all. They have one score, so with ``k`` only the first k by id are given: as ids that the
+    query hits are not among them, the first k and as many as it hits are looked at, not all documents.
+    ``rows`` is a stored table with the (qid, doc_id) that other clauses hit."""
+    score = fold_row(F.col("alls"), F.col("groups"))
+    const = trees.filter(F.size("alls") > 0).select("qid", score.alias("score")).filter(F.col("score").isNotNull())
+    if k is None:  # documents x queries is the result
+        every = const.select("qid", "score").crossJoin(index.docs().select("doc_id"))
+        return every.join(rows.select("qid", "doc_id"), ["qid", "doc_id"], "left_anti").select("qid", "doc_id", "score")
+    taken = rows.groupBy("qid").agg(F.count(F.lit(1)).alias("n"))
+    first = (const.join(taken, "qid", "left").withColumn("most", F.coalesce("n", F.lit(0)) + k)
+             .select("qid", "score", F.explode(F.sequence(F.lit(0).cast("long"), F.col("most") - 1)).alias("ord")))
+    ids = index.ids()
+    return (first.join(ids, "ord").select("qid", "doc_id", "score")
+            .join(rows.select("qid", "doc_id"), ["qid", "doc_id"], "left_anti"))
 
 
 # --- 5. top-k ----------------------------------------------------------------------------
@@ -323,22 +377,40 @@ def flatten_should_groups(clauses: DataFrame) -> DataFrame:
     return out.join(gone, ["qid", "clause_id"], "left_anti")
 
 
-def search_hits(index: TextIndex, clauses: DataFrame, max_depth: int | None = None,
-                explain: bool = False) -> DataFrame:
-    """All matching (qid, doc_id, score) of a clause table (before top-k)."""
+def without_positions(index: TextIndex, slots: DataFrame) -> DataFrame:
+    """(qid, clause_id, field) of phrases of several slots on fields that keep no positions."""
+    bare = [f.name for f in index.schema.fields if f.record < RECORD_POSITIONS]
+    return slots.filter(is_positional() & F.col("field").isin(bare)).select("qid", "clause_id", "field").distinct()
+
+
+def search_hits(index: TextIndex, clauses: DataFrame, k: int | None = None, explain: bool = False) -> DataFrame:
+    """(qid, doc_id, score) of the documents that match a clause table: all, or with ``k`` all that may
+    be among the first k. ``explain``: the hits of every leaf but match-all with the scores of their terms."""
     clauses = materialize(flatten_should_groups(materialize(clauses)))
     slots = analyze_clauses(index, clauses)
-    terms = materialize(slot_terms(index, slots))
-    hits = leaf_hits(index, terms, explain=explain)
+    if any(f.record < RECORD_POSITIONS for f in index.schema.fields):
+        slots = materialize(slots)
+        bad = without_positions(index, slots).orderBy("qid", "clause_id").first()
+        if bad is not None:
+            raise ValueError(f"Field does not have positions indexed: {bad['field']} (query {bad['qid']}, clause {bad['clause_id']})")
+    hits = leaf_hits(index, stored(slot_terms(index, slots), "terms"), explain=explain)
     if explain:
         return hits
-    depth = max_depth or max_depth_of(clauses)
-    return fold(clauses, hits, depth)
-
-
-def search(index: TextIndex, clauses: DataFrame, k: int, round_digits: int | None = None,
-           max_depth: int | None = None) -> DataFrame:
-    """results(qid, rank, doc_id, score)."""
+    if clauses.filter("kind = 'all'").limit(1).count() == 0:
+        return fold(clauses, hits)
+    trees = stored(query_trees(clauses), "trees")
+    free = trees.filter(F.size("alls") > 0).select("qid")
+    rows = rows_of_hits(clauses, hits)
+    with_all = stored(rows.join(bounded_broadcast(free), "qid", "left_semi"), "hits")
+    out = folded(with_all, trees).unionByName(rest_of_documents(index, trees, with_all, k))
+    if trees.filter(F.size("alls") == 0).limit(1).count():
+        out = out.unionByName(folded(rows.join(bounded_broadcast(free), "qid", "left_anti"), trees))
+    return out
+
+
+def search(index: TextIndex, clauses: DataFrame, k: int, round_digits: int | None = None) -> DataFrame:
+    """results(qid, rank, doc_id, score). A phrase on a field without positions is an error, as in
+    ``query_rejects``, which finds such queries beforehand."""
     if k is None or k < 1:
         raise ValueError("docsLimit must be greater than 0")
-    return top_k(search_hits(index, clauses, max_depth), k, round_digits)
+    return top_k(search_hits(index, clauses, k), k, round_digits)

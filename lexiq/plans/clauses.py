@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
+
 # Query types and modifiers, in their numeric order.
 KINDS = ("bool", "phrase", "phrase_prefix", "term_prefix", "term", "every_term", "one_of", "all")
 MODIFIERS = ("must", "should", "must_not")
@@ -125,61 +127,69 @@ def keyword_clauses(queries: DataFrame, field_weights: dict[str, float], operato
 
 # --- P14: saved query specs (JSON) ----------------------------------------------------
 
-def _clause_type(depth: int) -> T.StructType:
-    q = [T.StructField("field_index", T.IntegerType()), T.StructField("text_index", T.IntegerType()),
-         T.StructField("boost", T.DoubleType())]
-    if depth > 1:
-        q.append(T.StructField("subqueries", T.ArrayType(_clause_type(depth - 1))))
-    return T.StructType([
-        T.StructField("query", T.StructType(q)),
-        T.StructField("query_modifier", T.IntegerType()),
-        T.StructField("query_type", T.IntegerType()),
-    ])
-
-
-def spec_schema(depth: int = 3) -> T.StructType:
-    return T.StructType([
-        T.StructField("texts", T.ArrayType(T.StringType())),
-        T.StructField("fields", T.ArrayType(T.StringType())),
-        T.StructField("query", T.StructType([
-            T.StructField("subqueries", T.ArrayType(_clause_type(depth))),
-            T.StructField("boost", T.DoubleType()),
-        ])),
-    ])
-
-
-MAX_SPEC_DEPTH = 24
+#: A saved query is JSON whose arrays and objects are nested at most this deep (about 41 groups).
+MAX_JSON_DEPTH = 127
+#: Levels of the trees that one job walks down.
+LEVELS = 8
 
 
 def json_depth(text: Column) -> Column:
-    """How deep arrays are nested in a JSON text: its clause groups can't be nested deeper."""
+    """How deep arrays and objects are nested in a JSON text."""
     plain = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', "")
-    marks = F.filter(F.split(F.regexp_replace(plain, r"[^\[\]]", ""), ""), lambda c: c != "")
+    marks = F.filter(F.split(F.regexp_replace(plain, r"[^\[\]{}]", ""), ""), lambda c: c != "")
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(acc, c):
-        now = acc["now"] + F.when(c == "[", 1).otherwise(-1)
+        now = acc["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)
         return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
 
     return F.aggregate(marks, start, step, lambda acc: acc["most"])
 
 
-def parse_specs(specs: DataFrame, column: str = "spec_json", max_depth: int = MAX_SPEC_DEPTH) -> DataFrame:
-    """``specs`` with ``spec``, the parsed JSON, and ``too_deep``. The schema is as deep as the deepest
-    text of the batch; a text deeper than ``max_depth`` is not parsed but marked, never cut."""
-    marked = specs.withColumn("_depth", F.coalesce(json_depth(F.col(column)), F.lit(1)))
-    depth = marked.agg(F.max("_depth")).first()[0] or 1
-    depth = max(1, min(int(depth), max_depth))
-    text = F.when(F.col("_depth") <= max_depth, F.col(column))
-    return (marked.withColumn("spec", F.from_json(text, spec_schema(depth)))
-            .withColumn("too_deep", F.col("_depth") > max_depth).drop("_depth"))
+def parse_specs(specs: DataFrame, column: str = "spec_json") -> DataFrame:
+    """``specs`` with ``spec``, the parsed JSON as a variant (null if it is no JSON), and ``too_deep``: a text
+    nested deeper than MAX_JSON_DEPTH is not parsed but marked, never cut."""
+    deep = F.coalesce(json_depth(F.col(column)) > MAX_JSON_DEPTH, F.lit(False))
+    return (specs.withColumn("too_deep", deep)
+            .withColumn("spec", F.try_parse_json(F.when(~F.col("too_deep"), F.col(column)))))
+
+
+def _part(c: Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(c, path, kind)
 
 
-def _depth_of(spec_type: T.StructType) -> int:
-    depth, clause = 1, spec_type["query"].dataType["subqueries"].dataType.elementType
-    while "subqueries" in clause["query"].dataType.names:
-        depth, clause = depth + 1, clause["query"].dataType["subqueries"].dataType.elementType
-    return depth
+def _number(c: Column, path: str, kind: str) -> Column:
+    """A number of a clause; null if there is none or something else."""
+    found = F.schema_of_variant(_part(c, path, "variant"))
+    return F.when((found == "BIGINT") if kind == "int" else found.rlike("^(BIGINT|DOUBLE|DECIMAL)"), _part(c, path, kind))
+
+
+def _walk(base: DataFrame) -> DataFrame:
+    """(qid, path, c): every clause of the trees of ``base`` (qid, subs), at its element index path.
+
+    The clauses that are not walked yet form a stored frontier table; a job takes it LEVELS levels
+    further down. A step turns each of its clauses into itself, done, and its subclauses, in one pass:
+    no branch is evaluated twice, and the plan does not grow with the depth of the trees."""
+    empty = F.array().cast("array<struct<path:array<int>,c:variant,done:boolean>>")
+
+    def below(subs: Column, path: Column) -> Column:
+        return F.transform(F.coalesce(subs, F.array().cast("array<variant>")), lambda c, i: F.struct(
+            F.concat(path, F.array(i.cast("int"))).alias("path"), c.alias("c"), F.lit(False).alias("done")))
+
+    now = base.select("qid", F.explode(below(F.col("subs"), F.array().cast("array<int>"))).alias("x")).select("qid", "x.*")
+    out = None
+    while True:
+        for _ in range(LEVELS):
+            group = F.coalesce(_number(F.col("c"), "$.query_type", "int") == 0, F.lit(False)) & ~F.col("done")
+            subs = below(_part(F.col("c"), "$.query.subqueries", "array<variant>"), F.col("path"))
+            self_ = F.array(F.struct("path", "c", F.lit(True).alias("done")))
+            now = now.select("qid", F.explode(F.concat(self_, F.when(group, subs).otherwise(empty))).alias("x")).select("qid", "x.*")
+        now = stored(now, "clauses")
+        done = now.filter("done").select("qid", "path", "c")
+        out = done if out is None else out.unionByName(done)
+        now = now.filter("NOT done")
+        if now.limit(1).count() == 0:
+            return out
 
 
 def flatten_specs(specs: DataFrame, qid: str = "qid", spec: str = "spec") -> DataFrame:
@@ -189,44 +199,38 @@ def flatten_specs(specs: DataFrame, qid: str = "qid", spec: str = "spec") -> Dat
     clauses of a query in depth-first order of their element index paths. A clause that can't be
     converted keeps its row, with an ``error`` for ``query_rejects``.
     """
-    depth = _depth_of(specs.schema[spec].dataType)
-    too_deep = F.col("too_deep") if "too_deep" in specs.columns else F.lit(False)
-    base = specs.filter(~too_deep).select(
-        F.col(qid).cast("long").alias("qid"), F.col(f"{spec}.texts").alias("texts"),
-        F.col(f"{spec}.fields").alias("fields"), F.col(f"{spec}.query.subqueries").alias("subs"))
-    no_path = F.array().cast("array<int>")
-    cur = base.select("qid", "texts", "fields", no_path.alias("ppath"), F.posexplode("subs").alias("i", "c"))
-    out = None
-    for d in range(1, depth + 1):
-        cur = cur.withColumn("path", F.concat("ppath", F.array(F.col("i").cast("int"))))
-        kind_idx, mod_idx = F.col("c.query_type"), F.col("c.query_modifier")
-        kind = F.get(F.array(*[F.lit(k) for k in KINDS]), kind_idx)
-        mod = F.get(F.array(*[F.lit(m) for m in MODIFIERS]), mod_idx)
-        fi = F.coalesce(F.col("c.query.field_index"), F.lit(0))
-        ti = F.coalesce(F.col("c.query.text_index"), F.lit(0))
-        is_leaf = F.coalesce(kind_idx.between(1, 6), F.lit(False))
-        is_group = F.coalesce(kind_idx == 0, F.lit(False))
-        subs = F.col("c.query.subqueries") if d < depth else F.lit(None).cast("string")
-        n_fields, n_texts = (F.coalesce(F.size(x), F.lit(0)) for x in ("fields", "texts"))
-        err = (F.when(mod_idx.isNull(), F.lit("missing field `query_modifier`"))
-               .when(~mod_idx.between(0, 2), F.lit("Invalid query_modifier"))
-               .when(kind_idx.isNull(), F.lit("missing field `query_type`"))
-               .when(~kind_idx.between(0, 7), F.lit("Invalid query_type"))
-               .when(is_group & subs.isNull(), F.lit("missing field `subqueries`"))
-               .when(is_group & F.col("c.query.boost").isNull(), F.lit("missing field `boost`"))
-               .when(F.col("c.query").isNull(), F.lit("missing field `query`"))
-               .when(is_leaf & ((fi < 0) | (fi >= n_fields)), F.lit("Invalid field index"))
-               .when(is_leaf & ((ti < 0) | (ti >= n_texts)), F.lit("Invalid text index")))
-        rows = cur.select(
-            "qid", F.lit(d).alias("depth"), mod.alias("modifier"), kind.alias("kind"),
-            F.when(is_leaf, F.get(F.col("fields"), fi)).alias("field"),
-            F.when(is_leaf, F.get(F.col("texts"), ti)).alias("text"),
-            F.coalesce(F.col("c.query.boost"), F.lit(1.0)).alias("boost"), err.alias("error"), "path", "ppath",
-            n_fields.alias("n_fields"), n_texts.alias("n_texts"))
-        out = rows if out is None else out.unionByName(rows)
-        if d < depth:
-            cur = cur.filter(is_group).select("qid", "texts", "fields", F.col("path").alias("ppath"),
-                                              F.posexplode(F.col("c.query.subqueries")).alias("i", "c"))
+    s = F.col(spec)
+    base = stored(specs.select(
+        F.col(qid).cast("long").alias("qid"), _part(s, "$.texts", "array<string>").alias("texts"),
+        _part(s, "$.fields", "array<string>").alias("fields"), _part(s, "$.query.subqueries", "array<variant>").alias("subs")), "specs")
+    cur = _walk(base).join(base.select("qid", "texts", "fields"), "qid")
+    c = F.col("c")
+    cur = cur.select("qid", "path", "texts", "fields", _number(c, "$.query_type", "int").alias("kind_idx"),
+                     _number(c, "$.query_modifier", "int").alias("mod_idx"), _number(c, "$.query.boost", "double").alias("q_boost"),
+                     F.coalesce(_number(c, "$.query.field_index", "int"), F.lit(0)).alias("fi"),
+                     F.coalesce(_number(c, "$.query.text_index", "int"), F.lit(0)).alias("ti"),
+                     _part(c, "$.query.subqueries", "array<variant>").isNull().alias("no_subs"),
+                     F.coalesce(F.schema_of_variant(_part(c, "$.query", "variant")).startswith("OBJECT"), F.lit(False)).alias("has_query"))
+    kind_idx, mod_idx, fi, ti = (F.col(x) for x in ("kind_idx", "mod_idx", "fi", "ti"))
+    kind = F.get(F.array(*[F.lit(k) for k in KINDS]), kind_idx)
+    mod = F.get(F.array(*[F.lit(m) for m in MODIFIERS]), mod_idx)
+    is_leaf = F.coalesce(kind_idx.between(1, 6), F.lit(False))
+    is_group = F.coalesce(kind_idx == 0, F.lit(False))
+    n_fields, n_texts = (F.coalesce(F.size(x), F.lit(0)) for x in ("fields", "texts"))
+    err = (F.when(mod_idx.isNull(), F.lit("missing field `query_modifier`"))
+           .when(~mod_idx.between(0, 2), F.lit("Invalid query_modifier"))
+           .when(kind_idx.isNull(), F.lit("missing field `query_type`"))
+           .when(~kind_idx.between(0, 7), F.lit("Invalid query_type"))
+           .when(is_group & F.col("no_subs"), F.lit("missing field `subqueries`"))
+           .when(is_group & F.col("q_boost").isNull(), F.lit("missing field `boost`"))
+           .when(~F.col("has_query"), F.lit("missing field `query`"))
+           .when(is_leaf & ((fi < 0) | (fi >= n_fields)), F.lit("Invalid field index"))
+           .when(is_leaf & ((ti < 0) | (ti >= n_texts)), F.lit("Invalid text index")))
+    out = cur.select(
+        "qid", F.size("path").alias("depth"), mod.alias("modifier"), kind.alias("kind"),
+        F.when(is_leaf, F.get(F.col("fields"), fi)).alias("field"), F.when(is_leaf, F.get(F.col("texts"), ti)).alias("text"),
+        F.coalesce("q_boost", F.lit(1.0)).alias("boost"), err.alias("error"), "path",
+        F.slice("path", F.lit(1), F.size("path") - 1).alias("ppath"), n_fields.alias("n_fields"), n_texts.alias("n_texts"))
     # a query's clauses fit a row: they come from one JSON text. The root's path is empty: parent 0
     paths = F.sort_array(F.collect_list("path").over(Window.partitionBy("qid")))
     return (out.withColumn("_paths", paths)

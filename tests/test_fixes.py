@@ -84,16 +84,30 @@ def test_rejects(spark, hello):
                    11: "Invalid field name", 12: "No usable clauses in query"}
 
 
+def nested(n):
+    tree = leaf(4)
+    for _ in range(n):
+        tree = group(tree)
+    return json.dumps({"texts": ["hello [[["], "fields": ["body"], "query": {"boost": 1.0, "subqueries": [tree]}})
+
+
 def test_too_deep_is_rejected_not_cut(spark, hello):
-    deep = leaf(4)
-    for _ in range(8):
-        deep = group(deep)
-    text = json.dumps({"texts": ["hello [[["], "fields": ["body"], "query": {"subqueries": [deep]}})
-    df = spark.createDataFrame([(1, text)], "qid long, spec_json string")
-    assert df.select(C.json_depth(F.col("spec_json"))).first()[0] == 9
-    parsed = C.parse_specs(df, max_depth=5)
-    rejects = query_rejects(hello, C.flatten_specs(parsed), parsed).collect()
-    assert [(r.qid, r.reason) for r in rejects] == [(1, "Query nested too deeply")]
+    df = spark.createDataFrame([(1, nested(41)), (2, nested(40)), (3, "{no json")], "qid long, spec_json string")
+    assert [r[0] for r in df.filter("qid < 3").orderBy("qid").select(C.json_depth(F.col("spec_json"))).collect()] == [128, 125]
+    parsed = C.parse_specs(df)
+    flat = C.flatten_specs(parsed)
+    rejects = query_rejects(hello, flat, parsed).collect()
+    assert {r.qid: r.reason for r in rejects} == {1: "Query nested too deeply", 3: "No usable clauses in query"}
+    assert flat.count() == 41 and flat.agg(F.max("depth")).first()[0] == 41
+
+
+def test_deep_tree_is_searched(spark, hello):
+    """Forty nested groups with a boost of 1 find what their leaf finds."""
+    df = spark.createDataFrame([(2, nested(40))], "qid long, spec_json string")
+    flat = C.flatten_specs(C.parse_specs(df)).drop("error", "path", "n_fields", "n_texts")
+    got = search(hello, flat, 10).collect()
+    want = search(hello, C.single_clause(queries(spark, "hello"), "term", "body"), 10).collect()
+    assert [(r.doc_id, round(r.score, 6)) for r in got] == [(r.doc_id, round(r.score, 6)) for r in want] and got
 
 
 def test_fast_field_that_is_not_stored(spark, hello):

@@ -179,7 +179,7 @@ def test_query_rejects_from_json_specs(spark):
             (4, spec([""], ["body"], [term(0, 0, 1)])),
             (5, spec(["hello"], ["body"], [term(0, 0)]))]
     js = spark.createDataFrame(rows, "qid long, spec_json string")
-    parsed = js.select("qid", F.from_json("spec_json", C.spec_schema(3)).alias("spec"))
+    parsed = C.parse_specs(js)
     got = {r.qid: r.reason for r in query_rejects(idx, C.flatten_specs(parsed), parsed).collect()}
     assert got == {1: "Invalid text index", 2: "Invalid field name", 3: "Fields or texts cannot be empty",
                    4: "No usable clauses in query"}
