@@ -9,9 +9,21 @@ from ..session import new_table_path
 
 #: A broadcast table of one or two numbers a row stays under 64 MB up to here.
 SMALL_ROWS = 2_000_000
+#: Bytes of an Arrow batch of whole texts, and of a row group of a stored table of them.
+BATCH_BYTES, GROUP_BYTES = 8 << 20, 16 << 20
+
+
+def lean(spark: SparkSession) -> None:
+    """Let Spark hand whole texts to Python in batches of BATCH_BYTES at most, not by a number of rows:
+    several batches of very long documents are held at once by a task and its worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(key, "67108864b")).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lean(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -27,7 +39,7 @@ def stored(df: DataFrame, kind: str, per_core: int | None = 2) -> DataFrame:
     At most ``per_core`` files per core of the cluster are written, so that narrow tables do not
     become thousands of tiny files after a shuffle; None keeps the partitions (whole texts)."""
     spark, path = df.sparkSession, new_table_path(df.sparkSession, kind)
-    (few(df, per_core) if per_core else df).write.parquet(path)
+    (few(df, per_core) if per_core else df).write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
