@@ -35,8 +35,8 @@ from .common import documents, few, small, stored
 LENGTH, SEED_WORDS = 50, 10
 _LAST = (1 << 63) - 1
 _START_BITS = 31
-#: Rows of at most four longs that are broadcast; 16 MB as a table of hashes.
-BROADCAST_ROWS = 250_000
+#: Rows of at most four longs that are broadcast: about 6 MB.
+BROADCAST_ROWS = 50_000
 
 
 def _slide(values: np.ndarray, n: int, op: np.ufunc) -> np.ndarray:
