@@ -420,7 +420,7 @@ def _two_commit_index(spark, sf) -> VersionedIndex:
             # an aggregated frame: its partitions are not those of a file scan
             vi.commit(adds=_vindex_docs(spark, sf).groupBy("key").agg(
                 *[F.first(c).alias(c) for c in ("body", "source", "lang")]))
-            fr = _vindex_docs(spark, sf).filter(F.col("lang") == "fr").withColumn("body", F.upper("body"))
+            fr = _vindex_docs(spark, sf).filter(F.col("lang") == "fr").withColumn("body", F.concat(F.lit("nouveau "), "body"))
             dels = spark.createDataFrame([("lang", "fr")], "field string, term string")
             vi.commit(adds=fr, deletes=dels)
             _CACHE[key] = vi
@@ -432,19 +432,44 @@ def q_delete_by_term(spark, sf):
     return delete_by_term(idx, "source", "src1").select("doc_id")
 
 
+def _live_rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("key").alias("doc_id"), F.col("version").cast("long").alias("version"), F.md5("body").alias("body_md5"))
+
+
 def q_batch_replace(spark, sf):
-    vi = _two_commit_index(spark, sf)
-    return vi.live_docs().select(F.col("key").alias("doc_id"), F.col("version").cast("long").alias("version"))
+    return _live_rows(_two_commit_index(spark, sf).live_docs())
 
 
 def q_as_of_version(spark, sf):
-    vi = _two_commit_index(spark, sf)
-    return vi.live_docs(as_of=1).select(F.col("key").alias("doc_id"), F.col("version").cast("long").alias("version"))
+    return _live_rows(_two_commit_index(spark, sf).live_docs(as_of=1))
 
 
 def q_last_version(spark, sf):
+    """The last version with what its commit added and deleted, as the commit log has it."""
+    vi = _two_commit_index(spark, sf)
+    last = vi.commits().filter(F.col("version") == vi.last_version())
+    return last.select(F.col("version").cast("long").alias("last_version"), "n_adds", "n_deletes")
+
+
+def q_search_versions(spark, sf):
+    """Phrases in both versions of the index, searched as the commits left it (merged on read)."""
+    vi = _two_commit_index(spark, sf)
+    cl = C.single_clause(bench_queries(spark, sf), "phrase", "body")
+    out = None
+    for v in (1, 2):
+        view = vi.view(as_of=v)
+        hits = S.search_hits(view, cl).join(view.docs().select("doc_id", "key"), "doc_id").select(
+            F.lit(v).alias("at_version"), "qid", F.col("key").alias("doc_id"), F.round("score", ROUND).alias("score"))
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
+def q_version_stats(spark, sf):
+    """Statistics of both versions, from the commits' deltas."""
     vi = _two_commit_index(spark, sf)
-    return vi.commits().agg(F.max("version").cast("long").alias("last_version"))
+    one = lambda v: vi.view(as_of=v).stats().filter(F.col("field") == "body").select(
+        F.lit(v).alias("at_version"), "n_docs", "total_tokens")
+    return one(1).unionByName(one(2))
 
 
 def q_stream_ingest(spark, sf):
@@ -625,6 +650,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_replace": q_batch_replace,
     "as_of_version": q_as_of_version,
     "last_version": q_last_version,
+    "search_versions": q_search_versions,
+    "version_stats": q_version_stats,
     "stream_ingest": q_stream_ingest,
     "stream_changes": q_stream_changes,
     "judged_set": q_judged_set,

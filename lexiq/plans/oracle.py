@@ -27,10 +27,10 @@ def tok(src: str, id_expr: str, text_expr: str, limit: int = 40, lower: bool = T
             f") WHERE strlen(w) < {limit}")
 
 
-def idx_ctes() -> str:
+def idx_ctes(src: str = "documents") -> str:
     """Body index of ``documents`` plus the raw-field statistics."""
     return f"""
-bt AS ({tok('documents', 'doc_id', 'text')}),
+bt AS ({tok(src, 'doc_id', 'text')}),
 bp AS (SELECT term, id AS doc_id, count(*) AS tf, min(pos) AS first_pos FROM bt GROUP BY term, id),
 bl AS (SELECT id AS doc_id, count(*) AS len FROM bt GROUP BY id),
 bv AS (SELECT term, count(*) AS df FROM bp GROUP BY term),
@@ -242,6 +242,9 @@ def stem_search_query() -> str:
     return with_(idx_ctes().replace(plain, stemmed), qt, leaf_ctes("every_term", "qt", "h")) + "\n" + topk("h")
 
 
+#: The documents after the second commit.
+REPLACED = "(SELECT doc_id, lang, CASE WHEN lang = 'fr' THEN 'nouveau ' || text ELSE text END AS text FROM documents)"
+
 ORACLE_SQL: dict[str, str] = {
     "tokenize_simple": f"SELECT id AS doc_id, pos, term FROM ({tok('documents', 'doc_id', 'text', fold=False)})",
     # no Han text in this corpus: every chunk is a word run, positions keep gaps of dropped tokens
@@ -302,9 +305,17 @@ UNION ALL SELECT 'lang', st.n, (SELECT count(*) FROM documents WHERE lang IS NOT
     "typed_results": with_(idx_ctes(), BENCH_QT, leaf_ctes("phrase", "qt", "h")) +
     f"\nSELECT r.qid, r.rank, r.score, d.source, d.lang FROM ({topk('h')}) r JOIN documents d ON d.doc_id = r.doc_id",
     "delete_by_term": "SELECT doc_id FROM documents WHERE source IS DISTINCT FROM 'src1'",
-    "batch_replace": "SELECT doc_id, (CASE WHEN lang = 'fr' THEN 2 ELSE 1 END)::BIGINT AS version FROM documents",
-    "as_of_version": "SELECT doc_id, 1::BIGINT AS version FROM documents",
-    "last_version": "SELECT 2::BIGINT AS last_version",
+    "batch_replace": ("SELECT doc_id, (CASE WHEN lang = 'fr' THEN 2 ELSE 1 END)::BIGINT AS version, "
+                      f"md5(text) AS body_md5 FROM {REPLACED}"),
+    "as_of_version": "SELECT doc_id, 1::BIGINT AS version, md5(text) AS body_md5 FROM documents",
+    "last_version": ("SELECT 2::BIGINT AS last_version, (SELECT count(*) FROM documents WHERE lang = 'fr') AS n_adds, "
+                     "(SELECT count(DISTINCT lang) FROM documents WHERE lang = 'fr') AS n_deletes"),
+    "search_versions": " UNION ALL ".join(
+        f"SELECT {v} AS at_version, qid, doc_id, round(s, 4)::DOUBLE AS score FROM ({with_(idx_ctes(src), BENCH_QT, leaf_ctes('phrase', 'qt', 'h'))} "
+        "SELECT * FROM h)" for v, src in ((1, "documents"), (2, REPLACED))),
+    "version_stats": " UNION ALL ".join(
+        f"SELECT {v} AS at_version, (SELECT count(*) FROM documents) AS n_docs, count(*) AS total_tokens FROM ({tok(src, 'doc_id', 'text')})"
+        for v, src in ((1, "documents"), (2, REPLACED))),
     "stream_changes": ("SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN 'new' ELSE source END AS body, lang "
                        "FROM documents WHERE doc_id % 5 NOT IN (3, 4)"),
     "stream_ingest": "SELECT lang, count(*) AS n FROM documents GROUP BY lang",

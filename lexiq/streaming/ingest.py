@@ -7,7 +7,8 @@ into the same index is not. Batch numbers belong to a checkpoint, which therefor
 Change rows may carry ``op`` ('add' / 'delete'), ``field`` and ``term`` for deletes. With a key
 field and a time column, changes are resolved by time: of the changes of one key in a batch the
 last one counts (a delete before an add at the same time), it replaces the key's document, and a
-change that is not later than the last known change of its key is dropped.
+change that is not later than the last known change of its key is dropped. A change without a time is
+older than any other: it counts only while nothing else is known of its key.
 """
 
 from __future__ import annotations
@@ -25,13 +26,14 @@ def _resolved(vindex: VersionedIndex, batch: DataFrame, key: str, time: str) ->
     """The last change of every key that is later than what the index knows of it."""
     if "op" not in batch.columns:
         batch = batch.withColumn("op", F.lit("add"))
-    last = Window.partitionBy(key).orderBy(F.col(time).desc(), F.col("op"))
-    rows = batch.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").drop("_nth")
-    known = vindex.last_changes()
+    last = Window.partitionBy(key).orderBy(F.col(time).desc_nulls_last(), F.col("op"))
+    rows = stored(batch.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").drop("_nth"), "batch")
+    known = vindex.last_changes(rows.select(F.col(key).cast("string").alias("key")))
     if known is not None:
         known = known.select(F.col("key").alias("_key"), F.col("ts").alias("_ts"))
         rows = (rows.join(known, F.col(key).cast("string") == F.col("_key"), "left")
-                .filter(F.col("_ts").isNull() | (F.col(time) > F.col("_ts"))).drop("_key", "_ts"))
+                .filter(F.col("_key").isNull() | (F.col(time).isNotNull() & (F.col("_ts").isNull() | (F.col(time) > F.col("_ts")))))
+                .drop("_key", "_ts"))
     return stored(rows, "changes")
 
 

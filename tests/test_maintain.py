@@ -86,3 +86,69 @@ def test_stream_ingest_equals_batch(spark, tmp_path):
     ingest_files(spark, vi, str(src), "id string, body string")
     assert vi.live_docs().count() == 20
     assert vi.last_version() >= 1
+
+
+def test_attempts_that_look_like_numbers(spark, monkeypatch):
+    """A commit's folder is named by its attempt: digits, exponents and leading zeros stay strings."""
+    from lexiq.operators import maintain
+
+    class Name:
+        def __init__(self, hex_):
+            self.hex = hex_
+
+    vi = vindex(spark)
+    steps = [("123456789012", "1"), ("12345e678901", "2"), ("000000000012", "3"), ("8adeb0accd5b", "4")]
+    for i, (attempt, gone) in enumerate(steps):
+        monkeypatch.setattr(maintain.uuid, "uuid4", lambda a=attempt: Name(a + "0" * 20))
+        vi.commit(adds=adds(spark, [(str(j), f"text {j}") for j in (10 * i, 10 * i + 1)]), deletes=dels(spark, [("id", str(10 * i - 10))]))
+    assert {r.id for r in vi.live_docs().collect()} == {"1", "11", "21", "30", "31"}
+    assert {r.id for r in vi.live_docs(as_of=2).collect()} == {"1", "10", "11"}
+
+
+def test_view_equals_a_rebuild(spark):
+    """Searched as the commits left it: no posting is written, statistics and scores are those of a new index."""
+    from lexiq.operators.index import build_index
+    vi = vindex(spark)
+    vi.commit(adds=adds(spark, [(str(i), f"common word{i % 3} text number{i}") for i in range(12)]))
+    vi.commit(adds=adds(spark, [("3", "common replaced text"), ("20", "word1 alone")]), deletes=dels(spark, [("id", "3"), ("id", "5")]))
+    vi.commit(deletes=dels(spark, [("body", "number7")]))
+    view = vi.view()
+    live = view.docs().select("doc_id", "id", "body")
+    fresh = build_index(spark, live, vi.schema, term_buckets=2)
+    assert sorted(view.stats().collect()) == sorted(fresh.stats().collect())
+    assert sorted(map(str, view.vocab().select("field", "term", "df").collect())) == sorted(
+        map(str, fresh.vocab().select("field", "term", "df").collect()))
+    tree = [C.leaf(1, 1, "must", "all", None, None, 2.0), C.leaf(1, 2, "must_not", "term", "body", "word1"),
+            C.leaf(2, 1, "should", "one_of", "body", "common word2 replaced"), C.leaf(3, 1, "should", "phrase", "body", "common word0")]
+    cl = C.clause_rows(spark, tree)
+    for index in (fresh, vi.snapshot()):
+        assert [tuple(r) for r in search(view, cl, 5, 6).orderBy("qid", "rank").collect()] == [
+            tuple(r) for r in search(index, cl, 5, 6).orderBy("qid", "rank").collect()]
+    assert vi.view(as_of=1).num_docs().first()[0] == 12 and view.num_docs().first()[0] == 11
+
+
+def test_latest_changes_read_only_touched_buckets(spark):
+    vi = vindex(spark)
+    change = lambda *rows: spark.createDataFrame(list(rows), "key string, ts long")
+    one = lambda key: spark.createDataFrame([(key,)], "key string")
+    vi.commit(adds=adds(spark, [("a", "x")]), changes=change(*[(f"k{i}", i) for i in range(40)]))
+    vi.commit(adds=adds(spark, [("b", "x")]), changes=change(("k3", 99), ("k4", 1), ("new", None)))
+    known = vi.last_changes(one("k3"))
+    assert {r.key: r.ts for r in known.collect()}["k3"] == 99
+    assert len(known.inputFiles()) == 1
+    every = {r.key: r.ts for r in vi.last_changes().collect()}
+    assert every == {f"k{i}": i for i in range(40)} | {"k3": 99, "new": None}
+
+
+def test_changes_without_a_time_are_the_oldest(spark, tmp_path):
+    from lexiq.streaming.ingest import ingest_files
+    vi = vindex(spark)
+    schema = "op string, ts long, id string, body string"
+    batches = [[("add", None, "1", "first"), ("add", 5, "2", "timed"), ("add", None, "2", "untimed")],
+               [("add", None, "1", "again"), ("add", None, "2", "late"), ("add", None, "3", "new")],
+               [("add", 1, "1", "timed")]]
+    for i, rows in enumerate(batches):
+        path = str(tmp_path / f"b{i}")
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+        ingest_files(spark, vi, path, schema, key_field="id", time="ts")
+    assert {r.id: r.body for r in vi.live_docs().collect()} == {"1": "timed", "2": "timed", "3": "new"}
