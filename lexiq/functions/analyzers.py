@@ -9,7 +9,7 @@ Stemming (T5) is a dictionary join applied after analysis (see ``functions.stem`
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +29,7 @@ GRAPHEME_PATTERN = r"\X"
 
 DEFAULT_LIMIT = 40
 
+# The languages that an analyzer may name.
 SUPPORTED_LANGUAGES = (
     "ar", "hy", "eu", "ca", "da", "nl", "en", "et", "fi", "fr", "de", "el", "hi", "hu", "id",
     "ga", "it", "lt", "ne", "no", "pt", "ro", "ru", "sr", "es", "sv", "ta", "tr", "yi",
@@ -103,15 +104,11 @@ def raw() -> Analyzer:
     return Analyzer("raw", lower=False, fold=False)
 
 
-def lexicon(limit: int = DEFAULT_LIMIT, max_word_len: int = 8) -> Analyzer:
+def lexicon(limit: int = DEFAULT_LIMIT, max_word_len: int | None = None) -> Analyzer:
     return Analyzer("lexicon", limit=limit, lower=True, fold=False, lang="en",
                     max_word_len=max_word_len)
 
 
-def with_lang(a: Analyzer, lang: str | None) -> Analyzer:
-    return replace(a, lang=lang)
-
-
 # --- building blocks -------------------------------------------------------------
 
 def _tok(pos: Column, term: Column) -> Column:
@@ -168,8 +165,10 @@ def truncate_bytes(text: Column, limit: int, exact_limit: bool) -> Column:
     """
     t = F.coalesce(text, F.lit(""))
     if not exact_limit:
-        # only the first `limit` characters can start before byte `limit`
-        t = F.substr(t, F.lit(1), F.lit(limit + 64))
+        # graphemes of a short beginning will do if they reach the limit without its last one, which may be cut
+        some = F.substr(t, F.lit(1), F.lit(limit + 64))
+        last = F.element_at(F.regexp_extract_all(some, F.lit(GRAPHEME_PATTERN), 0), -1)
+        t = F.when(F.octet_length(some) - F.octet_length(last) >= limit, some).otherwise(t)
     gs = F.regexp_extract_all(t, F.lit(GRAPHEME_PATTERN), 0)
     init = F.struct(F.lit(0).alias("off"), F.lit(False).alias("stop"), F.lit("").alias("acc"))
 

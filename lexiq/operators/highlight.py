@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..functions.analyzers import WORD_PATTERN, Analyzer, _ngrams, _normalize, _edge_ngrams
+from ..functions.lexicon import segment_offsets
 from ..functions.stem import apply_stems, stem_dictionary
 from ..session import bounded_broadcast, materialize, stored
 from .index import TextIndex
@@ -67,6 +68,14 @@ def _tokens_with_offsets(df: DataFrame, an: Analyzer, text_col: str) -> DataFram
     raise ValueError(f"highlighting is not available for analyzer kind {an.kind}")
 
 
+def _lexicon_tokens(df: DataFrame, index: TextIndex, name: str) -> DataFrame:
+    """(qid, doc_id, value, pos, term, start, end) of a lexicon field."""
+    an = index.schema.analyzer_of(name)
+    keyed = df.select(F.struct("qid", "doc_id", "value").alias("key"), "text")
+    toks = segment_offsets(keyed, "key", "text", index.schema.lexicon_of(name), an.max_word_len, an.limit, an.lower)
+    return toks.select("doc_id.*", "pos", "term", "start", "end")
+
+
 def highlights(index: TextIndex, results: DataFrame, clauses: DataFrame,
                max_chars: int = DEFAULT_MAX_CHARS) -> DataFrame:
     """(qid, doc_id, highlights array<struct<field_name, fragment<t, r>>>) for ranked hits."""
@@ -82,13 +91,11 @@ def highlights(index: TextIndex, results: DataFrame, clauses: DataFrame,
         if name not in docs.columns:
             continue
         an = schema.analyzer_of(name)
-        if an.kind == "lexicon":
-            continue
         # the values of a repeated field are looked at one by one; the best fragment of all is kept
         values = F.col(name) if isinstance(docs.schema[name].dataType, ArrayType) else F.array(F.col(name))
         d = (docs.select("doc_id", name).join(hits, "doc_id")
              .select("qid", "doc_id", F.posexplode(values).alias("value", "text")))
-        toks = _tokens_with_offsets(d, an, "text")
+        toks = _lexicon_tokens(d, index, name) if an.kind == "lexicon" else _tokens_with_offsets(d, an, "text")
         if an.lang is not None:  # stemmed field: same dictionary rules as the index
             toks = apply_stems(toks, bounded_broadcast(stored(
                 stem_dictionary(toks, an.lang, schema.stems_of(name)), "stems")))

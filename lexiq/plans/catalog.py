@@ -28,6 +28,8 @@ K = 10
 TURNS = 1_000_000  # query number = conversation * TURNS + turn
 ROUND = 4
 BODY = A.simple(40, None, fold=True)
+# A Han character for every letter, for text that only a lexicon can segment.
+HAN_LETTERS = ("abcdefghijklmnopqrstuvwxyz", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余")
 
 
 def docs_schema() -> Schema:
@@ -170,8 +172,8 @@ def q_stem_search(spark, sf):
 
 
 def q_lexicon_segment(spark, sf):
-    """T9 over the documents with a lexicon derived from the benchmark words (no Han text
-    occurs in this corpus, so every chunk is a word run; the Han walk is tested in pytest)."""
+    """T9 over the documents with a lexicon derived from the benchmark words. No Han text occurs in this
+    corpus, so every chunk is a word run; ``lexicon_han`` has runs that the lexicon decides."""
     from ..functions.lexicon import segment
     lex = table(spark, sf, "benchmark").select(
         F.explode(F.regexp_extract_all(F.lower("text"), F.lit(A.WORD_PATTERN), 0)).alias("word")).distinct()
@@ -179,6 +181,25 @@ def q_lexicon_segment(spark, sf):
     return seg.select("doc_id", F.inline("toks")).select("doc_id", F.col("pos").cast("long").alias("pos"), "term")
 
 
+def han_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Part names as Han text without spaces, a character for each letter, and a lexicon of their words and, of
+    every third part, its first two words together, so that the longest match decides."""
+    p = table(spark, sf, "part").select("p_partkey", F.lower("p_name").alias("name"))
+    han = lambda c: F.translate(c, HAN_LETTERS[0], HAN_LETTERS[1])
+    words = p.select(F.explode(F.split("name", " ")).alias("word"))
+    pairs = p.filter("p_partkey % 3 = 0").select(F.array_join(F.slice(F.split("name", " "), 1, 2), "").alias("word"))
+    return (p.select("p_partkey", han(F.regexp_replace("name", " ", "")).alias("title")),
+            words.union(pairs).select(han(F.col("word")).alias("word")).distinct())
+
+
+def q_lexicon_han(spark, sf):
+    from ..functions.lexicon import segment
+    titles, lex = han_parts(spark, sf)
+    seg = segment(titles, "p_partkey", "title", lex, None, 40, True)
+    return seg.select(F.col("doc_id").alias("p_partkey"), F.inline("toks")).select(
+        "p_partkey", F.col("pos").cast("long").alias("pos"), "term")
+
+
 # --- A: index statistics ----------------------------------------------------------------
 
 def q_postings_tf(spark, sf):
@@ -618,6 +639,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stem_user_dictionary": q_stem_user_dictionary,
     "stem_search": q_stem_search,
     "lexicon_segment": q_lexicon_segment,
+    "lexicon_han": q_lexicon_han,
     "postings_tf": q_postings_tf,
     "doc_length": q_doc_length,
     "vocab_df": q_vocab_df,

@@ -7,7 +7,17 @@ textbook formula. Same rounding (4 places, before ranking) and tie-break (doc_id
 
 from __future__ import annotations
 
-from ..functions.folding import fold_sql
+
+# Plain letters of the tables' languages and their spelling, written down here on their own.
+ACCENTED = "àáâãäåāçćčèéêëēìíîïīñńòóôõöøōùúûüūýÿšžžł"
+PLAIN = "aaaaaaaccceeeeeiiiiinnooooooouuuuuyyszzl"
+
+
+def fold_sql(expr: str) -> str:
+    for letter, spelled in (("ß", "ss"), ("æ", "ae"), ("œ", "oe")):
+        expr = f"replace({expr}, '{letter}', '{spelled}')"
+    return f"translate({expr}, '{ACCENTED}', '{PLAIN}')"
+
 
 WORD = r"[\p{L}\p{N}]+"
 EDGE_WORD = r"[\p{L}\p{N}_\p{M}]+(?:[''’.:][\p{L}\p{N}_\p{M}]+)*"  # quote doubled for SQL
@@ -242,6 +252,24 @@ def stem_search_query() -> str:
     return with_(idx_ctes().replace(plain, stemmed), qt, leaf_ctes("every_term", "qt", "h")) + "\n" + topk("h")
 
 
+def lexicon_han_query() -> str:
+    """Greedy longest match by recursion over the start of the next token."""
+    letters, han = "abcdefghijklmnopqrstuvwxyz", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
+    to_han = lambda e: f"translate({e}, '{letters}', '{han}')"
+    return f"""WITH RECURSIVE p AS (SELECT p_partkey, string_split(lower(p_name), ' ') AS ws FROM part),
+src AS (SELECT p_partkey, {to_han("array_to_string(ws, '')")} AS t FROM p),
+lex AS (SELECT DISTINCT {to_han('w')} AS w FROM (SELECT unnest(ws) AS w FROM p UNION ALL
+        SELECT array_to_string(ws[1:2], '') FROM p WHERE p_partkey % 3 = 0)),
+runs AS (SELECT DISTINCT t FROM src),
+best AS (SELECT r.t, s.i, max(length(lex.w)) AS l FROM runs r JOIN range(1, 200) s(i) ON s.i <= length(r.t)
+         JOIN lex ON substr(r.t, s.i, length(lex.w)) = lex.w GROUP BY r.t, s.i),
+walk AS (SELECT t, 1::BIGINT AS i, 0::BIGINT AS pos FROM runs
+         UNION ALL SELECT w.t, w.i + coalesce(b.l, 1), w.pos + 1 FROM walk w LEFT JOIN best b ON b.t = w.t AND b.i = w.i
+         WHERE w.i + coalesce(b.l, 1) <= length(w.t))
+SELECT s.p_partkey, w.pos, substr(w.t, w.i, coalesce(b.l, 1)) AS term FROM src s JOIN walk w ON w.t = s.t
+LEFT JOIN best b ON b.t = w.t AND b.i = w.i WHERE strlen(substr(w.t, w.i, coalesce(b.l, 1))) < 40"""
+
+
 #: The documents after the second commit.
 REPLACED = "(SELECT doc_id, lang, CASE WHEN lang = 'fr' THEN 'nouveau ' || text ELSE text END AS text FROM documents)"
 
@@ -249,6 +277,7 @@ ORACLE_SQL: dict[str, str] = {
     "tokenize_simple": f"SELECT id AS doc_id, pos, term FROM ({tok('documents', 'doc_id', 'text', fold=False)})",
     # no Han text in this corpus: every chunk is a word run, positions keep gaps of dropped tokens
     "lexicon_segment": f"SELECT id AS doc_id, pos, term FROM ({tok('documents', 'doc_id', 'text', fold=False)})",
+    "lexicon_han": lexicon_han_query(),
     "fold_accents": f"SELECT term, count(*) AS n FROM ({tok('documents', 'doc_id', 'text')}) GROUP BY term",
     "drop_long": (f"SELECT d.doc_id, count(t.pos) AS n_kept, coalesce(sum(t.pos), 0)::BIGINT AS pos_sum FROM documents d "
                   f"LEFT JOIN ({tok('documents', 'doc_id', 'text', limit=6, fold=False)}) t ON t.id = d.doc_id GROUP BY d.doc_id"),
