@@ -308,8 +308,8 @@ class _Matrix:
         at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
         return np.bincount(owner[at], minlength=n)
 
-    def candidates(self, row: dict) -> Iterator[tuple[int, list[int]]]:
-        """(first member of a group, members) that the row's node may link with, of larger components."""
+    def candidates(self, row: dict) -> Iterator[tuple[int, np.ndarray]]:
+        """(first member of a group, places of members) that the row's node may link with, of larger components."""
         n, asked = row["n"], np.unique(np.array(row["tokens"], np.int64))
         least, most = -(-PERCENT * n // 100), 100 * n // PERCENT
         low, high = np.maximum(self.n_min, least), np.minimum(self.n_max, most)
@@ -322,7 +322,7 @@ class _Matrix:
         if fits.any():
             at = np.flatnonzero(fits & (self.shared(self.token, self.member, asked, len(fits)) >= _needed(n, self.n)))
             for group in np.unique(at // GROUP):
-                yield int(self.node[group * GROUP]), self.node[at[at // GROUP == group]].tolist()
+                yield int(self.node[group * GROUP]), at[at // GROUP == group]
 
 
 def _needed(n: int, size: np.ndarray) -> np.ndarray:
@@ -332,30 +332,45 @@ def _needed(n: int, size: np.ndarray) -> np.ndarray:
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(unit, a, bs) of rows sorted by (sg, cls, to_cls, salt, asks): a supergroup's members, then the nodes
-    that ask for it. ``unit`` is the first member of the group that ``bs`` are of."""
+    """(unit, asks, a, bs, comps) of rows sorted by (sg, cls, to_cls, salt, asks): a supergroup's members, then the
+    nodes that ask for it. ``unit`` is the first member of the group that ``bs``, of ``comps``, are of. A row that
+    doesn't ask has all members of the unit that some node of the cell has to be compared with."""
     key, members, matrix = None, [], None
+    wanted: dict[int, set[int]] = {}
+
+    def drawn(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
+                                          names=["unit", "asks", "a", "bs", "comps"])
+
+    def named(unit: int, node: int | None, at: list[int]) -> tuple:
+        return unit, node is not None, node, matrix.node[at].tolist(), matrix.comp[at].tolist()
+
     for batch in batches:
-        out: list[tuple[int, int, list[int]]] = []
+        out: list[tuple] = []
         for row in batch.to_pylist():
             now = (row["sg"], row["cls"], row["to_cls"], row["salt"])
             if now != key:
-                key, members, matrix = now, [], None
+                out += [named(unit, None, sorted(at)) for unit, at in wanted.items()]
+                key, members, matrix, wanted = now, [], None, {}
             if not row["asks"]:
                 members.append(row)
                 continue
             matrix = matrix or _Matrix(members)
-            out += [(unit, row["node"], bs) for unit, bs in matrix.candidates(row)]
-        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                                          pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["unit", "a", "bs"])
+            for unit, at in matrix.candidates(row):
+                wanted.setdefault(unit, set()).update(at.tolist())
+                out.append(named(unit, row["node"], at.tolist()))
+        yield drawn(out)
+    yield drawn([named(unit, None, sorted(at)) for unit, at in wanted.items()])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) of rows sorted by (unit, salt, asks): a group's members, then the nodes to compare with them."""
+    """Links (a, b) of rows sorted by (unit, salt, asks): a group's members, then the nodes to compare with them.
+    One link of a node with a component is enough."""
     key, members = None, {}
     for batch in batches:
         links: list[tuple[int, int]] = []
-        unit, salt, asks, node, bs = (batch.column(c).to_pylist() for c in ("unit", "salt", "asks", "node", "bs"))
+        unit, salt, asks, node, bs, comps = (batch.column(c).to_pylist() for c in ("unit", "salt", "asks", "node", "bs", "comps"))
         for w in W.slices(batch.column("text")):
             tokens, bounds = token_sets(w)
             for i in range(w.n_docs):
@@ -363,7 +378,11 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if (unit[at], salt[at]) != key:
                     key, members = (unit[at], salt[at]), {}
                 if asks[at]:
-                    links += [(node[at], b) for b in bs[at] if linked(mine, members[b])]
+                    joined: set[int] = set()
+                    for b, comp in zip(bs[at], comps[at]):
+                        if comp not in joined and linked(mine, members[b]):
+                            joined.add(comp)
+                            links.append((node[at], b))
                 else:
                     members[node[at]] = mine.copy()
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())],
@@ -471,17 +490,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .union(asking.join(salts, cell).select(*cell, own.alias("salt"), F.lit(True), "node")).join(sets, "node"))
     keys = [*cell, "salt"]
     ranges = _dealt(both, keys, ["asks", "place"]).select(*keys, "asks", "node", "n", "comp", "comp_size", "tokens")
-    opened = stored(ranges.mapInArrow(_opened, "unit long, a long, bs array<long>"), "pairs")
+    opened = stored(ranges.mapInArrow(_opened, "unit long, asks boolean, a long, bs array<long>, comps array<long>"), "pairs")
 
     # what is left is compared by the full token sets
-    salts = stored(opened.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / ASKED).alias("salts")), "salts")
+    asking = opened.filter("asks").select("unit", F.col("a").alias("node"), "bs", "comps")
+    salts = stored(asking.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / ASKED).alias("salts")), "salts")
     none = F.lit(None).cast("array<long>")
-    members = opened.select("unit", F.explode("bs").alias("node")).distinct().join(salts, "unit").select(
-        "unit", every.alias("salt"), F.lit(False).alias("asks"), "node", none.alias("bs"))
-    both = members.union(opened.withColumnRenamed("a", "node").join(salts, "unit").select(
-        "unit", own.alias("salt"), F.lit(True), "node", "bs"))
+    members = opened.filter("NOT asks").select("unit", F.explode("bs").alias("node")).distinct().join(salts, "unit").select(
+        "unit", every.alias("salt"), F.lit(False).alias("asks"), "node", none.alias("bs"), none.alias("comps"))
+    both = members.union(asking.join(salts, "unit").select("unit", own.alias("salt"), F.lit(True), "node", "bs", "comps"))
     both = both.join(texts_of(both.select("node")).select("node", "text"), "node")
-    checked = _dealt(both, ["unit", "salt"], ["asks"]).select("unit", "salt", "asks", "node", "bs", "text").mapInArrow(
+    checked = _dealt(both, ["unit", "salt"], ["asks"]).select("unit", "salt", "asks", "node", "bs", "comps", "text").mapInArrow(
         _verified, "a long, b long")
     links = stored(first.select(F.col("node").alias("a"), F.col("root").alias("b")).union(checked), "links")
 
