@@ -167,7 +167,7 @@ def truncate_bytes(text: Column, limit: int, exact_limit: bool) -> Column:
     if not exact_limit:
         # graphemes of a short beginning will do if they reach the limit without its last one, which may be cut
         some = F.substr(t, F.lit(1), F.lit(limit + 64))
-        last = F.element_at(F.regexp_extract_all(some, F.lit(GRAPHEME_PATTERN), 0), -1)
+        last = F.coalesce(F.try_element_at(F.regexp_extract_all(some, F.lit(GRAPHEME_PATTERN), 0), F.lit(-1)), F.lit(""))
         t = F.when(F.octet_length(some) - F.octet_length(last) >= limit, some).otherwise(t)
     gs = F.regexp_extract_all(t, F.lit(GRAPHEME_PATTERN), 0)
     init = F.struct(F.lit(0).alias("off"), F.lit(False).alias("stop"), F.lit("").alias("acc"))
