@@ -307,6 +307,15 @@ def q_bool_nested(spark, sf):
     return S.search(idx, cl, K, ROUND)
 
 
+def q_bool_set_operations(spark, sf):
+    """one_of AND source src1 EXCEPT lang fr, OR a phrase, as set operations on the leaves' documents."""
+    idx, q = docs_index(spark, sf), bench_queries(spark, sf)
+    docs = lambda kind, field, text=None: S.search_hits(idx, C.single_clause(
+        q if text is None else q.withColumn("text", F.lit(text)), kind, field)).select("qid", "doc_id")
+    return (docs("one_of", "body").intersect(docs("term", "source", "src1")).subtract(docs("term", "lang", "fr"))
+            .union(docs("phrase", "body")).distinct())
+
+
 def _empty_must_clauses(spark, sf):
     q = bench_queries(spark, sf)
     keep = _tree(q.withColumn("qid", F.col("qid") * 2), [
@@ -384,6 +393,18 @@ def q_saved_queries_deep(spark, sf):
     return S.search(docs_index(spark, sf), flat, K, ROUND)
 
 
+def q_saved_queries_forty(spark, sf):
+    """Trees as deep as a saved query may be: forty nested groups around one leaf."""
+    tree = '{"query_type": 6, "query_modifier": 1, "query": {"field_index": 0, "text_index": 0}}'
+    for i in range(40):
+        tree = f'{{"query_type": 0, "query_modifier": {i % 2}, "query": {{"boost": {2.0 if i % 20 == 0 else 1.0}, "subqueries": [{tree}]}}}}'
+    head = '"], "fields": ["body"], "query": {"boost": 1.0, "subqueries": ['
+    text = F.regexp_replace("text", r'[\\\\"\n\r\t]', " ")
+    js = bench_queries(spark, sf).select("qid", F.concat(F.lit('{"texts": ["'), text, F.lit(head + tree + "]}}")).alias("spec_json"))
+    flat = C.flatten_specs(C.parse_specs(js)).drop("error", "path", "n_fields", "n_texts")
+    return S.search(docs_index(spark, sf), flat, K, ROUND)
+
+
 # --- R: ranking and results ---------------------------------------------------------------
 
 def q_topk_per_query(spark, sf):
@@ -655,12 +676,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "phrase_prefix_altered": q_phrase_prefix_altered,
     "match_all": q_match_all,
     "bool_nested": q_bool_nested,
+    "bool_set_operations": q_bool_set_operations,
     "empty_must": q_empty_must,
     "query_rejects": q_query_rejects,
     "keyword_multi_field": q_keyword_multi_field,
     "recipe_search": q_recipe_search,
     "saved_queries": q_saved_queries,
     "saved_queries_deep": q_saved_queries_deep,
+    "saved_queries_forty": q_saved_queries_forty,
     "topk_per_query": q_topk_per_query,
     "explain_scores": q_explain_scores,
     "fast_field_search": q_fast_field_search,

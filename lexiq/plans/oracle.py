@@ -309,6 +309,10 @@ UNION ALL SELECT 'lang', st.n, (SELECT count(*) FROM documents WHERE lang IS NOT
                                    leaf_ctes("phrase_prefix", "qt", "h")) + "\n" + topk("h"),
     "match_all": match_all_query(),
     "bool_nested": bool_nested_query(),
+    "bool_set_operations": with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "ho"), leaf_ctes("phrase", "qt", "hp")) + """
+SELECT DISTINCT qid, doc_id FROM (
+  SELECT h.qid, h.doc_id FROM ho h JOIN documents d ON d.doc_id = h.doc_id WHERE d.source = 'src1' AND d.lang IS DISTINCT FROM 'fr'
+  UNION ALL SELECT qid, doc_id FROM hp)""",
     "empty_must": with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "h"),
                         "h2 AS (SELECT qid * 2 AS qid, doc_id, s FROM h)") + "\n" + topk("h2"),
     "query_rejects": ("SELECT item_id AS qid, CASE WHEN item_id % 7 = 0 THEN 'Invalid query_type' "
@@ -321,6 +325,8 @@ UNION ALL SELECT 'lang', st.n, (SELECT count(*) FROM documents WHERE lang IS NOT
     "saved_queries": recipe_query(),
     "saved_queries_deep": with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "h0"),
                                 "h AS (SELECT qid, doc_id, 5.0625 * s AS s FROM h0)") + "\n" + topk("h"),
+    "saved_queries_forty": with_(idx_ctes(), BENCH_QT, leaf_ctes("one_of", "qt", "h0"),
+                                 "h AS (SELECT qid, doc_id, 4.0 * s AS s FROM h0)") + "\n" + topk("h"),
     "topk_per_query": with_(idx_ctes(), slots_cte("qc", "conversations", "conv_id * 1000000 + turn", "text"),
                             leaf_ctes("one_of", "qc", "h")) + "\n" + topk("h", 5),
     "explain_scores": with_(idx_ctes(), BENCH_QT) + "\nSELECT q.qid, p.doc_id, 1::INTEGER AS clause_id, q.term, "
@@ -333,6 +339,10 @@ UNION ALL SELECT 'lang', st.n, (SELECT count(*) FROM documents WHERE lang IS NOT
     f"\nSELECT r.qid, r.rank, r.doc_id, r.score, d.lang, d.source FROM ({topk('h')}) r JOIN documents d ON d.doc_id = r.doc_id",
     "typed_results": with_(idx_ctes(), BENCH_QT, leaf_ctes("phrase", "qt", "h")) +
     f"\nSELECT r.qid, r.rank, r.score, d.source, d.lang FROM ({topk('h')}) r JOIN documents d ON d.doc_id = r.doc_id",
+    "results_json": with_(idx_ctes(), BENCH_QT, leaf_ctes("phrase", "qt", "h")) +
+    "\nSELECT r.qid, r.rank, r.doc_id, '{\"score\":' || r.score::VARCHAR || ',\"highlights\":[]' "
+    "|| coalesce(',\"source\":\"' || d.source || '\"', '') || coalesce(',\"lang\":\"' || d.lang || '\"', '') || '}' AS json "
+    f"FROM ({topk('h')}) r JOIN documents d ON d.doc_id = r.doc_id",
     "delete_by_term": "SELECT doc_id FROM documents WHERE source IS DISTINCT FROM 'src1'",
     "batch_replace": ("SELECT doc_id, (CASE WHEN lang = 'fr' THEN 2 ELSE 1 END)::BIGINT AS version, "
                       f"md5(text) AS body_md5 FROM {REPLACED}"),

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -46,14 +47,26 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: What a broadcast table may hold, in bytes of its values.
+BROADCAST_BYTES = 64 << 20
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast ``df`` only after proving its size: count it and compare with ``max_rows``.
+    """Broadcast ``df`` only after proving its size: its rows are counted and the bytes of their values
+    summed, and compared with ``max_rows`` and ``BROADCAST_BYTES``.
 
-    Beyond the bound the plain DataFrame is returned and the planner falls back to a
+    Beyond the bounds the plain DataFrame is returned and the planner falls back to a
     shuffle join (with AQE skew handling).
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = F.lit(0)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) if isinstance(f.dataType, StringType)
+                         else 8 * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(1)) if isinstance(f.dataType, ArrayType)
+                         else F.lit(8))
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    small = seen["n"] <= max_rows and (seen["bytes"] or 0) <= BROADCAST_BYTES
+    return F.broadcast(df) if small else df
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -45,3 +45,20 @@ def test_topics_and_judgements(spark, tmp_path):
     j = read_judgements(spark, str(tmp_path / "qrels.tsv"))
     assert {r.qid: r.text for r in t.collect()} == {"q1": "what is spark", "q2": "bm25 scoring"}
     assert sorted((r.qid, r.doc_id, r.grade) for r in j.collect()) == [("q1", "d1", "1"), ("q1", "d2", "0")]
+
+
+def test_typed_results_with_a_callback(spark):
+    """The callback sees the parsed documents batch by batch and makes rows of its own type."""
+    from pyspark.sql import types as T
+
+    from lexiq.operators.rank import typed_results
+    rows = spark.createDataFrame([(1, 1, '{"score":2.5,"title":"a"}'), (1, 2, '{"score":1.0}'), (2, 1, "{}")],
+                                 "qid long, rank long, json string")
+    schema = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("title", T.StringType())])
+
+    def model(batches):
+        for b in batches:
+            yield b.assign(label=b["title"].fillna("none") + ":" + b["score"].fillna(0).astype(str))[["qid", "rank", "label"]]
+
+    got = typed_results(rows, schema, model, "qid long, rank long, label string").orderBy("qid", "rank").collect()
+    assert [tuple(r) for r in got] == [(1, 1, "a:2.5"), (1, 2, "none:1.0"), (2, 1, "none:0.0")]
