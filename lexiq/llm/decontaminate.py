@@ -98,7 +98,9 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     spread = item.select("item", "w", F.explode(shingles("h")).alias("sh"))
     counted = stored(spread.groupBy("item", "w", "sh").agg(F.count(F.lit(1)).alias("n_item")), "item_shingles", 1)
     known, sized = counted.select("sh").distinct(), counted.select("sh", "w").distinct()
-    least = item.agg(F.min("w")).first()[0]
+    least, longest = item.agg(F.min("w"), F.max("w")).first()
+    if longest is not None and longest >= 1 << FIELD_BITS:
+        raise ValueError(f"an item has {longest} words; its windows' counters hold fewer than {1 << FIELD_BITS}")
     # a document shorter than the item has THRESHOLD of its shingles or more
     stride = safe_stride(math.ceil(THRESHOLD * ((least or SHINGLE) - SHINGLE + 1) - 1e-9))
 

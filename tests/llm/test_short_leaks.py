@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
+
 from lexiq.llm import decontaminate
 
 from test_operators import DOCS, prose, words_of
@@ -50,3 +52,11 @@ def test_documents_shorter_than_the_item(spark):
     assert (1000 * 8 + 10, 7) in short  # 59 words less the last one
     left = {r.doc_id for r in decontaminate.without_leaks(df, bench).collect()}
     assert left == {r[0] for r in rows} - {k[0] for k in want}
+
+
+def test_items_too_long_for_the_counters_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "FIELD_BITS", 4)
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(16)))], "item_id long, text string")
+    with pytest.raises(ValueError, match="an item has 16 words"):
+        decontaminate.find_leaks(docs, items)
