@@ -62,3 +62,32 @@ def test_typed_results_with_a_callback(spark):
 
     got = typed_results(rows, schema, model, "qid long, rank long, label string").orderBy("qid", "rank").collect()
     assert [tuple(r) for r in got] == [(1, 1, "a:2.5"), (1, 2, "none:1.0"), (2, 1, "none:0.0")]
+
+
+def test_quoted_tsv_in_many_tasks_equals_the_whole_file_reader(spark, tmp_path):
+    """Records with tabs, quotes and line ends in their fields, read in splits of some bytes."""
+    import random
+
+    from lexiq.sources import corpus
+    rng = random.Random(3)
+    pieces = ["word", 'a "quoted" one', "two\nlines", "tab\there", 'ends with "', '"', "", "ünï", "x" * 50, "a\n\n\nb", 'mid"dle', "1\r\n2"]
+    rows = [(str(i), rng.choice(pieces) + rng.choice(pieces), " ".join(rng.choice(pieces) for _ in range(rng.randint(0, 9)))) for i in range(120)]
+    path = str(tmp_path / "docs.tsv")
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write("docid\ttitle\ttext\n")
+        for row in rows:
+            f.write("\t".join('"' + v.replace('"', '""') + '"' if set(v) & set('"\t\n\r') or not v else v for v in row) + "\n")
+        f.write('last\tno"quote\tin "the" middle\n')
+    whole = (spark.read.schema(corpus.CORPUS_TSV_SCHEMA).option("sep", "\t").option("header", True).option("multiLine", True)
+             .option("quote", '"').option("escape", '"').csv(path))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in ("97", "1000", before):
+            spark.conf.set(key, size)
+            got = corpus.read_corpus_tsv(spark, path)
+            tidy = lambda rs: sorted((r.docid, (r.title or "").replace("\r\n", "\n"), (r.text or "").replace("\r\n", "\n")) for r in rs)
+            assert tidy(got.collect()) == tidy(whole.collect())
+            assert len(got.collect()) == 121
+    finally:
+        spark.conf.set(key, before)
