@@ -11,6 +11,7 @@ document is a slice of its own), so the memory of a task follows its longest doc
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -111,8 +112,27 @@ def repeated(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return many, again
 
 
+def _trim():
+    """The C library's call that gives freed pages back to the system, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+_TRIM = _trim()
+
+
+def tidy() -> None:
+    """Give back what earlier batches needed: workers are kept for later stages, and the peak of each would add up."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null reads as empty."""
+    tidy()
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, offsets, data = texts.buffers()
     offs = np.frombuffer(offsets, np.int64)[texts.offset: texts.offset + len(texts) + 1] if len(texts) \
@@ -152,6 +172,8 @@ def slices(texts: pa.Array | pa.ChunkedArray) -> Iterator[Words]:
         hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + SLICE, "right")) - 1)
         yield cut(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], lo)
         lo = hi
+    del data, offs
+    tidy()
 
 
 def grams(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
