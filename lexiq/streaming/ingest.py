@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.maintain import VersionedIndex
-from ..session import new_table_path, stored
+from ..session import is_folder, new_table_path, stored
 
 
 def _resolved(vindex: VersionedIndex, batch: DataFrame, key: str, time: str) -> DataFrame:
@@ -77,12 +77,14 @@ def ingest_stream(changes: DataFrame, vindex: VersionedIndex, checkpoint: str,
     return w.start()
 
 
-def ingest_files(spark: SparkSession, vindex: VersionedIndex, directory: str, schema: str, glob: str = "*.parquet",
+def ingest_files(spark: SparkSession, vindex: VersionedIndex, path: str, schema: str, glob: str = "*.parquet",
                  to_adds: Callable[[DataFrame], DataFrame] | None = None, max_files_per_trigger: int = 1,
                  key_field: str | None = None, time: str | None = None) -> None:
-    """Stream the Parquet files of ``directory`` matching ``glob`` into ``vindex`` and wait."""
+    """Stream the Parquet files of ``path``, a folder or one file, matching ``glob`` into ``vindex`` and wait."""
+    if not is_folder(spark, path):  # a stream reads folders
+        path, glob = path.rsplit("/", 1)
     src = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-           .option("maxFilesPerTrigger", max_files_per_trigger).parquet(directory))
+           .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
     q = ingest_stream(src, vindex, new_table_path(spark, "stream-ckpt"), to_adds,
                       key_field=key_field, time=time)
     q.awaitTermination()
