@@ -210,7 +210,8 @@ class VersionedIndex:
 
     def _tombstones_upto(self, v: int) -> DataFrame | None:
         t = self._read("tombstones")
-        return None if t is None else t.filter(F.col("version") <= v).select("doc_id").distinct()
+        # ids alone: broadcast within the bound, so that neither postings nor texts move to lose the deleted ones
+        return None if t is None else bounded_broadcast(t.filter(F.col("version") <= v).select("doc_id").distinct())
 
     def live_docs(self, as_of: int | None = None) -> DataFrame:
         """M6: documents visible at version ``as_of`` (default: last)."""
