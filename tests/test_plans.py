@@ -9,6 +9,7 @@ from lexiq.operators.maintain import VersionedIndex
 from lexiq.operators.search import search, without_lone_groups
 from lexiq.plans import catalog
 from lexiq.plans import clauses as C
+from lexiq.plans.oracle import ORACLE_SQL
 from lexiq.plans.schema import Schema
 
 
@@ -73,4 +74,9 @@ def test_conversations_queries(spark, tmp_path):
                                  "conv_id long, turn int, role string, text string")
     rows.write.parquet(str(tmp_path / "conversations.parquet"))
     got = sorted(r.qid for r in catalog.conv_queries(spark, str(tmp_path)).collect())
-    assert got == [c * catalog.TURNS + t for c in (0, 100, 200) for t in (0, 1)]
+    assert got == [c * catalog.TURNS + t for c in (0, 1, 99, 100, 200, 250) for t in (0, 1)]
+
+
+def test_all_turns_are_queries():
+    sql = ORACLE_SQL["topk_per_query"]
+    assert "FROM conversations)" in sql and "conv_id %" not in sql
