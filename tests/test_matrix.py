@@ -96,3 +96,13 @@ def test_a_scan_hands_on_the_best_of_a_shard_only(monkeypatch, spark, index):
     q = spark.createDataFrame([(i, "w0 w1 w2 w3") for i in range(20)], "qid long, text string")
     assert S.search(index, C.single_clause(q, "one_of", "body"), 2, 4).count() == 40
     assert len(given) == 1 and given[0] <= 20 * 4 * 4  # at most some of equal scores more than 2 for each of 4 shards
+
+
+def test_the_methods_that_are_compared_are_products(monkeypatch, index, queries):
+    """Keyword and recipe batches, whose phrases and prefixes are few, make no row for each document that a word hits."""
+    monkeypatch.setattr(S, "MATRIX_POSTINGS", 0)
+    monkeypatch.setattr(S, "top_k", lambda hits, k, digits: hits)  # what comes before the last step
+    for clauses in (C.keyword_clauses(queries, {"title": 10.0, "body": 1.0}, escape=True), C.recipe_clauses(queries, "title", "body")):
+        found = S.search(index, clauses, 2, 4)
+        every = S.search_hits(index, clauses)
+        assert found.count() < every.count() / 2
